@@ -289,13 +289,14 @@ def floor_p90_rate(spark, d):
 # --- distributions ----------------------------------------------------------------------------
 
 
-def _cells(spark, d, block, kind):
+def _table(spark, d, block, kind):
     columns = [*KEYS, *PRICES, kind, *(["age"] if block == "age" else [])]
-    return ranges.range_cells(prepared(spark, d, *columns), [block], kinds=[kind])
+    cells = ranges.range_cells(prepared(spark, d, *columns), [block], kinds=[kind])
+    return ranges.range_table(cells, blocks=[block])
 
 
 def _area(kind, metric) -> Query:
-    return lambda spark, d: ranges.area_metric(_cells(spark, d, "area", kind), metric)
+    return lambda spark, d: ranges.area_metric(_table(spark, d, "area", kind), metric)
 
 
 for _name, _kind in (("pt", PROPERTY), ("bhk", BEDROOM)):
@@ -304,7 +305,7 @@ for _name, _kind in (("pt", PROPERTY), ("bhk", BEDROOM)):
 
 
 def _range(block, function, kind) -> Query:
-    return lambda spark, d: function(_cells(spark, d, block, kind))
+    return lambda spark, d: function(_table(spark, d, block, kind))
 
 
 for _block, _function in (("price", ranges.price_ranges), ("rate", ranges.rate_ranges), ("age", ranges.age_ranges)):
@@ -314,7 +315,7 @@ for _block, _function in (("price", ranges.price_ranges), ("rate", ranges.rate_r
 
 @query
 def rate_count_pt(spark, d):
-    out = ranges.rate_ranges(_cells(spark, d, "rate", PROPERTY))
+    out = ranges.rate_ranges(_table(spark, d, "rate", PROPERTY))
     return out.select(*SEGMENT_KEY, "bucket", F.col("unit_sold").alias("total_unit_sold_in_rate_range"))
 
 

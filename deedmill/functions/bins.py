@@ -61,8 +61,8 @@ def age_bucket(v: Column, settings: Settings) -> Column:
     return fixed_rate(v, F.lit(settings.age_min), F.lit(settings.age_max), settings.age_step)
 
 
-def fixed_label(number: Column, low: Column, high: Column, step: int) -> Column:
-    start = low + number * step
+def label(number: Column, low: Column, high: Column, start: Column, step: Column) -> Column:
+    """Text of an area, rate or age bucket."""
     return (
         F.when(number == LOW, F.concat(F.lit("<"), _text(low)))
         .when(number == HIGH, F.concat(F.lit(">"), _text(_last(low, high, step))))
@@ -70,8 +70,7 @@ def fixed_label(number: Column, low: Column, high: Column, step: int) -> Column:
     )
 
 
-def fixed_price_label(number: Column, low: Column, high: Column, step: int) -> Column:
-    start = low + number * step
+def price_range_label(number: Column, low: Column, high: Column, start: Column, step: Column) -> Column:
     return (
         F.when(number == LOW, F.concat(F.lit("< "), price_label(low)))
         .when(number == HIGH, F.concat(F.lit("> "), price_label(high)))
@@ -99,23 +98,23 @@ def step_centre(mean: Column, step: int) -> Column:
     return _int(F.rint(mean / step) * step)
 
 
-def mean_bucket(cell: Column, width: int, centre: Column, reach: int, step: int) -> Column:
-    """Bucket of a cell with ``reach`` steps on either side of the centre."""
-    low = centre - reach * step
-    at = cell * width
-    return F.when(at < low, LOW).when(at >= centre + reach * step, HIGH).otherwise(F.floor((at - low) / step))
-
+def centred_edges(block: str, centre: Column, step: int) -> tuple[Column, Column]:
+    """Lowest and highest edge around a centre: two steps either way, three for rates.
 
-def mean_label(number: Column, centre: Column, reach: int, step: int) -> Column:
-    return fixed_label(number, centre - reach * step, centre + reach * step, step)
+    Prices never start below one step.
+    """
+    reach = 3 if block == "rate" else 2
+    low, high = centre - reach * step, centre + reach * step
+    return (F.greatest(F.lit(step).cast("bigint"), low), high) if block == "price" else (low, high)
 
 
-def price_bounds(centre: Column, step: int) -> tuple[Column, Column]:
-    return F.greatest(F.lit(step), centre - 2 * step), centre + 2 * step
+def mean_bucket(cell: Column, width: int, low: Column, high: Column, step: int) -> Column:
+    """Bucket of a cell between the edges around a mean."""
+    at = cell * width
+    return F.when(at < low, LOW).when(at >= high, HIGH).otherwise(F.floor((at - low) / step))
 
 
-def mean_price_bucket(cell: Column, centre: Column, step: int) -> Column:
-    low, high = price_bounds(centre, step)
+def mean_price_bucket(cell: Column, low: Column, high: Column, step: int) -> Column:
     first, last = F.floor(low / step), F.floor(high / step)
     exact = cell % 2 == 0
     multiple = F.floor(cell / 2)

@@ -14,8 +14,12 @@ _DIGITS = "".join(chr(zero + i) for zero in _ZEROS for i in range(10))
 
 
 def round2(c: Column) -> Column:
-    """Two decimals, ties to even on the scaled double."""
-    return F.rint(c * 100) / 100
+    """Two decimals, ties to even.
+
+    The order of additions differs from run to run, and with it the last bits of a sum. They are
+    rounded off first, so that a tie is seen as one and results do not depend on partitioning.
+    """
+    return F.rint(F.rint(c * 1e8) / 1e6) / 100
 
 
 def no_nan(c: Column) -> Column:

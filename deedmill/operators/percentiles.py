@@ -205,36 +205,36 @@ def rate_stats(percentiles: DataFrame, name: str) -> DataFrame:
     )
 
 
+def floor_label(settings: Settings = DEFAULTS) -> Column:
+    low = F.col("floor_from")
+    return F.concat(low.cast("string"), F.lit("-"), (low + settings.floor_step).cast("string"))
+
+
 def floor_wise_p90(percentiles: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """90th percentile of the rate per floor bucket."""
-    low = F.col("floor_from")
     return percentiles.filter(F.col("dist") == "floor_pt").select(
-        *SEGMENT_KEY,
-        F.concat(low.cast("string"), F.lit("-"), (low + settings.floor_step).cast("string")).alias("bucket"),
-        round2(F.col("p90")).alias("value"),
+        *SEGMENT_KEY, floor_label(settings).alias("bucket"), round2(F.col("p90")).alias("value")
     )
 
 
-def prevailing_rates(percentiles: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
-    """Band around the level's prevailing percentile, as text "low-high"."""
-    centre = band = None
+def with_prevailing(percentiles: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
+    """Adds the band around the level's prevailing percentile, as text "low-high"."""
+    text = None
     for level in levels:
-        mine = F.col("level") == level.name
         column = next(c for c, p in PROBABILITIES.items() if p == level.prevailing_percentile)
-        centre = F.when(mine, F.col(column)) if centre is None else centre.when(mine, F.col(column))
-        band = F.when(mine, level.prevailing_band) if band is None else band.when(mine, level.prevailing_band)
+        low, high = (
+            (F.col(column) * factor).cast("bigint").cast("string")
+            for factor in (1 - level.prevailing_band, 1 + level.prevailing_band)
+        )
+        band = F.concat(low, F.lit("-"), high)
+        mine = F.col("level") == level.name
+        text = F.when(mine, band) if text is None else text.when(mine, band)
+    return percentiles.withColumn("most_prevailing_rate_range", text)
 
-    def end(factor: Column) -> Column:
-        return (F.col("_centre") * factor).cast("bigint").cast("string")
 
-    return (
-        percentiles.filter(F.col("dist") == "rate_nca_pt")
-        .withColumns({"_centre": centre, "_band": band})
-        .select(
-            *SEGMENT_KEY,
-            F.concat(end(1 - F.col("_band")), F.lit("-"), end(1 + F.col("_band"))).alias("most_prevailing_rate_range"),
-        )
-    )
+def prevailing_rates(percentiles: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
+    rates = percentiles.filter(F.col("dist") == "rate_nca_pt")
+    return with_prevailing(rates, levels).select(*SEGMENT_KEY, "most_prevailing_rate_range")
 
 
 def chart_p90(percentiles: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def with_floors(df: DataFrame) -> DataFrame:
 def with_city_params(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Loading factors and range bounds of the row's city, defaults where a city has none."""
     params = city_params_table(df.sparkSession, settings)
-    joined = df.join(params, "city", "left")
+    joined = df.drop(*PARAM_COLUMNS).join(params, "city", "left")
     return joined.withColumns(
         {p: F.coalesce(F.col(p), F.lit(float(getattr(settings.default_city, p)))) for p in PARAM_COLUMNS}
     )

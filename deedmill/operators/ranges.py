@@ -7,6 +7,7 @@ cell or bucket each row falls in. Everything later works on those counts.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -33,7 +34,7 @@ BLOCKS = ("area", "price", "rate", "age")
 _SUMS = ["n", "n_priced", "price", "price_priced", "carpet", "carpet_priced", "rate"]
 
 
-def _cells(block: str, settings: Settings, mean_level: Column) -> Column:
+def _cells(block: str, settings: Settings, mean_level: Column | None) -> Column:
     """Array of (block, cell) entries of one row; null entries are no members."""
     price, carpet, rate = F.col("agreement_price"), F.col("carpet_sqft"), F.col("rate_on_net_ca")
     named = masks()
@@ -44,18 +45,18 @@ def _cells(block: str, settings: Settings, mean_level: Column) -> Column:
     if block == "area":
         member = named["valid_area"] & named["valid_carpet"]
         cell = bins.plain_cell(carpet, bins.area_cell(settings))
-        bucket = bins.fixed_area(carpet, F.col("min_area"), F.col("max_area"), settings.area_step)
+        bucket = partial(bins.fixed_area, carpet, F.col("min_area"), F.col("max_area"), settings.area_step)
     elif block == "price":
         member = named["valid_price"]
         cell = bins.price_cell(price, settings.price_step)
-        bucket = bins.fixed_price(price, F.col("min_price"), F.col("max_price"), settings.price_step)
+        bucket = partial(bins.fixed_price, price, F.col("min_price"), F.col("max_price"), settings.price_step)
     elif block == "rate":
         member = named["valid_rate"] & (rate > 0)
         cell = bins.plain_cell(rate, settings.rate_step)
-        bucket = bins.fixed_rate(rate, F.col("min_rate"), F.col("max_rate"), settings.rate_step)
+        bucket = partial(bins.fixed_rate, rate, F.col("min_rate"), F.col("max_rate"), settings.rate_step)
     else:
         raise ValueError(f"unknown block '{block}'")
-    number = F.when(mean_level, cell).otherwise(bucket).cast("bigint")
+    number = (cell if mean_level is None else F.when(mean_level, cell).otherwise(bucket())).cast("bigint")
     entry = F.struct(F.lit(block).alias("block"), number.alias("cell"))
     return F.array(F.when(member & number.isNotNull(), entry))
 
@@ -71,11 +72,15 @@ def range_cells(
 
     Levels with bins around the mean get cells, the others final bucket numbers.
     """
-    levels, kinds = list(levels), list(kinds)
-    by_mean = F.col("level").isin([level.name for level in levels if level.mean_bins])
+    blocks, levels, kinds = list(blocks), list(levels), list(kinds)
+    by_mean = None
+    if not all(level.mean_bins for level in levels):
+        by_mean = F.col("level").isin([level.name for level in levels if level.mean_bins])
     price, carpet = F.col("agreement_price"), F.col("carpet_sqft")
     priced = masks()["valid_price"]
     entries = F.concat(*[_cells(b, settings, by_mean) for b in blocks])
+    if by_mean is not None and blocks != ["age"]:
+        df = with_city_params(df, settings)
     fine = (
         by_level(df, levels)
         .withColumn("_e", F.explode(entries))
@@ -98,67 +103,113 @@ def range_cells(
     )
 
 
-def range_stats(
-    cells: DataFrame, block: str, priced: bool = False, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS
+def range_table(
+    cells: DataFrame, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS, blocks: Iterable[str] = BLOCKS
 ) -> DataFrame:
-    """Units, price and carpet per labelled bucket of one block.
+    """Units, price and carpet per labelled bucket, for all blocks in the cells.
 
-    With ``priced`` only rows with a positive price count. Means that centre bins are taken over
-    exactly the rows counted. The window that sums them holds the cells of one segment, whose
-    number the value axis bounds, and shares its partitioning with the grouping after it.
+    ``priced`` rows count only documents with a positive price (area block only). A mean that
+    centres bins is taken over exactly the rows counted, so those have their own buckets. The
+    window that sums a segment holds its cells, whose number the value axis bounds; the grouping
+    after it reuses its partitioning.
     """
-    n, price, carpet = ("n_priced", "price_priced", "carpet_priced") if priced else ("n", "price", "carpet")
-    cells = cells.filter((F.col("block") == block) & (F.col(n) > 0))
-    parts = []
-    fixed = [level.name for level in levels if not level.mean_bins or block == "age"]
-    centred = [level.name for level in levels if level.mean_bins and block != "age"]
-    if fixed:
-        if block == "age":
-            low, high, step, label = F.lit(settings.age_min), F.lit(settings.age_max), settings.age_step, bins.fixed_label
-        else:
-            low, high = F.col(f"min_{block}"), F.col(f"max_{block}")
-            step = getattr(settings, f"{block}_step")
-            label = bins.fixed_price_label if block == "price" else bins.fixed_label
-        mine = cells.filter(F.col("level").isin(fixed))
-        if block != "age":
-            mine = with_city_params(mine, settings)
-        parts.append(
-            mine.select(
-                *SEGMENT_KEY, label(F.col("cell"), low, high, step).alias("bucket"), n, price, carpet
-            )
-        )
+    blocks, levels = list(blocks), list(levels)
+    moving = set(blocks) - {"age"}
+    centred = [level.name for level in levels if level.mean_bins] if moving else []
+    fixed = len(centred) < len(levels) or "age" in blocks
+    rows = cells.filter(F.col("block").isin(blocks))
+    if moving and len(centred) < len(levels):
+        rows = with_city_params(rows, settings)
     if centred:
-        parts.append(_centred(cells.filter(F.col("level").isin(centred)), block, n, price, carpet, settings))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        group = W.partitionBy(*SEGMENT_KEY, "block")
+        rows = rows.withColumns({f"sum_{c}": F.sum(c).over(group) for c in _SUMS})
+
+    def entry(priced: bool) -> Column:
+        suffix = "_priced" if priced else ""
+        values = {c: F.col(c + suffix) for c in ("n", "price", "carpet")}
+        if centred:
+            total = F.when(F.col("block") == "rate", F.col("sum_rate")).otherwise(F.col(f"sum_price{suffix}"))
+            total = F.when(F.col("block") == "area", F.col(f"sum_carpet{suffix}")).otherwise(total)
+            values["mean"] = total / F.nullif(F.col(f"sum_n{suffix}"), F.lit(0))
+        return F.struct(F.lit(priced).alias("priced"), *[v.alias(c) for c, v in values.items()])
+
+    entries = [entry(False)]
+    if "area" in blocks:
+        entries.append(F.when((F.col("block") == "area") & (F.col("n_priced") > 0), entry(True)))
+    bounds = [c for c in rows.columns if c.startswith(("min_", "max_"))]
+    rows = (
+        rows.select(*SEGMENT_KEY, "block", "cell", *bounds, F.explode(F.array(*entries)).alias("e"))
+        .filter(F.col("e").isNotNull())
+        .select(*SEGMENT_KEY, "block", "cell", *bounds, "e.*")
+    )
+    rows = _with_labels(rows, blocks, centred, fixed, settings)
     zero = F.lit(0.0)
-    return rows.groupBy(*SEGMENT_KEY, "bucket").agg(
-        F.sum(n).alias("unit_sold"),
-        F.coalesce(F.sum(price), zero).alias("total_sales"),
-        F.coalesce(F.sum(carpet), zero).alias("ca_consumed_sqft"),
+    return rows.groupBy(*SEGMENT_KEY, "block", "priced", "bucket").agg(
+        F.sum("n").alias("unit_sold"),
+        F.coalesce(F.sum("price"), zero).alias("total_sales"),
+        F.coalesce(F.sum("carpet"), zero).alias("ca_consumed_sqft"),
     )
 
 
-def _centred(cells: DataFrame, block: str, n: str, price: str, carpet: str, settings: Settings) -> DataFrame:
-    """Cells with their bucket around the segment's mean."""
-    group = W.partitionBy(*SEGMENT_KEY)
-    step = getattr(settings, f"{block}_step")
-    total = {"area": carpet, "price": price, "rate": "rate"}[block]
-    rows = cells.withColumn("_mean", F.sum(total).over(group) / F.sum(n).over(group))
-    mean, cell, centre, number = (F.col(c) for c in ("_mean", "cell", "_centre", "_number"))
-    if block == "price":
-        rows = rows.withColumn("_centre", bins.step_centre(mean, step))
-        rows = rows.withColumn("_number", bins.mean_price_bucket(cell, centre, step))
-        label = bins.fixed_price_label(number, *bins.price_bounds(centre, step), step)
+def _per_block(blocks: list[str], of: dict[str, Column]) -> Column:
+    out = None
+    for block in blocks:
+        if block in of:
+            test = F.col("block") == block
+            out = F.when(test, of[block]) if out is None else out.when(test, of[block])
+    return out
+
+
+def _with_labels(rows: DataFrame, blocks: list[str], centred: list[str], fixed: bool, settings: Settings) -> DataFrame:
+    """Adds ``bucket``. Centre, number and first edge are columns of their own, so that each is
+    computed once per row."""
+    steps = {b: getattr(settings, f"{b}_step") for b in blocks}
+    cell, mean, centre = F.col("cell"), F.col("mean"), F.col("_centre")
+    low, high, number = {}, {}, {}
+    if fixed:
+        for b in blocks:
+            low[b] = F.lit(settings.age_min) if b == "age" else F.col(f"min_{b}") if f"min_{b}" in rows.columns else None
+            high[b] = F.lit(settings.age_max) if b == "age" else F.col(f"max_{b}") if f"max_{b}" in rows.columns else None
+        low = {b: c.cast("bigint") for b, c in low.items() if c is not None}
+        high = {b: c.cast("bigint") for b, c in high.items() if c is not None}
+        number = {b: cell for b in low}
+    if centred:
+        moving = [b for b in blocks if b != "age"]
+        centres = {
+            "area": bins.area_centre(mean),
+            "rate": bins.step_centre(mean, settings.rate_step),
+            "price": bins.step_centre(mean, settings.price_step),
+        }
+        rows = rows.withColumn("_centre", _per_block(moving, centres))
+        mine = F.col("level").isin(centred)
+        edges = {b: bins.centred_edges(b, centre, steps[b]) for b in moving}
+        numbers = {
+            b: bins.mean_price_bucket(cell, *edges[b], steps[b])
+            if b == "price"
+            else bins.mean_bucket(cell, bins.area_cell(settings) if b == "area" else steps[b], *edges[b], steps[b])
+            for b in moving
+        }
+        for b in moving:
+            low[b] = F.when(mine, edges[b][0]).otherwise(low[b]) if b in low else edges[b][0]
+            high[b] = F.when(mine, edges[b][1]).otherwise(high[b]) if b in high else edges[b][1]
+            number[b] = F.when(mine, numbers[b]).otherwise(number[b]) if b in number else numbers[b]
+    rows = rows.withColumns(
+        {"_low": _per_block(blocks, low), "_high": _per_block(blocks, high), "_number": _per_block(blocks, number)}
+    )
+    step = _per_block(blocks, {b: F.lit(s) for b, s in steps.items()})
+    rows = rows.withColumns({"_step": step, "_start": F.col("_low") + F.col("_number") * step})
+    parts = [F.col(c) for c in ("_number", "_low", "_high", "_start", "_step")]
+    plain, money = bins.label(*parts), bins.price_range_label(*parts)
+    if "price" not in blocks:
+        label = plain
+    elif blocks == ["price"]:
+        label = money
     else:
-        area = block == "area"
-        width, reach = (bins.area_cell(settings), 2) if area else (step, 3)
-        rows = rows.withColumn("_centre", bins.area_centre(mean) if area else bins.step_centre(mean, step))
-        rows = rows.withColumn("_number", bins.mean_bucket(cell, width, centre, reach, step))
-        label = bins.mean_label(number, centre, reach, step)
-    return rows.select(*SEGMENT_KEY, label.alias("bucket"), n, price, carpet)
+        label = F.when(F.col("block") == "price", money).otherwise(plain)
+    return rows.withColumn("bucket", label)
 
 
-def _kept(c: Column) -> Column:
+def kept(c: Column) -> Column:
     """Rounded amount; a zero counts as absent."""
     return F.nullif(round2(c), F.lit(0.0))
 
@@ -167,41 +218,41 @@ def _kept(c: Column) -> Column:
 AREA_METRICS = {"count": False, "carpet": False, "sales": True, "avg_sales": True}
 
 
-def area_metric(
-    cells: DataFrame, metric: str, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS
-) -> DataFrame:
+def area_metric(table: DataFrame, metric: str) -> DataFrame:
     """One ``value`` per area bucket: "count", "carpet", "sales" or "avg_sales"."""
     if metric not in AREA_METRICS:
         raise ValueError(f"unknown area metric '{metric}', choose one of {sorted(AREA_METRICS)}")
-    stats = range_stats(cells, "area", AREA_METRICS[metric], levels, settings)
-    value = {
+    rows = table.filter((F.col("block") == "area") & (F.col("priced") == AREA_METRICS[metric]))
+    return rows.select(*SEGMENT_KEY, "bucket", area_value(metric).alias("value")).filter(F.col("value").isNotNull())
+
+
+def area_value(metric: str) -> Column:
+    return {
         "count": F.col("unit_sold").cast("double"),
-        "carpet": _kept(F.col("ca_consumed_sqft")),
-        "sales": _kept(F.col("total_sales")),
-        "avg_sales": _kept(F.col("total_sales") / F.col("unit_sold")),
+        "carpet": kept(F.col("ca_consumed_sqft")),
+        "sales": kept(F.col("total_sales")),
+        "avg_sales": kept(F.col("total_sales") / F.col("unit_sold")),
     }[metric]
-    return stats.select(*SEGMENT_KEY, "bucket", value.alias("value")).filter(F.col("value").isNotNull())
 
 
-def price_ranges(cells: DataFrame, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS) -> DataFrame:
+def price_ranges(table: DataFrame) -> DataFrame:
     """Units, sales and carpet per price bucket; zero amounts stay."""
-    stats = range_stats(cells, "price", False, levels, settings)
-    return stats.withColumns({c: round2(F.col(c)) for c in ("total_sales", "ca_consumed_sqft")})
+    amounts = [round2(F.col(c)).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
+    return table.filter(F.col("block") == "price").select(*SEGMENT_KEY, "bucket", "unit_sold", *amounts)
 
 
-def rate_ranges(cells: DataFrame, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS) -> DataFrame:
+def rate_ranges(table: DataFrame) -> DataFrame:
     """Units, sales and carpet per rate bucket; zero amounts are null."""
-    stats = range_stats(cells, "rate", False, levels, settings)
-    return stats.withColumns({c: _kept(F.col(c)) for c in ("total_sales", "ca_consumed_sqft")})
+    amounts = [kept(F.col(c)).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
+    return table.filter(F.col("block") == "rate").select(*SEGMENT_KEY, "bucket", "unit_sold", *amounts)
 
 
-def age_ranges(cells: DataFrame, levels: Iterable[Level] = LEVELS, settings: Settings = DEFAULTS) -> DataFrame:
+def age_ranges(table: DataFrame) -> DataFrame:
     """Buyers, sales and carpet per age bucket; a document counts once for each of its buyers."""
-    stats = range_stats(cells, "age", False, levels, settings)
-    return stats.select(
+    return table.filter(F.col("block") == "age").select(
         *SEGMENT_KEY,
         "bucket",
         "unit_sold",
-        _kept(F.col("total_sales")).alias("total_agreement_price"),
-        _kept(F.col("ca_consumed_sqft")).alias("ca_consumed_sqft"),
+        kept(F.col("total_sales")).alias("total_agreement_price"),
+        kept(F.col("ca_consumed_sqft")).alias("ca_consumed_sqft"),
     )

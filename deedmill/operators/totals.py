@@ -161,23 +161,36 @@ def _mean(total: str, n: str) -> Column:
     return F.col(total) / F.nullif(F.col(n), F.lit(0))
 
 
-def label_counts(df: DataFrame, label: str, levels: Iterable[Level] = AREA_LEVELS, sale_only: bool = False) -> DataFrame:
-    """Documents per value of a label column."""
+# Counted label -> (column, rows)
+LABEL_COUNTS = {"transactions_sale": "property_type_raw", "transactions": "property_category"}
+
+
+def label_counts(
+    df: DataFrame, levels: Iterable[Level] = AREA_LEVELS, metrics: Iterable[str] = tuple(LABEL_COUNTS)
+) -> DataFrame:
+    """Documents per label: of sales by mapped raw type, of all documents by category."""
+    sale = F.col("property_category") == "Sale"
+    entries = []
+    for metric in metrics:
+        label = F.col(LABEL_COUNTS[metric])
+        counted = label.isNotNull() & sale if metric == "transactions_sale" else label.isNotNull()
+        entries.append(F.when(counted, F.struct(F.lit(metric).alias("metric"), label.alias("segment"))))
     fine = (
-        by_level(df, levels, sale_only)
-        .filter(F.col(label).isNotNull())
-        .groupBy(*FINE_KEY, F.col(label).alias("segment"))
+        by_level(df, levels, sale_only=False)
+        .withColumn("_e", F.explode(F.array(*entries)))
+        .filter(F.col("_e").isNotNull())
+        .groupBy(*FINE_KEY, F.col("_e.metric").alias("metric"), F.col("_e.segment").alias("segment"))
         .agg(F.count("document_no").alias("n"))
     )
-    return by_grain(fine).groupBy(*PERIOD_KEY, "segment").agg(F.sum("n").alias("n"))
+    return by_grain(fine).groupBy(*PERIOD_KEY, "metric", "segment").agg(F.sum("n").alias("n"))
 
 
 def sales_by_raw_type(df: DataFrame, levels: Iterable[Level] = AREA_LEVELS) -> DataFrame:
-    return label_counts(df, "property_type_raw", levels, sale_only=True)
+    return label_counts(df, levels, ["transactions_sale"]).drop("metric")
 
 
 def documents_by_category(df: DataFrame, levels: Iterable[Level] = AREA_LEVELS) -> DataFrame:
-    return label_counts(df, "property_category", levels)
+    return label_counts(df, levels, ["transactions"]).drop("metric")
 
 
 def development_agreements(df: DataFrame, levels: Iterable[Level] = AREA_LEVELS) -> DataFrame:

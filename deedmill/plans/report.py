@@ -17,16 +17,10 @@ from pyspark.sql import functions as F
 from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
 from deedmill.operators.levels import AREA_LEVELS, BEDROOM, PERIOD_KEY, PROJECT, PROPERTY, Level
-from deedmill.operators.percentiles import floor_wise_p90, prevailing_rates, rate_percentiles, rate_stats
-from deedmill.operators.ranges import age_ranges, area_metric, price_ranges, range_cells, rate_ranges
-from deedmill.operators.totals import (
-    ATTRIBUTES,
-    base_totals,
-    development_agreements,
-    documents_by_category,
-    sales_by_raw_type,
-    segment_totals,
-)
+from deedmill.functions.values import round2
+from deedmill.operators.percentiles import floor_label, rate_percentiles, with_prevailing
+from deedmill.operators.ranges import area_value, kept, range_cells, range_table
+from deedmill.operators.totals import ATTRIBUTES, base_totals, development_agreements, label_counts, segment_totals
 
 COLUMNS = ["document_no", "city", "city_id", "loc_id", "proj_id", "manual_processed", "property_category",
            "transaction_type", "property_type", "property_type_raw", "project_type", "bhk_br", "index",
@@ -72,78 +66,91 @@ PROPERTY_METRICS = SEGMENT_METRICS | {
 BEDROOM_ONLY = {"avg_carpet_area_in_sqft": (AMOUNT, False)}
 BEDROOM_SEGMENT_METRICS = SEGMENT_METRICS | BEDROOM_ONLY
 
-_LONG = [*PERIOD_KEY, "kind", "segment", "metric", "bucket", "value", "text"]
 
-
-def _scalars(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFrame:
-    """Unpivot metric columns; null and zero values drop out."""
-    names = list(names)
-    bucket = F.col("bucket") if "bucket" in df.columns else F.lit(None).cast("string")
-    entries = F.array(
-        *[F.struct(F.lit(prefix + n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names]
-    )
+def _unpivot(df: DataFrame, entries: list[tuple[Column, str, Column]], bucket: Column | None = None) -> DataFrame:
+    """One row per (condition, metric, value) whose condition holds and whose value is not null."""
+    kept = [
+        F.when(when & value.isNotNull(), F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value")))
+        for when, metric, value in entries
+    ]
+    nothing = F.lit(None).cast("string")
     return (
-        df.withColumn("_e", F.explode(entries))
+        df.withColumn("_e", F.explode(F.array(*kept)))
+        .filter(F.col("_e").isNotNull())
         .select(
-            *PERIOD_KEY, "kind", "segment", "_e.metric", bucket.alias("bucket"), "_e.value",
-            F.lit(None).cast("string").alias("text"),
+            *PERIOD_KEY, "kind", "segment", F.col("_e.metric").alias("metric"),
+            (nothing if bucket is None else bucket).alias("bucket"), F.col("_e.value").alias("value"),
+            nothing.alias("text"),
         )
-        .filter(F.col("value").isNotNull())
     )
 
 
-def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS) -> DataFrame:
-    """Every segment metric of a level at all grains, one scalar per row."""
-    levels = [level]
-    cells = range_cells(df, levels=levels, settings=settings)
-    rates = rate_percentiles(df, levels, settings=settings)
-    totals = segment_totals(df, levels)
-    parts = [
-        _scalars(
-            totals,
-            ["sold_igr", "total_agreement_price", "avg_agreement_price", "ca_consumed_sqft_igr", "avg_carpet_area_in_sqft"],
-        ).filter(F.col("value") != 0)
-    ]
-    for name in ("rate_nca_pt", "rate_sa_pt", "rate_nca_bhk"):
-        stats = rate_stats(rates, name)
-        parts.append(_scalars(stats, [c for c in stats.columns if "_rate_" in c]).filter(F.col("value") != 0))
-    parts.append(_scalars(floor_wise_p90(rates, settings).withColumnRenamed("value", "floor_wise_90p_rate"), ["floor_wise_90p_rate"]))
-    parts.append(
-        prevailing_rates(rates, levels).select(
-            *PERIOD_KEY, "kind", "segment",
-            F.lit("most_prevailing_rate_range").alias("metric"),
-            F.lit(None).cast("string").alias("bucket"),
-            F.lit(None).cast("double").alias("value"),
-            F.col("most_prevailing_rate_range").alias("text"),
-        )
-    )
-    for metric, name in {
-        "count": "total_unit_sold_in_area_range",
-        "sales": "total_agreement_price_in_area_range",
-        "avg_sales": "avg_agreement_price_in_area_range",
-        "carpet": "total_ca_consumed_in_area_range_sqft",
-    }.items():
-        parts.append(_scalars(area_metric(cells, metric, levels, settings).withColumnRenamed("value", name), [name]))
-    by_rate = rate_ranges(cells, levels, settings)
-    parts.append(_scalars(price_ranges(cells, levels, settings), ["unit_sold", "total_sales", "ca_consumed_sqft"], "agreement_price_range_"))
-    parts.append(_scalars(by_rate, ["unit_sold", "total_sales", "ca_consumed_sqft"], "rate_range_"))
-    parts.append(
-        _scalars(
-            by_rate.filter(F.col("kind") == PROPERTY).withColumnRenamed("unit_sold", "total_unit_sold_in_rate_range"),
-            ["total_unit_sold_in_rate_range"],
+def _totals_part(df: DataFrame, level: Level) -> DataFrame:
+    always = F.lit(True)
+    names = ["sold_igr", "total_agreement_price", "avg_agreement_price", "ca_consumed_sqft_igr", "avg_carpet_area_in_sqft"]
+    return _unpivot(segment_totals(df, [level]), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
+
+
+def _rates_part(df: DataFrame, level: Level, settings: Settings) -> DataFrame:
+    rates = with_prevailing(rate_percentiles(df, [level], settings=settings), [level])
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    entries = [("floor_pt", "floor_wise_90p_rate", round2(F.col("p90")), text)]
+    for dist, suffix in (("rate_nca_pt", "rate_nca"), ("rate_nca_bhk", "rate_nca"), ("rate_sa_pt", "rate_sa")):
+        for metric, column in {"wt_avg": "mean", "p50": "p50", "p75": "p75", "p90": "p90"}.items():
+            entries.append((dist, f"{metric}_{suffix}", kept(F.col(column)), text))
+    entries.append(("rate_nca_pt", "most_prevailing_rate_range", number, F.col("most_prevailing_rate_range")))
+    options = [
+        F.when(
+            (F.col("dist") == dist) & F.coalesce(value.cast("string"), words).isNotNull(),
+            F.struct(F.lit(metric).alias("metric"), value.alias("value"), words.alias("text")),
         )
+        for dist, metric, value, words in entries
+    ]
+    return (
+        rates.withColumn("_e", F.explode(F.array(*options)))
+        .filter(F.col("_e").isNotNull())
+        .select(*PERIOD_KEY, "kind", "segment", "_e.metric", floor_label(settings).alias("bucket"), "_e.value", "_e.text")
     )
-    parts.append(_scalars(age_ranges(cells, levels, settings), ["unit_sold", "total_agreement_price", "ca_consumed_sqft"], "age_range_"))
+
+
+def _ranges_part(df: DataFrame, level: Level, settings: Settings) -> DataFrame:
+    table = range_table(range_cells(df, levels=[level], settings=settings), [level], settings)
+    block = {b: F.col("block") == b for b in ("area", "price", "rate", "age")}
+    priced = F.col("priced")
+    n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
+    entries = [
+        (block["area"] & ~priced, "total_unit_sold_in_area_range", area_value("count")),
+        (block["area"] & ~priced, "total_ca_consumed_in_area_range_sqft", area_value("carpet")),
+        (block["area"] & priced, "total_agreement_price_in_area_range", area_value("sales")),
+        (block["area"] & priced, "avg_agreement_price_in_area_range", area_value("avg_sales")),
+        (block["price"], "agreement_price_range_unit_sold", n),
+        (block["price"], "agreement_price_range_total_sales", round2(sales)),
+        (block["price"], "agreement_price_range_ca_consumed_sqft", round2(carpet)),
+        (block["rate"], "rate_range_unit_sold", n),
+        (block["rate"], "rate_range_total_sales", kept(sales)),
+        (block["rate"], "rate_range_ca_consumed_sqft", kept(carpet)),
+        (block["rate"] & (F.col("kind") == PROPERTY), "total_unit_sold_in_rate_range", n),
+        (block["age"], "age_range_unit_sold", n),
+        (block["age"], "age_range_total_agreement_price", kept(sales)),
+        (block["age"], "age_range_ca_consumed_sqft", kept(carpet)),
+    ]
+    return _unpivot(table, entries, F.col("bucket"))
+
+
+def _labels_part(df: DataFrame, level: Level) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return label_counts(df, [level]).filter(F.col("n") > 0).select(
+        *PERIOD_KEY, F.lit("label").alias("kind"), "segment", "metric", nothing.alias("bucket"),
+        F.col("n").cast("double").alias("value"), nothing.alias("text"),
+    )
+
+
+def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS) -> DataFrame:
+    """Every segment metric of a level at all grains, one scalar per row."""
+    parts = [_totals_part(df, level), _rates_part(df, level, settings), _ranges_part(df, level, settings)]
     if level in AREA_LEVELS:
-        for counts, suffix in ((sales_by_raw_type(df, levels), "transactions_sale"), (documents_by_category(df, levels), "transactions")):
-            parts.append(
-                counts.filter(F.col("n") != 0).select(
-                    *PERIOD_KEY, F.lit("label").alias("kind"), "segment", F.lit(suffix).alias("metric"),
-                    F.lit(None).cast("string").alias("bucket"), F.col("n").cast("double").alias("value"),
-                    F.lit(None).cast("string").alias("text"),
-                )
-            )
-    return reduce(DataFrame.unionByName, [p.select(*_LONG) for p in parts])
+        parts.append(_labels_part(df, level))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def segment_labels(df: DataFrame, level: Level) -> dict[str, list[str]]:
