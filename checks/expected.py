@@ -122,7 +122,8 @@ def on_s(body: str, *more: str) -> str:
 
 def r2(x: str) -> str:
     """Two decimals, half to even, after dropping the noise of the last bits."""
-    return f"(round_even(round_even({x} * 1e8, 0) / 1e6, 0) / 100)"
+    scaled = f"CASE WHEN abs({x}) < 1e7 THEN round_even({x} * 1e8, 0) / 1e6 ELSE {x} * 100 END"
+    return f"(round_even({scaled}, 0) / 100)"
 
 
 def money(x: str) -> str:
@@ -359,19 +360,24 @@ def _wide(level: str, grain: str) -> str:
     from deedmill.plans.report import wide_columns
 
     labels = LABELS if level != "project" else {k: v for k, v in LABELS.items() if not k.startswith("transactions")}
-    fields = []
+    fields, counts = [], set()
     for (kind, segment, metric), (name, value, nested) in wide_columns(labels).items():
         if level != "project" and kind == "bhk_br" and segment in NON_BHK_LABELS:
             continue
-        pick = f"FILTER (kind = '{kind}' AND segment = '{segment}' AND metric = '{metric}')"
-        if nested:
-            pair = f"'\"' || bucket || '\": ' || {_number('value', value)}"
-            cell = f"'{{' || string_agg({pair}, ', ' ORDER BY bucket) {pick} || '}}'"
-        elif value == "text":
-            cell = f"max(text) {pick}"
-        else:
-            cell = f"CAST(max(value) {pick} AS {'BIGINT' if value == 'count' else 'DOUBLE'})"
+        cell = f"max(cell) FILTER (kind = '{kind}' AND segment = '{segment}' AND metric = '{metric}')"
+        if not nested and value != "text":
+            cell = f"CAST(CAST({cell} AS DOUBLE) AS {'BIGINT' if value == 'count' else 'DOUBLE'})"
         fields.append(f'{cell} AS "{name}"')
+        if value == "count":
+            counts.add(metric)
+    number = f"CASE WHEN metric IN ({', '.join(repr(m) for m in sorted(counts))}) THEN {_number('value', 'count')} ELSE {_number('value', 'amount')} END"
+    cells = f"""
+cells AS (
+  SELECT key_id, city, period, kind, segment, metric, coalesce(text, CAST(value AS VARCHAR)) AS cell
+  FROM l WHERE grain = '{grain}' AND bucket IS NULL
+  UNION ALL
+  SELECT key_id, city, period, kind, segment, metric, '{{' || string_agg('"' || bucket || '": ' || {number}, ', ' ORDER BY bucket) || '}}'
+  FROM l WHERE grain = '{grain}' AND bucket IS NOT NULL GROUP BY key_id, city, period, kind, segment, metric)"""
     key = {"project": "proj_id", "location": "loc_id", "city": "city_id"}[level]
     period = {"Overall": "", "YoY": ', CAST(k.period AS INTEGER) AS "year"', "QoQ": ", k.period AS quarter"}[grain]
     attributes = {
@@ -384,14 +390,14 @@ def _wide(level: str, grain: str) -> str:
     deals = f", (SELECT count(*) FROM e WHERE level = '{level}' AND transaction_type = 'Development Agreement' AND e.city = k.city AND e.key_id = k.key_id AND grain = '{grain}' AND e.period = k.period) AS deals"
     extra = "" if level == "project" else ", nullif(k.deals, 0) AS no_of_da_registered"
     skip = "key_id, city, period, " + ("" if level == "project" else "deals, ")
-    return f"""{_long_parts(level)},
+    return f"""{_long_parts(level)},{cells},
 base AS (
   SELECT key_id, city, period{firsts}, nullif({r2('coalesce(sum(agreement_price), 0)')}, 0) AS total_sales,
     nullif({r2('coalesce(sum(carpet_sqft), 0)')}, 0) AS total_ca_consumed_sqft_igr, count(document_no) AS total_transactions,
     nullif(max(floor_no), 0) AS max_floor, max(transaction_date) AS recent_transaction_date, {TYPE_LABEL} AS project_type
   FROM g WHERE level = '{level}' AND grain = '{grain}' GROUP BY key_id, city, period),
 k AS (SELECT k.*{deals if level != "project" else ""} FROM base k),
-m AS (SELECT key_id, city, period, {", ".join(fields)} FROM l WHERE grain = '{grain}' GROUP BY key_id, city, period),
+m AS (SELECT key_id, city, period, {", ".join(fields)} FROM cells GROUP BY key_id, city, period),
 pc AS (
   SELECT key_id, city, period, CAST(CAST(buyer_pincode AS BIGINT) AS VARCHAR) AS pincode, count(*) AS n, sum(agreement_price) AS price,
     any_value(total) AS total
@@ -490,7 +496,7 @@ USING ({PK})"""
     out["prevailing_rate"] = on_s(
         f"""SELECT {SK}, CAST(CAST(trunc(pv * (1 - bv)) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(trunc(pv * (1 + bv)) AS BIGINT) AS VARCHAR)
   AS most_prevailing_rate_range
-FROM (SELECT {SK}, {p} AS pv, {b} AS bv FROM s WHERE kind = 'property_type' AND {RATE_OK} GROUP BY ALL)"""
+FROM (SELECT {SK}, {p} AS pv, {b} AS bv FROM s WHERE kind = 'property_type' AND {RATE_OK} GROUP BY {SK})"""
     )
     low = "CAST(floor(floor_no / 5) * 5 AS INTEGER)"
     out["floor_p90_rate"] = on_s(

@@ -22,10 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from deedmill.config import DEFAULTS, Settings
+from deedmill.config import DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.functions.values import round2
-from deedmill.operators.levels import BEDROOM, LEVELS, PERIOD_KEY, PROPERTY, SEGMENT_KEY, Level, by_grain, by_level, masks
-from deedmill.config import NON_BHK_LABELS
+from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, SEGMENT_KEY, Level, by_grain, by_level, masks
 
 CELLS_PER_OCTAVE = 4096
 
@@ -43,7 +42,11 @@ def exact_percentiles(
 
     ``probabilities`` names the output columns. Null values are left out. Keys may be null.
     """
-    rows = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")).withColumn("_cell", _cell(F.col("_v")))
+    rows = rows.filter(F.col(value).isNotNull()).select(
+        F.xxhash64(*keys).alias("_hash"), *keys, F.col(value).alias("_v"), _cell(F.col(value)).alias("_cell")
+    )
+    # Sorting by a hash first settles nearly every comparison without looking at the keys.
+    keys, out_keys = ["_hash", *keys], list(keys)
     cells = rows.groupBy(*keys, "_cell").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_v").alias("_sum"),
@@ -51,13 +54,10 @@ def exact_percentiles(
         F.max("_v").alias("_max"),
     )
     group = W.partitionBy(*keys)
-    ranked = cells.withColumns(
-        {
-            "_before": F.sum("_n").over(group.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)),
-            "_total": F.sum("_n").over(group),
-            "_sum": F.sum("_sum").over(group),
-        }
-    ).withColumn("_before", F.coalesce("_before", F.lit(0)))
+    running = group.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    # The running count first: its sort order then serves the totals as well.
+    ranked = cells.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
+    ranked = ranked.withColumns({"_total": F.sum("_n").over(group), "_sum": F.sum("_sum").over(group)})
 
     def rank(p: float, upper: bool) -> Column:
         position = F.lit(p) * (F.col("_total") - 1)
@@ -127,7 +127,7 @@ def exact_percentiles(
     out = [between(name, p).alias(name) for name, p in probabilities.items()]
     if mean:
         out.append((F.col("_sum") / F.col("_total")).alias(mean))
-    return picked.select(*keys, F.col("_total").alias("n"), *out)
+    return picked.select(*out_keys, F.col("_total").alias("n"), *out)
 
 
 def floor_bucket(settings: Settings = DEFAULTS) -> Column:
@@ -191,8 +191,29 @@ def rate_percentiles(
     settings: Settings = DEFAULTS,
     probabilities: dict[str, float] = PROBABILITIES,
 ) -> DataFrame:
-    """Unrounded mean and percentiles of all asked-for rate distributions in one pass."""
-    return exact_percentiles(rate_rows(df, levels, names, settings), DIST_KEY, "value", probabilities, "mean")
+    """Unrounded mean and percentiles of all asked-for rate distributions in one pass.
+
+    Level, grain and distribution travel as one small number: rows are many and these are few.
+    """
+    tags = [(level.name, grain, name) for level in LEVELS for grain in GRAINS for name in DISTRIBUTIONS]
+
+    def place(column: str, options: list[str]) -> Column:
+        return F.array_position(F.lit(options), F.col(column)).cast("int") - 1
+
+    rows = rate_rows(df, levels, names, settings)
+    tag = (place("level", [x.name for x in LEVELS]) * len(GRAINS) + place("grain", list(GRAINS))) * len(
+        DISTRIBUTIONS
+    ) + place("dist", list(DISTRIBUTIONS))
+    keys = ["key_id", "_tag", "floor_from", "city", "period", "segment"]
+    out = exact_percentiles(rows.withColumn("_tag", tag), keys, "value", probabilities, "mean")
+
+    def part(i: int) -> Column:
+        return F.element_at(F.lit([t[i] for t in tags]), F.col("_tag") + 1)
+
+    kinds = F.lit([DISTRIBUTIONS[t[2]][0] for t in tags])
+    return out.withColumns(
+        {"level": part(0), "grain": part(1), "dist": part(2), "kind": F.element_at(kinds, F.col("_tag") + 1)}
+    ).select(*DIST_KEY, "n", *probabilities, "mean")
 
 
 def rate_stats(percentiles: DataFrame, name: str) -> DataFrame:

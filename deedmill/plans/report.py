@@ -8,6 +8,8 @@ column list.
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -16,11 +18,12 @@ from pyspark.sql import functions as F
 
 from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
-from deedmill.operators.levels import AREA_LEVELS, BEDROOM, PERIOD_KEY, PROJECT, PROPERTY, Level
+from deedmill.operators.levels import AREA_LEVELS, BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROJECT, PROPERTY, Level
 from deedmill.functions.values import round2
 from deedmill.operators.percentiles import floor_label, rate_percentiles, with_prevailing
 from deedmill.operators.ranges import area_value, kept, range_cells, range_table
 from deedmill.operators.totals import ATTRIBUTES, base_totals, development_agreements, label_counts, segment_totals
+from deedmill.sources.sinks import save_report
 
 COLUMNS = ["document_no", "city", "city_id", "loc_id", "proj_id", "manual_processed", "property_category",
            "transaction_type", "property_type", "property_type_raw", "project_type", "bhk_br", "index",
@@ -202,68 +205,121 @@ def _number_text(value: Column, kind: str) -> Column:
     return value.cast("bigint" if kind == COUNT else "decimal(38,2)").cast("string")
 
 
-def wide_report(df: DataFrame, level: Level, grain: str, settings: Settings = DEFAULTS, labels: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per key and period of a level and grain.
+def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS) -> DataFrame:
+    """Cells of the wide report of a level at all grains: key, column key ``name`` and text ``cell``.
 
-    Distributions are JSON objects, buckets in text order. Zeros are blank. ``labels`` saves the
-    scan that finds the segment labels.
+    A distribution is one JSON object, its buckets in text order. The buckets of a cell are few;
+    pincodes, the largest set, are bounded by the postal system.
     """
-    columns = wide_columns(labels if labels is not None else segment_labels(df, level))
-    if level == PROJECT:  # labels without bedrooms have a mean carpet at project level only
-        names = columns
-    else:
-        names = {k: v for k, v in columns.items() if not (k[0] == BEDROOM and k[1] in NON_BHK_LABELS)}
-    key = [*PERIOD_KEY]
-    rows = long_report(df, level, settings).filter(F.col("grain") == grain)
-    counts = sorted({m for (_, _, m), (_, kind, _) in names.items() if kind == COUNT})
+    rows = long_report(df, level, settings)
+    counts = sorted({m for m, (kind, _) in (PROPERTY_METRICS | BEDROOM_SEGMENT_METRICS).items() if kind == COUNT})
     number = F.when(F.col("metric").isin(counts), _number_text(F.col("value"), COUNT)).otherwise(_number_text(F.col("value"), AMOUNT))
-    item = F.struct(F.coalesce("bucket", F.lit("")).alias("bucket"), F.coalesce("text", number).alias("text"))
+    item = F.struct("bucket", number.alias("text"))
     single = F.col("bucket").isNull()
-    # The buckets of one cell are few; pincodes, the largest set, are bounded by the postal system.
-    cells = rows.groupBy(*key, "kind", "segment", "metric").agg(
-        F.first(F.when(single, F.coalesce("text", F.col("value").cast("string"))), ignorenulls=True).alias("plain"),
-        F.array_sort(F.collect_list(F.when(~single, item))).alias("items"),
+    nested = (
+        rows.filter(~single)
+        .groupBy(*PERIOD_KEY, "kind", "segment", "metric")
+        .agg(F.array_sort(F.collect_list(item)).alias("items"))
+        .select(*PERIOD_KEY, _cell_key("kind", "segment", "metric"), _json("items").alias("cell"))
     )
-    cells = cells.select(*key, _cell_key("kind", "segment", "metric"), F.coalesce("plain", _json("items")).alias("cell"))
+    plain = rows.filter(single).select(
+        *PERIOD_KEY, _cell_key("kind", "segment", "metric"), F.coalesce("text", F.col("value").cast("string")).alias("cell")
+    )
+    entry = F.struct(F.col("pincode").cast("string").alias("bucket"), _pincode_text().alias("text"))
     pins = (
         pincode_stats(df, [level])
-        .filter(F.col("grain") == grain)
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("pincode").cast("string").alias("bucket"), _pincode_text().alias("text")))).alias("items"))
-        .select(*key, F.lit("pincode_stats").alias("name"), _json("items").alias("cell"))
+        .groupBy(*PERIOD_KEY)
+        .agg(F.array_sort(F.collect_list(entry)).alias("items"))
+        .select(*PERIOD_KEY, F.lit("pincode_stats").alias("name"), _json("items").alias("cell"))
     )
-    lookup = {"|".join(k): name for k, (name, _, _) in names.items()}
-    wide = cells.unionByName(pins).groupBy(*key).pivot("name", [*lookup, "pincode_stats"]).agg(F.first("cell"))
-    base = base_totals(df, level).filter(F.col("grain") == grain)
-    metrics = []
-    for k, (name, kind, nested) in names.items():
-        cell = F.col(_q("|".join(k)))
-        cast = "string" if nested or kind == TEXT else ("bigint" if kind == COUNT else "double")
-        metrics.append((cell.cast("double").cast(cast) if cast == "bigint" else cell.cast(cast)).alias(name))
-    report = base.join(wide, key, "left")
-    extra = []
+    return plain.unionByName(nested).unionByName(pins)
+
+
+def report_base(df: DataFrame, level: Level) -> DataFrame:
+    """Totals and descriptive columns of the wide report at all grains; they decide its rows."""
+    base = base_totals(df, level)
     if level in AREA_LEVELS:
-        report = report.join(development_agreements(df, [level]).filter(F.col("grain") == grain), key, "left")
-        extra.append(F.col("no_of_da_registered"))
-    period = {"Overall": [], "YoY": [F.col("period").cast("int").alias("year")], "QoQ": [F.col("period").alias("quarter")]}
-    attributes = [F.col(c) for c in ATTRIBUTES[level.name]]
-    blank = [F.nullif(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in
-             (("total_sales", "double"), ("total_ca_consumed_sqft_igr", "double"), ("total_transactions", "bigint"), ("max_floor", "double"))]
-    report = report.select(
-        F.lit(grain).alias("Type"),
-        F.lit(grain).alias("Period"),
-        F.col("key_id").alias(level.key),
-        *period[grain],
-        F.col("city"),
-        *attributes,
-        *blank,
-        F.col("recent_transaction_date"),
-        F.col("project_type"),
-        *extra,
-        *metrics,
-        F.col("pincode_stats"),
+        base = base.join(development_agreements(df, [level]), PERIOD_KEY, "left")
+    return base
+
+
+def widen(base: DataFrame, cells: DataFrame, level: Level, grain: str, labels: dict[str, list[str]]) -> DataFrame:
+    """One row per key and period of a grain; zeros are blank."""
+    names = wide_columns(labels)
+    if level != PROJECT:  # labels without bedrooms have a mean carpet at project level only
+        names = {k: v for k, v in names.items() if not (k[0] == BEDROOM and k[1] in NON_BHK_LABELS)}
+    of_grain = F.col("grain") == grain
+    wide = (
+        cells.filter(of_grain)
+        .groupBy(*PERIOD_KEY)
+        .pivot("name", ["|".join(k) for k in names] + ["pincode_stats"])
+        .agg(F.first("cell"))
     )
-    return order_bedroom_columns(report)
+    fields = {"Type": f"'{grain}'", "Period": f"'{grain}'", level.key: "key_id"}
+    fields |= {"Overall": {}, "YoY": {"year": "CAST(period AS INT)"}, "QoQ": {"quarter": "period"}}[grain]
+    fields |= {"city": "city", **{c: c for c in ATTRIBUTES[level.name]}}
+    fields |= {c: f"nullif({c}, CAST(0 AS DOUBLE))" for c in ("total_sales", "total_ca_consumed_sqft_igr")}
+    fields |= {"total_transactions": "nullif(total_transactions, 0)", "max_floor": "nullif(max_floor, CAST(0 AS DOUBLE))"}
+    fields |= {"recent_transaction_date": "recent_transaction_date", "project_type": "project_type"}
+    if level in AREA_LEVELS:
+        fields["no_of_da_registered"] = "no_of_da_registered"
+    for k, (name, kind, nested) in names.items():
+        cell = _q("|".join(k))
+        if not nested and kind != TEXT:
+            cell = f"CAST({cell} AS DOUBLE)"
+            cell = f"CAST({cell} AS BIGINT)" if kind == COUNT else cell
+        fields[name] = cell
+    fields["pincode_stats"] = "pincode_stats"
+    report = base.filter(of_grain).join(wide, PERIOD_KEY, "left")
+    return report.selectExpr(*[f"{fields[c]} AS {_q(c)}" for c in bedroom_order(list(fields))])
+
+
+def wide_report(
+    df: DataFrame, level: Level, grain: str, settings: Settings = DEFAULTS, labels: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """The report of one level and grain. ``labels`` saves the scan that finds the segment labels."""
+    labels = labels if labels is not None else segment_labels(df, level)
+    return widen(report_base(df, level), report_cells(df, level, settings), level, grain, labels)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared checkpoint folder and read it back.
+
+    Later steps start from the files, so a lost executor costs no more than its own tasks.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="deedmill-")
+    path = f"{folder.rstrip('/')}/deedmill-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def run_reports(
+    df: DataFrame,
+    path: str,
+    levels: Iterable[Level] = LEVELS,
+    grains: Iterable[str] = GRAINS,
+    settings: Settings = DEFAULTS,
+    fmt: str = "parquet",
+) -> dict[str, str]:
+    """All reports of prepared transactions, one file set per level, grains stacked by column name.
+
+    Prepared rows and each level's cells are computed once and staged; the wide reports are
+    pivoted from the staged cells.
+    """
+    rows = stage(df.select(*[c for c in COLUMNS if c in df.columns]), "rows")
+    out = {}
+    for level in levels:
+        labels = segment_labels(rows, level)
+        base, cells = stage(report_base(rows, level), "base"), stage(report_cells(rows, level, settings), "cells")
+        reports = []
+        for grain in grains:
+            period = {"Overall": [], "YoY": ["year"], "QoQ": ["quarter"]}[grain]
+            reports.append(widen(base, cells, level, grain, labels).orderBy("city", level.key, *period))
+        out[level.name] = f"{path.rstrip('/')}/{level.name}"
+        stacked = stack(reports)
+        save_report(stacked.select(*[F.col(_q(c)) for c in bedroom_order(stacked.columns)]), out[level.name], fmt)
+    return out
 
 
 def _q(name: str) -> str:
@@ -302,10 +358,6 @@ def bedroom_order(columns: list[str]) -> list[str]:
     return [c for c in columns if not _BEDROOM.match(c)] + sorted(bedroom, key=place)
 
 
-def order_bedroom_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(_q(c)) for c in bedroom_order(df.columns)])
-
-
 def blank_zeros(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Zeros of the named columns as nulls."""
     return df.withColumns({c: F.nullif(F.col(_q(c)), F.lit(0).cast(df.schema[c].dataType)) for c in columns})

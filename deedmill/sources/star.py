@@ -9,6 +9,7 @@ import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CITY_NAME = (
     "CASE {r} WHEN 0 THEN 'Mumbai' WHEN 1 THEN 'Pune' WHEN 2 THEN 'Thane' WHEN 3 THEN 'Dubai' ELSE 'Nagpur' END"
@@ -94,32 +95,58 @@ PROPERTY_LABELS = {
 }
 
 
-def transactions_sql(columns: Iterable[str] | None = None, table: str = "{}") -> str:
-    """SELECT that derives the given columns; dimensions no column needs are not joined.
+SMALL_INPUT = 256 * 1024 * 1024
 
-    Every key of lineitem has its match, so leaving a join out keeps the rows. ``table`` tells how
-    a table name is written.
+
+def _needed(columns: Iterable[str] | None) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Expressions of the columns and the (dimension, condition) joins they need.
+
+    Every key of lineitem has its match, so leaving a join out keeps the rows.
     """
     chosen = {c: EXPRESSIONS[c] for c in (columns or EXPRESSIONS)}
-    needed = set()
+    tables = set()
     for name, _, prefix, parent in reversed(_DIMENSIONS):
-        if name in needed or any(re.search(rf"\b{prefix}_\w", e) for e in chosen.values()):
-            needed |= {name, parent}
-    joins = [
-        f"JOIN {table.format(name)} ON {on}" for name, on, _, _ in _DIMENSIONS if name in needed
-    ]
-    fields = ",\n  ".join(f"{e} AS {_quote(c, table)}" for c, e in chosen.items())
-    return f"SELECT\n  {fields}\nFROM {table.format('lineitem')}\n" + "\n".join(joins)
+        if name in tables or any(re.search(rf"\b{prefix}_\w", e) for e in chosen.values()):
+            tables |= {name, parent}
+    return chosen, [(name, on) for name, on, _, _ in _DIMENSIONS if name in tables]
 
 
-def _quote(name: str, table: str) -> str:
-    quote = "`" if "`" in table else '"'
-    return f"{quote}{name}{quote}"
+def transactions_sql(columns: Iterable[str] | None = None, table: str = "{}", quote: str = '"') -> str:
+    """SELECT that derives the given columns. ``table`` tells how a table name is written."""
+    chosen, joins = _needed(columns)
+    fields = ",\n  ".join(f"{e} AS {quote}{c}{quote}" for c, e in chosen.items())
+    lines = [f"JOIN {table.format(name)} ON {on}" for name, on in joins]
+    return f"SELECT\n  {fields}\nFROM {table.format('lineitem')}\n" + "\n".join(lines)
 
 
 def transactions(spark: SparkSession, directory: str, columns: Iterable[str] | None = None) -> DataFrame:
     """The derived transactions over the Parquet tables of ``directory``."""
-    return spark.sql(transactions_sql(columns, f"parquet.`{directory}/{{}}.parquet`"))
+    chosen, joins = _needed(columns)
+    text = " ".join([*chosen.values(), *[on for _, on in joins]])
+    facts = dict.fromkeys(re.findall(r"\bl_\w+", text))
+    frames = {name: _table(spark, directory, name) for name, _ in joins}
+    frames["lineitem"] = _spread(_table(spark, directory, "lineitem").select(*facts))
+    return spark.sql(transactions_sql(columns, "{{{}}}", "`"), **frames)
+
+
+_schemas: dict[str, StructType] = {}
+
+
+def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """A table; its schema is read from the file once per process."""
+    path = f"{directory}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """A small input in one row group is read by one task; hand its rows to all cores.
+
+    Inputs above SMALL_INPUT have splits enough and are left as they are.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_INPUT else df
 
 
 def cities(spark: SparkSession, directory: str) -> DataFrame:
