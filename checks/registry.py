@@ -345,7 +345,7 @@ def custom_group_fn(spark, d):
         return pd.DataFrame({"n": [states["n"].sum()], "low": [states["low"].min()], "high": [states["high"].max()]})
 
     keys = ["city", "key_id", "property_type"]
-    out = callbacks.per_group(rows, keys, ["agreement_price"], partial, merge, "n bigint, low double, high double")
+    out = callbacks.per_group(rows, keys, ["agreement_price"], partial, merge, "n bigint, low double, high double", salt=1)
     return out.select(*keys, "n", (F.col("high") - F.col("low")).alias("price_spread"))
 
 

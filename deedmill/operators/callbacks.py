@@ -18,7 +18,7 @@ Step = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def per_group(
-    df: DataFrame, keys: list[str], columns: list[str], partial: Step, merge: Step, state: str, salt: int = 64
+    df: DataFrame, keys: list[str], columns: list[str], partial: Step, merge: Step, state: str, salt: int = 8
 ) -> DataFrame:
     """Merged state per group. ``state`` is the schema of the state columns, without the keys.
 
