@@ -147,7 +147,11 @@ DIST_KEY = [*PERIOD_KEY, "dist", "kind", "segment", "floor_from"]
 
 
 def rate_rows(
-    df: DataFrame, levels: Iterable[Level] = LEVELS, names: Iterable[str] = tuple(DISTRIBUTIONS), settings: Settings = DEFAULTS
+    df: DataFrame,
+    levels: Iterable[Level] = LEVELS,
+    names: Iterable[str] = tuple(DISTRIBUTIONS),
+    settings: Settings = DEFAULTS,
+    grains: Iterable[str] = GRAINS,
 ) -> DataFrame:
     """One row per transaction, level, period and distribution it belongs to, with its ``value``.
 
@@ -173,7 +177,7 @@ def rate_rows(
         )
         targets.append(F.when(fits, entry))
     named = masks()
-    rows = by_grain(by_level(df.filter(named["valid_rate"]), levels))
+    rows = by_grain(by_level(df.filter(named["valid_rate"]), levels), grains)
     return (
         rows.withColumn("_t", F.explode(F.array(*targets)))
         .filter(F.col("_t").isNotNull())
@@ -190,6 +194,7 @@ def rate_percentiles(
     names: Iterable[str] = tuple(DISTRIBUTIONS),
     settings: Settings = DEFAULTS,
     probabilities: dict[str, float] = PROBABILITIES,
+    grains: Iterable[str] = GRAINS,
 ) -> DataFrame:
     """Unrounded mean and percentiles of all asked-for rate distributions in one pass.
 
@@ -200,7 +205,7 @@ def rate_percentiles(
     def place(column: str, options: list[str]) -> Column:
         return F.array_position(F.lit(options), F.col(column)).cast("int") - 1
 
-    rows = rate_rows(df, levels, names, settings)
+    rows = rate_rows(df, levels, names, settings, grains)
     tag = (place("level", [x.name for x in LEVELS]) * len(GRAINS) + place("grain", list(GRAINS))) * len(
         DISTRIBUTIONS
     ) + place("dist", list(DISTRIBUTIONS))

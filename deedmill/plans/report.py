@@ -94,8 +94,8 @@ def _totals_part(df: DataFrame, level: Level) -> DataFrame:
     return _unpivot(segment_totals(df, [level]), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
 
 
-def _rates_part(df: DataFrame, level: Level, settings: Settings) -> DataFrame:
-    rates = with_prevailing(rate_percentiles(df, [level], settings=settings), [level])
+def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterable[str]) -> DataFrame:
+    rates = with_prevailing(rate_percentiles(df, [level], settings=settings, grains=grains), [level])
     number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [("floor_pt", "floor_wise_90p_rate", round2(F.col("p90")), text)]
     for dist, suffix in (("rate_nca_pt", "rate_nca"), ("rate_nca_bhk", "rate_nca"), ("rate_sa_pt", "rate_sa")):
@@ -148,12 +148,14 @@ def _labels_part(df: DataFrame, level: Level) -> DataFrame:
     )
 
 
-def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS) -> DataFrame:
-    """Every segment metric of a level at all grains, one scalar per row."""
-    parts = [_totals_part(df, level), _rates_part(df, level, settings), _ranges_part(df, level, settings)]
+def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS) -> DataFrame:
+    """Every segment metric of a level, one scalar per row."""
+    grains = list(grains)
+    parts = [_totals_part(df, level), _rates_part(df, level, settings, grains), _ranges_part(df, level, settings)]
     if level in AREA_LEVELS:
         parts.append(_labels_part(df, level))
-    return reduce(DataFrame.unionByName, parts)
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole if set(grains) == set(GRAINS) else whole.filter(F.col("grain").isin(grains))
 
 
 def segment_labels(df: DataFrame, level: Level) -> dict[str, list[str]]:
@@ -205,13 +207,13 @@ def _number_text(value: Column, kind: str) -> Column:
     return value.cast("bigint" if kind == COUNT else "decimal(38,2)").cast("string")
 
 
-def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS) -> DataFrame:
-    """Cells of the wide report of a level at all grains: key, column key ``name`` and text ``cell``.
+def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS) -> DataFrame:
+    """Cells of the wide report of a level: key, column key ``name`` and text ``cell``.
 
     A distribution is one JSON object, its buckets in text order. The buckets of a cell are few;
     pincodes, the largest set, are bounded by the postal system.
     """
-    rows = long_report(df, level, settings)
+    rows = long_report(df, level, settings, grains)
     counts = sorted({m for m, (kind, _) in (PROPERTY_METRICS | BEDROOM_SEGMENT_METRICS).items() if kind == COUNT})
     number = F.when(F.col("metric").isin(counts), _number_text(F.col("value"), COUNT)).otherwise(_number_text(F.col("value"), AMOUNT))
     item = F.struct("bucket", number.alias("text"))
@@ -279,7 +281,7 @@ def wide_report(
 ) -> DataFrame:
     """The report of one level and grain. ``labels`` saves the scan that finds the segment labels."""
     labels = labels if labels is not None else segment_labels(df, level)
-    return widen(report_base(df, level), report_cells(df, level, settings), level, grain, labels)
+    return widen(report_base(df, level), report_cells(df, level, settings, [grain]), level, grain, labels)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
