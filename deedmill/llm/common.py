@@ -41,6 +41,3 @@ def checkpoint(frame: DataFrame) -> DataFrame:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="deedmill-"))
     return frame.checkpoint()
 
-
-def empty_like(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import simhash
+from deedmill.llm import chat, langid, mixing, piecemerge, pii, simhash, tokencount
 from deedmill.llm.common import table
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def op1_chat_perspectives(spark: SparkSession, directory: str) -> DataFrame:
+    return chat.rotate(table(spark, directory, "conversations"))
+
+
+def op2_pii(spark: SparkSession, directory: str) -> DataFrame:
+    return pii.find(table(spark, directory, "documents"))
+
+
+def op3_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.query(table(spark, directory, "documents"))
+
 
 def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.query(table(spark, directory, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_simhash": op4_simhash,
+def op6_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    return piecemerge.digests(table(spark, directory, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_language(spark: SparkSession, directory: str) -> DataFrame:
+    return langid.identify(table(spark, directory, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op9_language)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_chat_perspectives": chat.SQL, "op3_mixing": mixing.sql()}
