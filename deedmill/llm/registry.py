@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import chat, langid, mixing, piecemerge, pii, simhash, tokencount
+from deedmill.llm import chat, editprint, langid, mixing, piecemerge, pii, simhash, tokencount
 from deedmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +41,13 @@ def op9_language(spark: SparkSession, directory: str) -> DataFrame:
     return langid.identify(table(spark, directory, "documents"))
 
 
+def op10_edit_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    return editprint.compared(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op9_language)
+    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op9_language, op10_edit_fingerprints)
 }
 
 SQL: dict[str, str] = {"op1_chat_perspectives": chat.SQL, "op3_mixing": mixing.sql()}

@@ -20,16 +20,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deedmill.llm import tiles
 from deedmill.llm.common import checkpoint, id_and_text, map_batches
 from deedmill.llm.components import components
+from deedmill.llm.tiles import Near
 
 WORDS_IN_SHINGLE = 3
 HASH_SEED = 42
 RADIUS = 2
 #: Bits of the blocks that keys are made of.
 BLOCKS = (13, 13, 13, 13, 12)
-#: Fingerprints of a key that one tile holds.
-TILE = 2048
 ROWS_AT_ONCE = 1 << 17
 
 
@@ -130,75 +130,27 @@ def near_rows(left: np.ndarray, right: np.ndarray, radius: int = RADIUS) -> tupl
     return alive, np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(right)].astype(bool)
 
 
-def _tile_links(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the prints within the radius of each other: pairs of prints."""
-    root = np.arange(len(prints))
+def _near(radius: int) -> Near:
+    def near(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        prints = values.view(np.uint64)
+        for at in range(0, len(prints), 256):
+            rows, lines = near_rows(prints[at : at + 256], prints, radius)
+            yield from zip((rows + at).tolist(), lines, strict=True)
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    return near
 
-    found: list[tuple[int, int]] = []
-    for at in range(0, len(prints), 256):
-        rows, near = near_rows(prints[at : at + 256], prints, radius)
-        for row, line in zip(rows.tolist(), near, strict=True):
-            i = at + row
-            for j in np.unique(root[np.nonzero(line)[0]]).tolist():
-                a, b = find(i), find(j)
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    found.append((i, j))
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return prints[pairs[:, 0]], prints[pairs[:, 1]]
 
-
-def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...] = BLOCKS, tile: int = TILE) -> DataFrame:
+def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...] = BLOCKS, tile: int = tiles.TILE) -> DataFrame:
     """Pairs a, b that join all distinct values of `prints`.print within the radius; chains of pairs stand for the rest."""
     distinct = prints.select("print").distinct()
     masks = _block_keys(blocks, radius)
     keyed = distinct.select(
-        F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("which", "key"), "print"
-    )
-    sizes = keyed.groupBy("which", "key").agg(F.count("*").alias("n")).where("n > 1")
-    tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
-    own = F.pmod(F.xxhash64("print"), F.col("tiles"))
-    dealt = keyed.join(sizes, ["which", "key"]).withColumn("tiles", tiles).withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select(
-        "which", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "print"
+        F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("which", "key"), F.col("print").alias("value")
     )
-    group = ["which", "key", "x", "y"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(prints: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = zip(*[_tile_links(p.view(np.uint64), radius) for p in prints], strict=True)
-            return pa.record_batch([pa.array(np.concatenate(s).view(np.int64)) for s in (a, b)], ["a", "b"])
-
-        rest, last = np.empty(0, np.int64), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
-            values = batch.column(4).to_numpy()
-            cuts = np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1
-            runs = np.split(values, cuts)
-            if last is not None and (keys[0] == last).all():
-                runs[0] = np.concatenate([rest, runs[0]])
-            elif len(rest) > 1:
-                runs.insert(0, rest)
-            rest, last = runs.pop(), keys[-1]
-            if runs := [r for r in runs if len(r) > 1]:
-                yield linked(runs)
-        if len(rest) > 1:
-            yield linked([rest])
-
-    ready = dealt.repartition(*group).sortWithinPartitions(*group)
-    return ready.mapInArrow(run, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...] = BLOCKS, tile: int = TILE) -> DataFrame:
+    return tiles.links(keyed, _near(radius), "long", tile)
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...] = BLOCKS, tile: int = tiles.TILE) -> DataFrame:
     """doc_id, print and component_id, the smallest doc_id that links lead to, a row for each row of `docs`.
 
     A null or empty text, or one of white space alone, has the print zero and is linked like any other. A null
