@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import chat, editprint, langid, mixing, piecemerge, pii, simhash, tokencount
+from deedmill.llm import chat, editprint, langid, mixing, neighbours, piecemerge, pii, simhash, tokencount
 from deedmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
     return piecemerge.digests(table(spark, directory, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours.query(table(spark, directory, "embeddings"))
+
+
 def op9_language(spark: SparkSession, directory: str) -> DataFrame:
     return langid.identify(table(spark, directory, "documents"))
 
@@ -47,7 +51,7 @@ def op10_edit_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op9_language, op10_edit_fingerprints)
+    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op8_neighbours, op9_language, op10_edit_fingerprints)
 }
 
 SQL: dict[str, str] = {"op1_chat_perspectives": chat.SQL, "op3_mixing": mixing.sql()}
