@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -19,7 +20,7 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """One result batch for each Arrow batch of `frame`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -29,15 +30,17 @@ def map_batches(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.Record
     return frame.mapInArrow(run, schema)
 
 
-def checkpoint(frame: DataFrame) -> DataFrame:
-    """Write `frame` to the shared checkpoint folder and go on from there, so that a lost executor costs only its own tasks.
-
-    The folder is the session's. A local session without one gets a temporary folder; a cluster must name one.
-    """
-    context = frame.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder. A local session without one gets a temporary folder; a cluster must name one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="deedmill-"))
-    return frame.checkpoint()
+    return context.getCheckpointDir()
 
+
+def checkpoint(frame: DataFrame) -> DataFrame:
+    """Write `frame` to the shared folder and go on from there, so that a lost executor costs only its own tasks."""
+    shared_folder(frame.sparkSession)
+    return frame.checkpoint()

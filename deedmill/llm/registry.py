@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import chat, editprint, langid, mixing, neighbours, piecemerge, pii, simhash, tokencount
+from deedmill.llm import chat, editprint, langid, mixing, neighbours, piecemerge, pii, simhash, suffixes, tokencount
 from deedmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,10 @@ def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.query(table(spark, directory, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return suffixes.query(table(spark, directory, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,7 +56,12 @@ def op10_edit_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op6_token_counts, op7_sentencepiece, op8_neighbours, op9_language, op10_edit_fingerprints)
-}
+    for f in (
+        op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op5_suffix_dedup, op6_token_counts, op7_sentencepiece,
+        op8_neighbours, op9_language, op10_edit_fingerprints,
+    )
+} | {"pipeline": corpus_pipeline.run}
 
 SQL: dict[str, str] = {"op1_chat_perspectives": chat.SQL, "op3_mixing": mixing.sql()}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
