@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from deedmill.llm.common import map_batches
 
 BUCKETS, DIMENSIONS, GRAMS = 1 << 14, 16, (2, 3, 4)
-#: Bounds of the training sample: texts of each language, and of all languages together.
-PER_LANGUAGE, IN_ALL = 600, 6000
+#: Bounds of the training sample: texts of each language, and of all languages together; shares in which it is chosen.
+PER_LANGUAGE, IN_ALL, SHARES = 600, 6000, 1024
 #: Every so-manieth text of the sample is kept for calibration.
 CALIBRATE = 5
 EPOCHS, RATE, SEED = 8, 0.5, 7
@@ -124,8 +124,12 @@ def fit(docs: DataFrame) -> Model:
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     known = known.where("lang is not null and doc_id is not null and not (crc32(cast(doc_id as string)) % 4 <=> 2)").distinct()
     hashed = F.xxhash64("doc_id", "lang")
-    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id")))
-    chosen = ranked.where(F.col("rank") <= PER_LANGUAGE).orderBy("rank", hashed, "doc_id").limit(IN_ALL)
+    # First within each of many shares of a language, so that no task gets all of its texts.
+    share = F.pmod(F.xxhash64("lang", "doc_id"), F.lit(SHARES))
+    for keys in (["lang", share], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed, "doc_id"))
+        known = known.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
+    chosen = known.orderBy("rank", hashed, "doc_id").limit(IN_ALL)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     # The chosen side has IN_ALL rows at most.
