@@ -264,10 +264,10 @@ def _name_batches(texts: DataFrame, shards: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = batch.filter(batch.column(0).is_valid())
         ids = known.column(0).to_numpy()
-        parts = list(scan([(t or "").encode() for t in known.column(1).to_pylist()]))
+        parts = [(p.name, p.anchor, ids[p.text]) for p in scan([(t or "").encode() for t in known.column(1).to_pylist()])]
         if not parts:
             return _batch_rows([])
-        name, anchor, docs = (np.concatenate(x) for x in zip(*((p.name, p.anchor, ids[p.text]) for p in parts), strict=True))
+        name, anchor, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
         where = ((anchor >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
         return _batch_rows(list(_deal(name, anchor.astype(np.uint32), docs, where)))
 
