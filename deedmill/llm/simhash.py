@@ -173,7 +173,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     named = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(named, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    kept = docs.join(named, docs["doc_id"].cast("long") == named["_kept"], "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
 
 
