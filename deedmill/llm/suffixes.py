@@ -336,7 +336,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         data = [zstandard.compress((t or "").encode(), 3) for t in batch.column(1).to_pylist()]
         return pa.record_batch([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "packed"])
 
-    packed = map_batches(texts, pack, "doc_id long, packed binary")
+    # Both joins below read one exchange of this: they are given the same rows by the same plan.
+    packed = map_batches(texts.where("doc_id IS NOT NULL"), pack, "doc_id long, packed binary").where("doc_id IS NOT NULL")
     flagged = packed.join(names.where(F.size("shared") > 0).select("doc_id", "shared"), "doc_id")
     strings = _decided(_string_batches(flagged, shards), False)
     strings = strings.groupBy("doc_id").agg(F.collect_list("key").alias("strings"))
@@ -357,7 +358,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return pa.record_batch([batch.column(0), *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return map_batches(joined.select("doc_id", "packed", "removed", "shared", "strings"), run, schema)
+    columns = ["doc_id", "packed", "removed", "shared", "strings"]
+    nameless = map_batches(texts.where("doc_id IS NULL"), pack, "doc_id long, packed binary")
+    nothing = [F.lit(None).cast("array<long>").alias(c) for c in columns[2:]]
+    return map_batches(joined.select(*columns).unionByName(nameless.select("doc_id", "packed", *nothing)), run, schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
