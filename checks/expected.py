@@ -6,12 +6,13 @@ staged percentiles.
 
 from __future__ import annotations
 
-from deedmill.config import DEFAULTS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS
+from deedmill.config import (
+    AGE_PATTERN, COMMERCIAL_TYPES, DEFAULTS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS, RESIDENTIAL_TYPES,
+)
 from deedmill.sources import star
 
-RES = "'Flat', 'Apartment', 'Room', 'Bunglow', 'Studio', 'Hall', 'Unit', 'Duplex', 'Flat/Shop', 'Row_House', 'Penthouse', 'Triplex Apartment'"
-COM = "'Shop', 'Office', 'Commercial Unit', 'Commercial', 'Commerical', 'Showroom'"
-AGE = r"(?:वय[:-]?\s*(\d{2})|(\d{2}))\s*(?:;|\s)*पत्ता|(\d{2})\s+प्लॉट|(\d{2})\s*-,"
+RES, COM = (", ".join(f"'{x}'" for x in names) for names in (RESIDENTIAL_TYPES, COMMERCIAL_TYPES))
+AGE = AGE_PATTERN
 
 
 def _values(rows) -> str:
@@ -34,7 +35,8 @@ def _param(name: str) -> str:
     return f"coalesce(o.{name}, {float(getattr(DEFAULTS.default_city, name))!r}::DOUBLE)::DOUBLE"
 
 
-def _prepared() -> str:
+def _prepared(micro: bool = False) -> str:
+    own_level = "UNION ALL SELECT 'micro', CAST(location_id AS BIGINT), * FROM p WHERE location_id IS NOT NULL" if micro else ""
     loading = f"CASE WHEN t.property_type IN ('Flat', 'Others') THEN {_param('residential_loading')} ELSE {_param('commercial_loading')} END"
     bounds = ", ".join(f"{_param(c)} AS {c}" for c in PARAM_COLUMNS if c.startswith(("min_", "max_")))
     return f"""
@@ -69,6 +71,7 @@ every AS (
   SELECT 'location' AS level, CAST(loc_id AS BIGINT) AS key_id, * FROM p WHERE loc_id IS NOT NULL
   UNION ALL
   SELECT 'city', CAST(city_id AS BIGINT), * FROM p WHERE city_id IS NOT NULL
+  {own_level}
 ),
 sales AS (
   SELECT 'project' AS level, CAST(proj_id AS BIGINT) AS key_id, * FROM p
@@ -122,8 +125,7 @@ def on_s(body: str, *more: str) -> str:
 
 def r2(x: str) -> str:
     """Two decimals, half to even, after dropping the noise of the last bits."""
-    scaled = f"CASE WHEN abs({x}) < 1e7 THEN round_even({x} * 1e8, 0) / 1e6 ELSE {x} * 100 END"
-    return f"(round_even({scaled}, 0) / 100)"
+    return f"(round_even(CAST(CAST({x} AS DECIMAL(38,6)) * 100 AS DOUBLE), 0) / 100)"
 
 
 def money(x: str) -> str:
@@ -277,6 +279,29 @@ SELECT k AS "{key}", arg_max(v, line) AS {value} FROM pairs GROUP BY k"""
 CITIES = f"SELECT CAST(r_regionkey + 1 AS INTEGER) AS city_id, {star.CITY_NAME.format(r='r_regionkey')} AS city_name FROM region"
 
 
+def _closest(labels: str, known: list[str], threshold: float) -> str:
+    """CTE ``best``: the closest known label of each other label, by the textbook table of common subsequences."""
+    values = ", ".join(f"({i}, '{name}')" for i, name in enumerate(known))
+    words = lambda c: f"array_to_string(list_sort(list_filter(string_split_regex({c}, '\\s+'), lambda w: w <> '')), ' ')"
+    return f"""WITH RECURSIVE names AS ({labels}),
+known(position, known) AS (VALUES {values}),
+pairs AS (
+  SELECT label, position, known, {words('label')} AS a, {words('known')} AS b FROM names, known
+  WHERE label NOT IN (SELECT known FROM known)),
+steps(label, position, i, line) AS (
+  SELECT label, position, 0, list_transform(range(length(b) + 1), lambda j: 0) FROM pairs
+  UNION ALL
+  SELECT s.label, s.position, s.i + 1, list_prepend(0, list_transform(range(1, length(b) + 1), lambda j: list_max(list_transform(
+    range(1, j + 1), lambda k: greatest(s.line[k + 1], CASE WHEN a[s.i + 1] = b[k] THEN s.line[k] + 1 ELSE 0 END)))))
+  FROM steps s JOIN pairs p ON s.label = p.label AND s.position = p.position WHERE s.i < length(a)),
+scores AS (
+  SELECT p.label, p.position, known, CASE WHEN length(a) + length(b) = 0 THEN 100.0 ELSE 200.0 * line[length(b) + 1] / (length(a) + length(b)) END AS score
+  FROM pairs p JOIN steps s ON s.label = p.label AND s.position = p.position AND s.i = length(a)),
+best AS (
+  SELECT label, CASE WHEN score >= {threshold} THEN known ELSE 'Others' END AS match, score
+  FROM scores QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC, position) = 1)"""
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
@@ -312,7 +337,7 @@ def _long_parts(level: str) -> str:
         f"SELECT {SK}, 'floor_wise_90p_rate', CAST(lo AS VARCHAR) || '-' || CAST(lo + 5 AS VARCHAR), {r2('quantile_cont(rate_on_net_ca, 0.9)')}, NULL "
         f"FROM (SELECT *, CAST(floor(floor_no / 5) * 5 AS INTEGER) AS lo FROM s WHERE floor_no >= 0) WHERE {at} AND {pt} AND {RATE_OK} GROUP BY {SK}, lo"
     )
-    q, band = (0.9, 0.05) if level == "project" else (0.8, 0.1)
+    q, band = {"project": (0.9, 0.05), "micro": (0.85, 0.07)}.get(level, (0.8, 0.1))
     ends = " || '-' || ".join(f"CAST(CAST(trunc(quantile_cont(rate_on_net_ca, {q}) * (1 {sign} {band}::DOUBLE)) AS BIGINT) AS VARCHAR)" for sign in "-+")
     parts.append(part("most_prevailing_rate_range", "s", "NULL", f"{pt} AND {RATE_OK}", text=ends))
     inside = "bucket IS NOT NULL"
@@ -340,7 +365,7 @@ def _long_parts(level: str) -> str:
     every = f"""
 b AS (SELECT *, 'bhk_br' AS kind, bhk_br AS segment FROM g WHERE bhk_br IS NOT NULL)"""
     ctes = [_grains("sales", "g"), _grains("every", "e"), _segments(), every, area_rows("ar", False), area_rows("ap", True), rate_rows_("rr"), price_rows("pr"), age_rows("ag")]
-    return "WITH" + _prepared() + ",".join(ctes) + ",\nl AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    return "WITH" + _prepared(level == "micro") + ",".join(ctes) + ",\nl AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
 
 
 def _number(value: str, kind: str) -> str:
@@ -527,6 +552,21 @@ QUALIFY rank <= 10"""
         out[f"report_{level}_long"] = f"{_long_parts(level)} SELECT {SK}, metric, bucket, value, text FROM l"
         for grain, suffix in (("Overall", ""), ("YoY", "_yoy"), ("QoQ", "_qoq")):
             out[f"report_{level}{suffix}"] = _wide(level, grain)
+    out["report_custom_level"] = f"{_long_parts('micro')} SELECT {SK}, metric, bucket, value, text FROM l"
+    out["run_all_reports"] = on_g(
+        f"""SELECT level, grain AS "Type", key_id, city, CASE WHEN grain = 'YoY' THEN CAST(period AS INTEGER) END AS "year",
+  CASE WHEN grain = 'QoQ' THEN period END AS quarter, nullif({r2('coalesce(sum(agreement_price), 0)')}, 0) AS total_sales,
+  nullif(count(document_no), 0) AS total_transactions, nullif(max(floor_no), 0) AS max_floor, {TYPE_LABEL} AS project_type
+FROM g GROUP BY {PK}"""
+    )
+    names = "SELECT DISTINCT array_to_string(list_transform(string_split(lower(p_type || ' ' || p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS label FROM part"
+    out["fuzzy_labels"] = f"{_closest(names, ['Standard Part', 'Part Small', 'Promo', 'Economy Part 7', 'Large'], 60)} SELECT label, match, {r2('score')} AS score FROM best"
+    typed = f"SELECT property_type_raw || 'x' AS label FROM ({star.transactions_sql(['property_type_raw'])}) t"
+    known = ["Flat", "Apartment", "Row House", "Shop"]
+    out["normalize_labels"] = (
+        f"{_closest(f'SELECT DISTINCT label FROM ({typed}) u WHERE label IS NOT NULL', known, 70)} "
+        f"SELECT coalesce(match, u.label) AS label, count(*) AS n FROM ({typed}) u LEFT JOIN best ON best.label = u.label GROUP BY 1"
+    )
     city = out["city_base"]
     out["report_union"] = f"""WITH b AS ({city})
 SELECT grain AS "Type", key_id, total_sales, total_transactions, CASE WHEN grain = 'YoY' THEN period END AS "year",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -16,6 +17,7 @@ from deedmill.operators.levels import BEDROOM, CITY, LEVELS, LOCATION, PERIOD_KE
 from deedmill.plans import report
 from deedmill.sources import labels, star
 from deedmill.sources import transactions as source
+from deedmill.sources.staging import shared_folder
 
 import pyarrow as pa
 
@@ -167,6 +169,14 @@ def fuzzy_labels(spark, d):
     return fuzzy.closest_labels(names, "label", known, 60).select("label", "match", round2(F.col("score")).alias("score"))
 
 
+@query
+def normalize_labels(spark, d):
+    """Raw property types with typing errors, replaced by the closest known label."""
+    rows = raw(spark, d, "property_type_raw").select(F.concat("property_type_raw", F.lit("x")).alias("label"))
+    out = fuzzy.normalize_labels(rows, "label", ["Flat", "Apartment", "Row House", "Shop"], 70)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def mask_summary(spark, d):
     return levels.mask_summary(prepared(spark, d, *KEYS, *PRICES, "bhk_br"))
@@ -345,7 +355,7 @@ def custom_group_fn(spark, d):
         return pd.DataFrame({"n": [states["n"].sum()], "low": [states["low"].min()], "high": [states["high"].max()]})
 
     keys = ["city", "key_id", "property_type"]
-    out = callbacks.per_group(rows, keys, ["agreement_price"], partial, merge, "n bigint, low double, high double", salt=1)
+    out = callbacks.per_group(rows, keys, ["agreement_price"], partial, merge, "n bigint, low double, high double")
     return out.select(*keys, "n", (F.col("high") - F.col("low")).alias("price_spread"))
 
 
@@ -366,6 +376,30 @@ for _level in LEVELS:
         QUERIES[f"report_{_level.name}{_suffix}"] = _report(_level, _grain)
 
 
+MICRO = levels.Level("micro", "location_id", False, False, 0.85, 0.07, (("location", "location"),))
+
+
+@query
+def report_custom_level(spark, d):
+    """A level of the user's own: another key, percentile and band."""
+    return report.long_report(prepared(spark, d, *report.COLUMNS), MICRO)
+
+
+@query
+def run_all_reports(spark, d):
+    """The full run: three levels by three grains, written, and the totals read back from the files."""
+    path = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}"
+    written = report.run_reports(prepared(spark, d, *report.COLUMNS), path)
+    parts = []
+    for level in LEVELS:
+        out = spark.read.parquet(written[level.name])
+        parts.append(out.select(
+            F.lit(level.name).alias("level"), "Type", F.col(level.key).alias("key_id"), "city", "year", "quarter",
+            "total_sales", "total_transactions", "max_floor", "project_type",
+        ))
+    return report.stack(parts)
+
+
 @query
 def report_union(spark, d):
     """City totals of the three grains under one another, columns matched by name."""

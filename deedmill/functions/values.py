@@ -17,10 +17,9 @@ def round2(c: Column) -> Column:
     """Two decimals, ties to even.
 
     The order of additions differs from run to run, and with it the last bits of a sum. They are
-    rounded off first, so that a tie is seen as one and results do not depend on partitioning.
-    Amounts of ten million and more have no eight decimals to spare and are rounded directly.
+    rounded off first, to six decimals, so that a tie is seen as one.
     """
-    return F.rint(F.when(F.abs(c) < 1e7, F.rint(c * 1e8) / 1e6).otherwise(c * 100)) / 100
+    return F.bround(c.cast("double").try_cast("decimal(38,6)"), 2).cast("double")
 
 
 def no_nan(c: Column) -> Column:

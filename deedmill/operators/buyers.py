@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -26,13 +28,14 @@ def _by_pincode(df: DataFrame, levels: Iterable[Level]) -> DataFrame:
 def pincode_stats(df: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
     """Priced documents per pincode: count, share, total and mean.
 
-    The share is of all priced documents, also those without pincode. The window runs over the
-    pincodes of a key, not over its documents.
+    The share is of all priced documents, also those without pincode. Totals are added up from the
+    pincodes' counts and joined to them.
     """
     rows = _by_pincode(df.filter(masks()["valid_price"]), levels)
-    total = F.sum("n").over(W.partitionBy(*PERIOD_KEY))
+    totals = rows.groupBy(*PERIOD_KEY).agg(F.sum("n").alias("_total")).toDF(*[f"_k_{c}" for c in PERIOD_KEY], "_total")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in PERIOD_KEY])
     return (
-        rows.withColumn("_total", total)
+        rows.join(totals, same)
         .filter(F.col("pincode").isNotNull())
         .select(
             *PERIOD_KEY,

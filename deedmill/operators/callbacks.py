@@ -13,37 +13,61 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Step = Callable[[pd.DataFrame], pd.DataFrame]
 
+# Partial states of a group that are merged at once, and groups whose states a task holds.
+MERGE_AT, HELD = 32, 20_000
+
 
 def per_group(
     df: DataFrame, keys: list[str], columns: list[str], partial: Step, merge: Step, state: str, salt: int = 8
 ) -> DataFrame:
     """Merged state per group. ``state`` is the schema of the state columns, without the keys.
 
-    Partials are made batch by batch where the rows are, then merged twice: first within one of
-    ``salt`` shares of the input partitions, then across the shares.
+    Rows are folded where they are: a task keeps one state per group, merged as batches come. States
+    are then merged in two rounds: within one of ``salt`` shares of the tasks, and across the shares.
     """
     by_name = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_schema = ", ".join(f"`{k}` {by_name[k]}" for k in keys)
-    state_names = [part.split()[0].strip("`") for part in state.split(",")]
+    state_names = StructType.fromDDL(state).names
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            share = frame["_share"].iloc[0] if len(frame) else 0
+    def one(states: list[pd.DataFrame]) -> pd.DataFrame:
+        return states[0] if len(states) == 1 else merge(pd.concat(states, ignore_index=True))[state_names]
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list[pd.DataFrame]] = {}
+        share = 0
+
+        def handed_on() -> pd.DataFrame:
             made = []
+            for key, states in held.items():
+                out = one(states).copy()
+                for name, value in zip(keys, key, strict=True):
+                    out[name] = [value] * len(out)
+                made.append(out.assign(_share=share))
+            return pd.concat(made, ignore_index=True)[[*keys, *state_names, "_share"]]
+
+        for frame in frames:
+            if len(frame):
+                share = frame["_share"].iloc[0]
             for key, rows in frame.groupby(keys, dropna=False, sort=False):
-                part = partial(rows)[state_names].copy()
-                for name, value in zip(keys, key if isinstance(key, tuple) else (key,), strict=True):
-                    part[name] = value
-                made.append(part.assign(_share=share))
-            if made:
-                yield pd.concat(made, ignore_index=True)[[*keys, *state_names, "_share"]]
+                # Missing keys are not equal to themselves, None is.
+                key = tuple(None if pd.isna(k) else k for k in (key if isinstance(key, tuple) else (key,)))
+                states = held.setdefault(key, [])
+                states.append(partial(rows)[state_names])
+                if len(states) >= MERGE_AT:
+                    held[key] = [one(states)]
+            if len(held) >= HELD:
+                yield handed_on()
+                held.clear()
+        if held:
+            yield handed_on()
 
     share = F.pmod(F.spark_partition_id(), F.lit(salt)).cast("int").alias("_share")
     parts = df.select(*keys, *[c for c in columns if c not in keys], share).mapInPandas(
-        batches, f"{key_schema}, {state}, `_share` int"
+        fold, f"{key_schema}, {state}, `_share` int"
     )
     names = [*keys, "_share"]
     first = parts.groupBy(*names).applyInPandas(_merger(merge, state_names, names), f"{key_schema}, `_share` int, {state}")

@@ -23,12 +23,15 @@ PROPERTY, BEDROOM = "property_type", "bhk_br"
 
 @dataclass(frozen=True)
 class Level:
+    """A key column to report by, with its rules. ``attributes`` are (output, input) descriptive columns."""
+
     name: str
     key: str
     mean_bins: bool  # bins around the segment's mean; otherwise fixed by city
     manual_only: bool
     prevailing_percentile: float
     prevailing_band: float
+    attributes: tuple[tuple[str, str], ...] = ()
 
     def rows(self, sale_only: bool = True) -> Column:
         """Rows of the level's base population."""
@@ -40,8 +43,15 @@ class Level:
         return rows
 
 
-PROJECT = Level("project", "proj_id", True, True, 0.90, 0.05)
-LOCATION = Level("location", "loc_id", False, False, 0.80, 0.10)
+PROJECT = Level(
+    "project", "proj_id", True, True, 0.90, 0.05,
+    (("index", "index"), ("project", "project_name"), ("location", "location"), ("location_id", "location_id"),
+     ("project_lat", "project_lat"), ("project_lng", "project_lng"), ("city_id", "city_id")),
+)
+LOCATION = Level(
+    "location", "loc_id", False, False, 0.80, 0.10,
+    (("location", "location"), ("city_id", "city_id"), ("location_lat", "location_lat"), ("location_lng", "location_lng")),
+)
 CITY = Level("city", "city_id", False, False, 0.80, 0.10)
 LEVELS = (PROJECT, LOCATION, CITY)
 AREA_LEVELS = (LOCATION, CITY)

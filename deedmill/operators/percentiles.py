@@ -3,20 +3,23 @@
 The built-in ``percentile`` keeps every distinct value of a group in one task. A city may hold a
 third of all rows, so groups are never gathered here:
 
-1. count values per (group, cell), where cells are fine, order-keeping slices of the value axis;
-   partial aggregation shrinks a hot group to its few thousand occupied cells before the shuffle;
-2. running counts over the cells tell which cells hold the wanted ranks;
-3. where a rank is a cell's first or last value, or the cell holds one distinct value, the cell's
-   minimum or maximum is the answer; only for the cells left over are rows read again, joined on
-   (group, cell), and ranked within the cell.
-
-The number of cells of a group is bounded by the value axis, not by the data. Whether the
-left-over cells are broadcast in step 3 is left to the planner, which knows their size.
+1. equal values are counted once, at the finest key; everything later works on these counts;
+2. they are added up per (group, cell), where cells are fine, order-keeping slices of the value
+   axis; partial aggregation shrinks a hot group to its few thousand occupied cells before the shuffle;
+3. running counts over the cells tell which cells hold the wanted ranks;
+4. where a rank is a cell's first or last value, or the cell holds one distinct value, the cell's
+   minimum or maximum is the answer; the counts of the cells left over are ranked value by value.
+
+The number of cells of a group is bounded by the value axis, not by the data. A rate belongs to a
+group for each level, period and distribution, but counts meet the cells left over once per level:
+the groups that want a cell are kept together, and only the ones that match go on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from deedmill.config import DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.functions.values import round2
-from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, SEGMENT_KEY, Level, by_grain, by_level, masks
+from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, SEGMENT_KEY, Level, masks
 
 CELLS_PER_OCTAVE = 4096
 
@@ -42,14 +45,28 @@ def exact_percentiles(
 
     ``probabilities`` names the output columns. Null values are left out. Keys may be null.
     """
-    rows = rows.filter(F.col(value).isNotNull()).select(
-        F.xxhash64(*keys).alias("_hash"), *keys, F.col(value).alias("_v"), _cell(F.col(value)).alias("_cell")
-    )
-    # Sorting by a hash first settles nearly every comparison without looking at the keys.
-    keys, out_keys = ["_hash", *keys], list(keys)
-    cells = rows.groupBy(*keys, "_cell").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("_v").alias("_sum"),
+    rows = rows.filter(F.col(value).isNotNull())
+    counted = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumn("_cell", _cell(F.col("_v")))
+
+    def reread(left_over: DataFrame) -> DataFrame:
+        side = left_over.toDF(*[f"_k_{c}" if c in keys or c == "_cell" else c for c in left_over.columns])
+        return counted.join(side, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_cell"]]))
+
+    return percentiles_of_counts(counted, keys, probabilities, mean, reread)
+
+
+def percentiles_of_counts(
+    entries: DataFrame, keys: list[str], probabilities: dict[str, float], mean: str | None, reread: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Percentiles of values ``_v`` that occur ``_n`` times, in cells ``_cell``, in groups of ``keys``.
+
+    ``reread`` gets (keys, _cell and what has to be carried along) for the cells that must be looked
+    into, and returns their values and counts with it.
+    """
+    cells = entries.groupBy(*keys, "_cell").agg(
+        F.sum("_n").alias("_n"),
+        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
@@ -64,47 +81,23 @@ def exact_percentiles(
         return (F.ceil(position) if upper else F.floor(position)).cast("bigint")
 
     bounds = [rank(p, upper) for p in probabilities.values() for upper in (False, True)]
-    end = F.col("_before") + F.col("_n")
-    inside = [(b >= F.col("_before")) & (b < end) for b in bounds]
-    any_inside = inside[0]
-    for test in inside[1:]:
-        any_inside = any_inside | test
-    hits = ranked.filter(any_inside).withColumn(
-        "_ranks",
-        F.array_distinct(F.array_compact(F.array(*[F.when(t, b) for t, b in zip(inside, bounds, strict=True)]))),
-    )
-    settled = F.filter(
+    wanted = F.array_distinct(F.array(*bounds))
+    first, end = F.col("_before"), F.col("_before") + F.col("_n")
+    hits = ranked.withColumn("_ranks", F.filter(wanted, lambda r: (r >= first) & (r < end))).filter(F.size("_ranks") > 0)
+    # Array of (rank, value); the value is null where the cell must be looked into.
+    one = F.col("_min") == F.col("_max")
+    known = F.transform(
         "_ranks",
-        lambda r: (r == F.col("_before"))
-        | (r == F.col("_before") + F.col("_n") - 1)
-        | (F.col("_min") == F.col("_max")),
-    )
-    hits = hits.withColumn("_open", F.array_except("_ranks", settled))
-    known = hits.select(*keys, "_total", "_sum", F.explode(settled).alias("_rank"), "_before", "_min", "_max").select(
-        *keys,
-        "_total",
-        "_sum",
-        "_rank",
-        F.when(F.col("_rank") == F.col("_before"), F.col("_min")).otherwise(F.col("_max")).alias("_v"),
-    )
-    left_over = hits.filter(F.size("_open") > 0).select(*keys, "_cell", "_total", "_sum", "_before", "_open")
-    # Copies of a value are counted before they are shuffled and ranked.
-    side = left_over.toDF(*[f"_k_{c}" if c in keys or c == "_cell" else c for c in left_over.columns])
-    same = None
-    for c in [*keys, "_cell"]:
-        test = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        same = test if same is None else same & test
-    values = (
-        rows.join(side, same)
-        .groupBy(*keys, "_cell", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.first("_total").alias("_total"),
-            F.first("_sum").alias("_sum"),
-            F.first("_before").alias("_before"),
-            F.first("_open").alias("_open"),
-        )
+        lambda r: F.struct(r.alias("rank"), F.when(one | (r == first), F.col("_min")).when(r == end - 1, F.col("_max")).alias("v")),
     )
+    hits = hits.withColumn("_known", known)
+    settled = hits.select(*keys, "_total", "_sum", F.explode("_known").alias("_k")).filter("_k.v IS NOT NULL")
+    settled = settled.select(*keys, "_total", "_sum", F.col("_k.rank").alias("_rank"), F.col("_k.v").alias("_v"))
+    opened = F.transform(F.filter("_known", lambda k: k["v"].isNull()), lambda k: k["rank"])
+    left_over = hits.withColumn("_open", opened).filter(F.size("_open") > 0)
+    left_over = left_over.select(*keys, "_cell", "_total", "_sum", "_before", "_open")
+    carried = ["_total", "_sum", "_before", "_open"]
+    values = reread(left_over).groupBy(*keys, "_cell", "_v").agg(F.sum("_n").alias("_n"), *[F.first(c).alias(c) for c in carried])
     within = W.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     found = (
         values.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
@@ -117,7 +110,7 @@ def exact_percentiles(
         return F.max(F.when(F.col("_rank") == rank(p, upper), F.col("_v")))
 
     ends = [at(p, upper).alias(f"_{name}_{upper}") for name, p in probabilities.items() for upper in (False, True)]
-    picked = known.unionByName(found).groupBy(*keys).agg(F.max("_total").alias("_total"), F.max("_sum").alias("_sum"), *ends)
+    picked = settled.unionByName(found).groupBy(*keys).agg(F.max("_total").alias("_total"), F.max("_sum").alias("_sum"), *ends)
 
     def between(name: str, p: float) -> Column:
         low, high = F.col(f"_{name}_False"), F.col(f"_{name}_True")
@@ -127,7 +120,7 @@ def exact_percentiles(
     out = [between(name, p).alias(name) for name, p in probabilities.items()]
     if mean:
         out.append((F.col("_sum") / F.col("_total")).alias(mean))
-    return picked.select(*out_keys, F.col("_total").alias("n"), *out)
+    return picked.select(*keys, F.col("_total").alias("n"), *out)
 
 
 def floor_bucket(settings: Settings = DEFAULTS) -> Column:
@@ -146,48 +139,37 @@ DISTRIBUTIONS = {
 DIST_KEY = [*PERIOD_KEY, "dist", "kind", "segment", "floor_from"]
 
 
-def rate_rows(
-    df: DataFrame,
-    levels: Iterable[Level] = LEVELS,
-    names: Iterable[str] = tuple(DISTRIBUTIONS),
-    settings: Settings = DEFAULTS,
-    grains: Iterable[str] = GRAINS,
-) -> DataFrame:
-    """One row per transaction, level, period and distribution it belongs to, with its ``value``.
+def counted_rates(df: DataFrame, levels: Iterable[Level] = LEVELS, names: Iterable[str] = tuple(DISTRIBUTIONS), settings: Settings = DEFAULTS) -> DataFrame:
+    """How often each rate occurs, per key of any of the levels, quarter, segment and floor bucket.
 
-    Rows need a positive price and area, hence a positive rate.
+    ``rates`` is an array of (which value column, value, cell). Rows need a positive price and area,
+    hence a positive rate.
     """
-    none = F.lit(None).cast("int")
-    targets = []
-    for name in names:
-        kind, value, by_floor = DISTRIBUTIONS[name]
-        segment = F.col(kind)
-        fits = segment.isNotNull() & F.col(value).isNotNull()
-        if kind == BEDROOM:
-            fits = fits & ~segment.isin(NON_BHK_LABELS)
-        bucket = floor_bucket(settings) if by_floor else none
-        if by_floor:
-            fits = fits & bucket.isNotNull()
-        entry = F.struct(
-            F.lit(name).alias("dist"),
-            F.lit(kind).alias("kind"),
-            segment.alias("segment"),
-            bucket.alias("floor_from"),
-            F.col(value).alias("value"),
-        )
-        targets.append(F.when(fits, entry))
-    named = masks()
-    rows = by_grain(by_level(df.filter(named["valid_rate"]), levels), grains)
-    return (
-        rows.withColumn("_t", F.explode(F.array(*targets)))
-        .filter(F.col("_t").isNotNull())
-        .select(*PERIOD_KEY, "_t.dist", "_t.kind", "_t.segment", "_t.floor_from", "_t.value")
-    )
+    levels, names = list(levels), list(names)
+    kinds = list(dict.fromkeys(DISTRIBUTIONS[n][0] for n in names))
+    columns = list(dict.fromkeys(DISTRIBUTIONS[n][1] for n in names))
+    by_floor = any(DISTRIBUTIONS[n][2] for n in names)
+    target = [
+        F.when(x.rows(), F.struct(F.lit(i).alias("_level"), F.col(x.key).cast("bigint").alias("key_id"))) for i, x in enumerate(levels)
+    ]
+    rows = df.filter((F.col("property_category") == "Sale") & masks()["valid_rate"]).select(
+        "city", "year", "quarter", *kinds, F.array_compact(F.array(*target)).alias("_targets"),
+        (floor_bucket(settings) if by_floor else F.lit(None).cast("int")).alias("_floor"), *columns,
+    )
+    rows = rows.filter(F.size("_targets") > 0).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rates = [
+        F.struct(F.lit(i).alias("which"), F.col(c).alias("v"), _cell(F.col(c)).alias("cell")) for i, c in enumerate(columns)
+    ]
+    return rows.withColumn("_rates", F.filter(F.array(*rates), lambda r: r["v"].isNotNull()))
 
 
 PROBABILITIES = {"p50": 0.5, "p75": 0.75, "p80": 0.8, "p90": 0.9}
 
 
+def percentile_name(p: float) -> str:
+    return f"p{p * 100:.10g}".replace(".", "_")
+
+
 def rate_percentiles(
     df: DataFrame,
     levels: Iterable[Level] = LEVELS,
@@ -198,26 +180,70 @@ def rate_percentiles(
 ) -> DataFrame:
     """Unrounded mean and percentiles of all asked-for rate distributions in one pass.
 
-    Level, grain and distribution travel as one small number: rows are many and these are few.
+    The levels' prevailing percentiles are among them. Level, grain and distribution travel as
+    small numbers, places in the lists passed in.
     """
-    tags = [(level.name, grain, name) for level in LEVELS for grain in GRAINS for name in DISTRIBUTIONS]
+    levels, names, grains = list(levels), list(names), list(grains)
+    probabilities = probabilities | {percentile_name(x.prevailing_percentile): x.prevailing_percentile for x in levels}
+    columns = list(dict.fromkeys(DISTRIBUTIONS[n][1] for n in names))
+    counted = counted_rates(df, levels, names, settings)
+    per_level = counted.withColumn("_target", F.explode("_targets")).withColumn("_rate", F.explode("_rates"))
+    fine = ["city", "year", "quarter", "_floor", "_n", *[c for c in (PROPERTY, BEDROOM) if c in counted.columns]]
+    per_level = per_level.select(*fine, "_target.*", F.col("_rate.which").alias("_which"), F.col("_rate.v").alias("_v"), F.col("_rate.cell").alias("_cell"))
 
-    def place(column: str, options: list[str]) -> Column:
-        return F.array_position(F.lit(options), F.col(column)).cast("int") - 1
-
-    rows = rate_rows(df, levels, names, settings, grains)
-    tag = (place("level", [x.name for x in LEVELS]) * len(GRAINS) + place("grain", list(GRAINS))) * len(
-        DISTRIBUTIONS
-    ) + place("dist", list(DISTRIBUTIONS))
-    keys = ["key_id", "_tag", "floor_from", "city", "period", "segment"]
-    out = exact_percentiles(rows.withColumn("_tag", tag), keys, "value", probabilities, "mean")
-
-    def part(i: int) -> Column:
-        return F.element_at(F.lit([t[i] for t in tags]), F.col("_tag") + 1)
+    none = F.lit(None).cast("int")
+    groups = []
+    for d, name in enumerate(names):
+        kind, value, by_floor = DISTRIBUTIONS[name]
+        fits = F.col(kind).isNotNull() & (F.col("_which") == columns.index(value))
+        if kind == BEDROOM:
+            fits = fits & ~F.col(kind).isin(NON_BHK_LABELS)
+        if by_floor:
+            fits = fits & F.col("_floor").isNotNull()
+        entry = F.struct(F.lit(d).alias("_dist"), F.col(kind).alias("segment"), (F.col("_floor") if by_floor else none).alias("floor_from"))
+        groups.append(F.when(fits, entry))
+    period = {"Overall": F.lit("Overall"), "YoY": F.col("year").cast("string"), "QoQ": F.col("quarter")}
+    periods = [F.when(period[g].isNotNull(), F.struct(F.lit(i).alias("_grain"), period[g].alias("period"))) for i, g in enumerate(grains)]
+    per_level = per_level.withColumns({"_groups": F.array_compact(F.array(*groups)), "_periods": F.array_compact(F.array(*periods))})
+    # All groups that an entry belongs to.
+    belongs = F.flatten(
+        F.transform(
+            "_groups",
+            lambda g: F.transform(
+                "_periods",
+                lambda p: F.struct(g["_dist"], g["segment"], g["floor_from"], p["_grain"], p["period"]),
+            ),
+        )
+    )
+    place = ["city", "_level", "key_id", "_which"]
+    inner = ["_dist", "segment", "floor_from", "_grain", "period"]
+    keys = [*place, *inner]
+    entries = per_level.withColumn("_group", F.explode(belongs)).select(*place, "_group.*", "_cell", "_v", "_n")
+
+    def reread(left_over: DataFrame) -> DataFrame:
+        # One row a cell and key, with the groups of the key that want it; their number is that of segments and periods.
+        carried = ["_total", "_sum", "_before", "_open"]
+        wanted = F.struct(F.struct(*inner).alias("group"), *carried)
+        side = left_over.groupBy(*place, "_cell").agg(F.collect_list(wanted).alias("_wanted"))
+        side = side.toDF(*[f"_k{c}" for c in [*place, "_cell"]], "_wanted")
+        # Levels may have no city, so that key compares as a value.
+        on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in [*place, "_cell"]])
+        met = per_level.withColumn("_belongs", belongs).select(*place, "_cell", "_v", "_n", "_belongs").join(side, on)
+        met = met.select(*place, "_cell", "_v", "_n", "_belongs", F.explode("_wanted").alias("_w")).filter(F.array_contains("_belongs", F.col("_w.group")))
+        return met.select(*place, F.col("_w.group.*"), "_cell", "_v", "_n", *[f"_w.{c}" for c in carried])
+
+    out = percentiles_of_counts(entries, keys, probabilities, "mean", reread)
+
+    def named(options: list[str], column: str) -> Column:
+        return F.element_at(F.lit(options), F.col(column) + 1)
 
-    kinds = F.lit([DISTRIBUTIONS[t[2]][0] for t in tags])
     return out.withColumns(
-        {"level": part(0), "grain": part(1), "dist": part(2), "kind": F.element_at(kinds, F.col("_tag") + 1)}
+        {
+            "level": named([x.name for x in levels], "_level"),
+            "grain": named(grains, "_grain"),
+            "dist": named(names, "_dist"),
+            "kind": named([DISTRIBUTIONS[n][0] for n in names], "_dist"),
+        }
     ).select(*DIST_KEY, "n", *probabilities, "mean")
 
 
@@ -247,7 +273,7 @@ def with_prevailing(percentiles: DataFrame, levels: Iterable[Level] = LEVELS) ->
     """Adds the band around the level's prevailing percentile, as text "low-high"."""
     text = None
     for level in levels:
-        column = next(c for c, p in PROBABILITIES.items() if p == level.prevailing_percentile)
+        column = percentile_name(level.prevailing_percentile)
         low, high = (
             (F.col(column) * factor).cast("bigint").cast("string")
             for factor in (1 - level.prevailing_band, 1 + level.prevailing_band)

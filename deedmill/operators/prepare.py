@@ -122,8 +122,15 @@ def with_project_type(df: DataFrame) -> DataFrame:
 
 
 def _lookup(labels: DataFrame, key: str, value: str) -> DataFrame:
-    """Lookup by comparison form; title case and lower case tell the same labels apart."""
-    return labels.select(label_key(F.col(key)).alias("_key"), F.col(value).alias("_label"))
+    """Lookup by comparison form, one row per key; title case and lower case tell the same labels apart.
+
+    A key with two different labels fails the job: which one counts is for the sheet's reader to say,
+    see :func:`deedmill.sources.labels.clean_label_map`.
+    """
+    pairs = labels.select(label_key(F.col(key)).alias("_key"), F.col(value).alias("_label")).filter("_key IS NOT NULL")
+    first, last = F.min("_label"), F.max("_label")
+    clash = F.raise_error(F.concat(F.lit("two labels for: "), F.first("_key"))).cast("string")
+    return pairs.groupBy("_key").agg(F.when(first == last, first).when(first.isNotNull(), clash).alias("_label"))
 
 
 def map_bedrooms(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -156,9 +163,9 @@ def unmapped_property_types(df: DataFrame, labels: DataFrame) -> DataFrame:
     return seen.join(lookup, "_key", "left_anti").select(title(F.col("_key")).alias("property_type_raw"))
 
 
-def check_property_types(df: DataFrame, labels: DataFrame, shown: int = 100) -> None:
-    """Raise with the sorted list of unmapped property types, if there are any."""
-    names = [r[0] for r in unmapped_property_types(df, labels).orderBy("property_type_raw").take(shown)]
+def check_property_types(df: DataFrame, labels: DataFrame) -> None:
+    """Raise with the sorted list of all unmapped property types, if there are any."""
+    names = [r[0] for r in unmapped_property_types(df, labels).orderBy("property_type_raw").toLocalIterator()]
     if names:
         raise ValueError(f"unmapped property types: {names}")
 

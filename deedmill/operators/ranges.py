@@ -142,13 +142,24 @@ def range_table(
         .filter(F.col("e").isNotNull())
         .select(*SEGMENT_KEY, "block", "cell", *bounds, "e.*")
     )
-    rows = _with_labels(rows, blocks, centred, fixed, settings)
+    rows = _with_numbers(rows, blocks, centred, fixed, settings)
     zero = F.lit(0.0)
-    return rows.groupBy(*SEGMENT_KEY, "block", "priced", "bucket").agg(
+    numbers = ["_number", "_low", "_high", "_start", "_step"]
+    table = rows.groupBy(*SEGMENT_KEY, "block", "priced", *numbers).agg(
         F.sum("n").alias("unit_sold"),
         F.coalesce(F.sum("price"), zero).alias("total_sales"),
         F.coalesce(F.sum("carpet"), zero).alias("ca_consumed_sqft"),
     )
+    # Texts are made from the few rows that are left, and apart from the numbers' long expressions.
+    parts = [F.col(c) for c in numbers]
+    plain, money = bins.label(*parts), bins.price_range_label(*parts)
+    if "price" not in blocks:
+        bucket = plain
+    elif blocks == ["price"]:
+        bucket = money
+    else:
+        bucket = F.when(F.col("block") == "price", money).otherwise(plain)
+    return table.select(*SEGMENT_KEY, "block", "priced", bucket.alias("bucket"), "unit_sold", "total_sales", "ca_consumed_sqft")
 
 
 def _per_block(blocks: list[str], of: dict[str, Column]) -> Column:
@@ -160,8 +171,8 @@ def _per_block(blocks: list[str], of: dict[str, Column]) -> Column:
     return out
 
 
-def _with_labels(rows: DataFrame, blocks: list[str], centred: list[str], fixed: bool, settings: Settings) -> DataFrame:
-    """Adds ``bucket``. Centre, number and first edge are columns of their own, so that each is
+def _with_numbers(rows: DataFrame, blocks: list[str], centred: list[str], fixed: bool, settings: Settings) -> DataFrame:
+    """Adds the bucket's number, ends, start and step. Centre, number and first edge are columns of their own, so that each is
     computed once per row."""
     steps = {b: getattr(settings, f"{b}_step") for b in blocks}
     cell, mean, centre = F.col("cell"), F.col("mean"), F.col("_centre")
@@ -197,16 +208,7 @@ def _with_labels(rows: DataFrame, blocks: list[str], centred: list[str], fixed:
         {"_low": _per_block(blocks, low), "_high": _per_block(blocks, high), "_number": _per_block(blocks, number)}
     )
     step = _per_block(blocks, {b: F.lit(s) for b, s in steps.items()})
-    rows = rows.withColumns({"_step": step, "_start": F.col("_low") + F.col("_number") * step})
-    parts = [F.col(c) for c in ("_number", "_low", "_high", "_start", "_step")]
-    plain, money = bins.label(*parts), bins.price_range_label(*parts)
-    if "price" not in blocks:
-        label = plain
-    elif blocks == ["price"]:
-        label = money
-    else:
-        label = F.when(F.col("block") == "price", money).otherwise(plain)
-    return rows.withColumn("bucket", label)
+    return rows.withColumns({"_step": step, "_start": F.col("_low") + F.col("_number") * step})
 
 
 def kept(c: Column) -> Column:

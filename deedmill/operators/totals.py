@@ -20,7 +20,6 @@ from deedmill.operators.levels import (
     LEVEL_KEY,
     LEVELS,
     PERIOD_KEY,
-    PROJECT,
     PROPERTY,
     SEGMENT_KEY,
     Level,
@@ -32,26 +31,6 @@ from deedmill.operators.levels import (
 
 FINE_KEY = [*LEVEL_KEY, "year", "quarter"]
 
-# Descriptive columns of a key: output name -> input column, per level.
-ATTRIBUTES = {
-    "project": {
-        "index": "index",
-        "project": "project_name",
-        "location": "location",
-        "location_id": "location_id",
-        "project_lat": "project_lat",
-        "project_lng": "project_lng",
-        "city_id": "city_id",
-    },
-    "location": {
-        "location": "location",
-        "city_id": "city_id",
-        "location_lat": "location_lat",
-        "location_lng": "location_lng",
-    },
-    "city": {},
-}
-
 
 def project_type_label(has_residential: Column, has_commercial: Column) -> Column:
     return (
@@ -67,7 +46,7 @@ def base_totals(df: DataFrame, level: Level) -> DataFrame:
 
     A descriptive column takes its value from the smallest document number that has one.
     """
-    attributes = ATTRIBUTES[level.name]
+    attributes = dict(level.attributes)
     firsts = [
         F.min(F.when(F.col(src).isNotNull(), F.struct("document_no", F.col(src).alias("value")))).alias(f"_{name}")
         for name, src in attributes.items()
@@ -116,10 +95,10 @@ def base_totals(df: DataFrame, level: Level) -> DataFrame:
 def segment_totals(df: DataFrame, levels: Iterable[Level] = LEVELS, kinds: Iterable[str] = (PROPERTY, BEDROOM)) -> DataFrame:
     """Per segment: documents, price total, mean of positive prices, carpet total, mean carpet.
 
-    The mean carpet of bedroom labels takes every label at project level and only bedroom labels
+    The mean carpet of bedroom labels takes every label at levels of checked projects and only bedroom labels
     with carpet above zero elsewhere; property types have none.
     """
-    kinds = list(kinds)
+    kinds, levels = list(kinds), list(levels)
     named = masks()
     price, carpet = F.col("agreement_price"), F.col("carpet_sqft")
     fine = (
@@ -144,7 +123,7 @@ def segment_totals(df: DataFrame, levels: Iterable[Level] = LEVELS, kinds: Itera
     )
     bedroom = F.col("kind") == BEDROOM
     counted = ~bedroom | ~F.col("segment").isin(NON_BHK_LABELS)
-    every_row = F.col("level") == PROJECT.name
+    every_row = F.col("level").isin([x.name for x in levels if x.manual_only])
     mean_carpet = F.when(every_row, _mean("carpet", "n_carpet")).when(counted, _mean("carpet_pos", "n_carpet_pos"))
     zero = F.lit(0.0)
     return rolled.select(

@@ -8,22 +8,22 @@ column list.
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
-from deedmill.operators.levels import AREA_LEVELS, BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROJECT, PROPERTY, Level
+from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, Level
 from deedmill.functions.values import round2
 from deedmill.operators.percentiles import floor_label, rate_percentiles, with_prevailing
 from deedmill.operators.ranges import area_value, kept, range_cells, range_table
-from deedmill.operators.totals import ATTRIBUTES, base_totals, development_agreements, label_counts, segment_totals
+from deedmill.operators.totals import base_totals, development_agreements, label_counts, segment_totals
 from deedmill.sources.sinks import save_report
+from deedmill.sources.staging import Stages
 
 COLUMNS = ["document_no", "city", "city_id", "loc_id", "proj_id", "manual_processed", "property_category",
            "transaction_type", "property_type", "property_type_raw", "project_type", "bhk_br", "index",
@@ -117,27 +117,36 @@ def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterabl
 
 
 def _ranges_part(df: DataFrame, level: Level, settings: Settings) -> DataFrame:
-    table = range_table(range_cells(df, levels=[level], settings=settings), [level], settings)
-    block = {b: F.col("block") == b for b in ("area", "price", "rate", "age")}
-    priced = F.col("priced")
+    """One pass counts the cells of all blocks; each block then has its own short plan."""
+    cells = range_cells(df, levels=[level], settings=settings)
+    always, priced = F.lit(True), F.col("priced")
     n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
-    entries = [
-        (block["area"] & ~priced, "total_unit_sold_in_area_range", area_value("count")),
-        (block["area"] & ~priced, "total_ca_consumed_in_area_range_sqft", area_value("carpet")),
-        (block["area"] & priced, "total_agreement_price_in_area_range", area_value("sales")),
-        (block["area"] & priced, "avg_agreement_price_in_area_range", area_value("avg_sales")),
-        (block["price"], "agreement_price_range_unit_sold", n),
-        (block["price"], "agreement_price_range_total_sales", round2(sales)),
-        (block["price"], "agreement_price_range_ca_consumed_sqft", round2(carpet)),
-        (block["rate"], "rate_range_unit_sold", n),
-        (block["rate"], "rate_range_total_sales", kept(sales)),
-        (block["rate"], "rate_range_ca_consumed_sqft", kept(carpet)),
-        (block["rate"] & (F.col("kind") == PROPERTY), "total_unit_sold_in_rate_range", n),
-        (block["age"], "age_range_unit_sold", n),
-        (block["age"], "age_range_total_agreement_price", kept(sales)),
-        (block["age"], "age_range_ca_consumed_sqft", kept(carpet)),
-    ]
-    return _unpivot(table, entries, F.col("bucket"))
+    entries = {
+        "area": [
+            (~priced, "total_unit_sold_in_area_range", area_value("count")),
+            (~priced, "total_ca_consumed_in_area_range_sqft", area_value("carpet")),
+            (priced, "total_agreement_price_in_area_range", area_value("sales")),
+            (priced, "avg_agreement_price_in_area_range", area_value("avg_sales")),
+        ],
+        "price": [
+            (always, "agreement_price_range_unit_sold", n),
+            (always, "agreement_price_range_total_sales", round2(sales)),
+            (always, "agreement_price_range_ca_consumed_sqft", round2(carpet)),
+        ],
+        "rate": [
+            (always, "rate_range_unit_sold", n),
+            (always, "rate_range_total_sales", kept(sales)),
+            (always, "rate_range_ca_consumed_sqft", kept(carpet)),
+            (F.col("kind") == PROPERTY, "total_unit_sold_in_rate_range", n),
+        ],
+        "age": [
+            (always, "age_range_unit_sold", n),
+            (always, "age_range_total_agreement_price", kept(sales)),
+            (always, "age_range_ca_consumed_sqft", kept(carpet)),
+        ],
+    }
+    parts = [_unpivot(range_table(cells, [level], settings, [b]), e, F.col("bucket")) for b, e in entries.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _labels_part(df: DataFrame, level: Level) -> DataFrame:
@@ -152,22 +161,19 @@ def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grai
     """Every segment metric of a level, one scalar per row."""
     grains = list(grains)
     parts = [_totals_part(df, level), _rates_part(df, level, settings, grains), _ranges_part(df, level, settings)]
-    if level in AREA_LEVELS:
+    if not level.manual_only:
         parts.append(_labels_part(df, level))
     whole = reduce(DataFrame.unionByName, parts)
     return whole if set(grains) == set(GRAINS) else whole.filter(F.col("grain").isin(grains))
 
 
-def segment_labels(df: DataFrame, level: Level) -> dict[str, list[str]]:
-    """Labels that can become column names, found by one scan of the label columns alone."""
-    labels = {"property_type": PROPERTY, "bhk_br": BEDROOM}
-    if level in AREA_LEVELS:
-        labels |= {"property_type_raw": "transactions_sale", "property_category": "transactions"}
-    entries = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("label")) for c, k in labels.items()])
-    found = df.select(F.explode(entries).alias("e")).select("e.*").filter(F.col("label").isNotNull()).distinct()
-    out: dict[str, list[str]] = {k: [] for k in labels.values()}
-    for kind, label in found.orderBy("kind", "label").collect():
-        out[kind].append(label)
+def segment_labels(cells: DataFrame) -> dict[str, list[str]]:
+    """Labels that become column names: those that the cells of a report have."""
+    kind = F.when(F.col("kind") == "label", F.col("metric")).otherwise(F.col("kind"))
+    found = cells.filter("segment IS NOT NULL").select(kind.alias("kind"), "segment").distinct()
+    out: dict[str, list[str]] = {}
+    for kind, label in found.orderBy("kind", "segment").collect():
+        out.setdefault(kind, []).append(label)
     return out
 
 
@@ -208,7 +214,7 @@ def _number_text(value: Column, kind: str) -> Column:
 
 
 def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS) -> DataFrame:
-    """Cells of the wide report of a level: key, column key ``name`` and text ``cell``.
+    """Cells of the wide report of a level: key, kind, segment, metric, column key ``name`` and text ``cell``.
 
     A distribution is one JSON object, its buckets in text order. The buckets of a cell are few;
     pincodes, the largest set, are bounded by the postal system.
@@ -218,21 +224,22 @@ def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS, gra
     number = F.when(F.col("metric").isin(counts), _number_text(F.col("value"), COUNT)).otherwise(_number_text(F.col("value"), AMOUNT))
     item = F.struct("bucket", number.alias("text"))
     single = F.col("bucket").isNull()
+    column, nothing = ["kind", "segment", "metric"], F.lit(None).cast("string")
     nested = (
         rows.filter(~single)
-        .groupBy(*PERIOD_KEY, "kind", "segment", "metric")
+        .groupBy(*PERIOD_KEY, *column)
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
-        .select(*PERIOD_KEY, _cell_key("kind", "segment", "metric"), _json("items").alias("cell"))
+        .select(*PERIOD_KEY, *column, _cell_key(*column), _json("items").alias("cell"))
     )
     plain = rows.filter(single).select(
-        *PERIOD_KEY, _cell_key("kind", "segment", "metric"), F.coalesce("text", F.col("value").cast("string")).alias("cell")
+        *PERIOD_KEY, *column, _cell_key(*column), F.coalesce("text", F.col("value").cast("string")).alias("cell")
     )
     entry = F.struct(F.col("pincode").cast("string").alias("bucket"), _pincode_text().alias("text"))
     pins = (
         pincode_stats(df, [level])
         .groupBy(*PERIOD_KEY)
         .agg(F.array_sort(F.collect_list(entry)).alias("items"))
-        .select(*PERIOD_KEY, F.lit("pincode_stats").alias("name"), _json("items").alias("cell"))
+        .select(*PERIOD_KEY, *[nothing.alias(c) for c in column], F.lit("pincode_stats").alias("name"), _json("items").alias("cell"))
     )
     return plain.unionByName(nested).unionByName(pins)
 
@@ -240,7 +247,7 @@ def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS, gra
 def report_base(df: DataFrame, level: Level) -> DataFrame:
     """Totals and descriptive columns of the wide report at all grains; they decide its rows."""
     base = base_totals(df, level)
-    if level in AREA_LEVELS:
+    if not level.manual_only:
         base = base.join(development_agreements(df, [level]), PERIOD_KEY, "left")
     return base
 
@@ -248,7 +255,7 @@ def report_base(df: DataFrame, level: Level) -> DataFrame:
 def widen(base: DataFrame, cells: DataFrame, level: Level, grain: str, labels: dict[str, list[str]]) -> DataFrame:
     """One row per key and period of a grain; zeros are blank."""
     names = wide_columns(labels)
-    if level != PROJECT:  # labels without bedrooms have a mean carpet at project level only
+    if not level.manual_only:  # labels without bedrooms have a mean carpet at project level only
         names = {k: v for k, v in names.items() if not (k[0] == BEDROOM and k[1] in NON_BHK_LABELS)}
     of_grain = F.col("grain") == grain
     wide = (
@@ -259,11 +266,11 @@ def widen(base: DataFrame, cells: DataFrame, level: Level, grain: str, labels: d
     )
     fields = {"Type": f"'{grain}'", "Period": f"'{grain}'", level.key: "key_id"}
     fields |= {"Overall": {}, "YoY": {"year": "CAST(period AS INT)"}, "QoQ": {"quarter": "period"}}[grain]
-    fields |= {"city": "city", **{c: c for c in ATTRIBUTES[level.name]}}
+    fields |= {"city": "city", **{c: c for c, _ in level.attributes}}
     fields |= {c: f"nullif({c}, CAST(0 AS DOUBLE))" for c in ("total_sales", "total_ca_consumed_sqft_igr")}
     fields |= {"total_transactions": "nullif(total_transactions, 0)", "max_floor": "nullif(max_floor, CAST(0 AS DOUBLE))"}
     fields |= {"recent_transaction_date": "recent_transaction_date", "project_type": "project_type"}
-    if level in AREA_LEVELS:
+    if not level.manual_only:
         fields["no_of_da_registered"] = "no_of_da_registered"
     for k, (name, kind, nested) in names.items():
         cell = _q("|".join(k))
@@ -276,24 +283,26 @@ def widen(base: DataFrame, cells: DataFrame, level: Level, grain: str, labels: d
     return report.selectExpr(*[f"{fields[c]} AS {_q(c)}" for c in bedroom_order(list(fields))])
 
 
-def wide_report(
-    df: DataFrame, level: Level, grain: str, settings: Settings = DEFAULTS, labels: dict[str, list[str]] | None = None
-) -> DataFrame:
-    """The report of one level and grain. ``labels`` saves the scan that finds the segment labels."""
-    labels = labels if labels is not None else segment_labels(df, level)
-    return widen(report_base(df, level), report_cells(df, level, settings, [grain]), level, grain, labels)
+def report_rows(df: DataFrame, levels: Iterable[Level]) -> DataFrame:
+    """The columns that reports need, of rows that have a key of one of the levels."""
+    keyed = reduce(or_, [F.col(x.key).isNotNull() for x in levels])
+    named = {*COLUMNS, *[x.key for x in levels], *[c for x in levels for _, c in x.attributes]}
+    return df.filter(keyed).select(*[c for c in df.columns if c in named])
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result to the shared checkpoint folder and read it back.
+def wide_report(df: DataFrame, level: Level, grain: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """The report of one level and grain.
 
-    Later steps start from the files, so a lost executor costs no more than its own tasks.
+    Prepared rows are computed once and staged, and so are the cells, in the shared checkpoint folder.
+    The report is lazy, so its staged files stay.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="deedmill-")
-    path = f"{folder.rstrip('/')}/deedmill-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stages = Stages(df.sparkSession)
+    rows = stages.stage(report_rows(df, [level]), "rows")
+    cells = stages.stage(report_cells(rows, level, settings, [grain]), "cells")
+    return widen(report_base(rows, level), cells, level, grain, segment_labels(cells))
+
+
+PERIOD_COLUMN = {"Overall": [], "YoY": ["year"], "QoQ": ["quarter"]}
 
 
 def run_reports(
@@ -307,21 +316,26 @@ def run_reports(
     """All reports of prepared transactions, one file set per level, grains stacked by column name.
 
     Prepared rows and each level's cells are computed once and staged; the wide reports are
-    pivoted from the staged cells.
+    pivoted from the staged cells, stacked, and sorted once. Staged files are removed at the end.
     """
-    rows = stage(df.select(*[c for c in COLUMNS if c in df.columns]), "rows")
-    out = {}
-    for level in levels:
-        labels = segment_labels(rows, level)
-        base, cells = stage(report_base(rows, level), "base"), stage(report_cells(rows, level, settings), "cells")
-        reports = []
-        for grain in grains:
-            period = {"Overall": [], "YoY": ["year"], "QoQ": ["quarter"]}[grain]
-            reports.append(widen(base, cells, level, grain, labels).orderBy("city", level.key, *period))
-        out[level.name] = f"{path.rstrip('/')}/{level.name}"
-        stacked = stack(reports)
-        save_report(stacked.select(*[F.col(_q(c)) for c in bedroom_order(stacked.columns)]), out[level.name], fmt)
-    return out
+    levels, grains = list(levels), list(grains)
+    stages = Stages(df.sparkSession)
+    try:
+        rows = stages.stage(report_rows(df, levels), "rows")
+        out = {}
+        for level in levels:
+            base = stages.stage(report_base(rows, level), f"{level.name}-base")
+            cells = stages.stage(report_cells(rows, level, settings, grains), f"{level.name}-cells")
+            labels = segment_labels(cells)
+            stacked = stack([widen(base, cells, level, grain, labels) for grain in grains])
+            order = [c for grain in grains for c in PERIOD_COLUMN[grain]]
+            turn = F.array_position(F.lit(grains), F.col("Type"))
+            stacked = stacked.orderBy(turn, "city", level.key, *order)
+            out[level.name] = f"{path.rstrip('/')}/{level.name}"
+            save_report(stacked.select(*[F.col(_q(c)) for c in bedroom_order(stacked.columns)]), out[level.name], fmt)
+        return out
+    finally:
+        stages.discard()
 
 
 def _q(name: str) -> str:

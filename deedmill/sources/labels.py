@@ -9,9 +9,14 @@ from deedmill.functions.values import strip, title
 
 
 def read_label_sheet(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
-    """A two-column CSV sheet with header, cleaned by :func:`clean_label_map`."""
-    sheet = spark.read.csv(path, header=True).select(key, value)
-    return clean_label_map(sheet.withColumn("row", F.monotonically_increasing_id()), key, value, "row")
+    """A two-column CSV sheet with header, cleaned by :func:`clean_label_map`.
+
+    The path may be a folder: its files count in order of their names.
+    """
+    sheet = spark.read.csv(path, header=True).select(
+        key, value, F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("row")
+    )
+    return clean_label_map(sheet, key, value, "row")
 
 
 def clean_label_map(sheet: DataFrame, key: str, value: str, order: str) -> DataFrame:

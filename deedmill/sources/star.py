@@ -9,7 +9,6 @@ import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 CITY_NAME = (
     "CASE {r} WHEN 0 THEN 'Mumbai' WHEN 1 THEN 'Pune' WHEN 2 THEN 'Thane' WHEN 3 THEN 'Dubai' ELSE 'Nagpur' END"
@@ -95,9 +94,6 @@ PROPERTY_LABELS = {
 }
 
 
-SMALL_INPUT = 256 * 1024 * 1024
-
-
 def _needed(columns: Iterable[str] | None) -> tuple[dict[str, str], list[tuple[str, str]]]:
     """Expressions of the columns and the (dimension, condition) joins they need.
 
@@ -125,28 +121,12 @@ def transactions(spark: SparkSession, directory: str, columns: Iterable[str] | N
     text = " ".join([*chosen.values(), *[on for _, on in joins]])
     facts = dict.fromkeys(re.findall(r"\bl_\w+", text))
     frames = {name: _table(spark, directory, name) for name, _ in joins}
-    frames["lineitem"] = _spread(_table(spark, directory, "lineitem").select(*facts))
+    frames["lineitem"] = _table(spark, directory, "lineitem").select(*facts)
     return spark.sql(transactions_sql(columns, "{{{}}}", "`"), **frames)
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """A table; its schema is read from the file once per process."""
-    path = f"{directory}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """A small input in one row group is read by one task; hand its rows to all cores.
-
-    Inputs above SMALL_INPUT have splits enough and are left as they are.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_INPUT else df
+    return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
 def cities(spark: SparkSession, directory: str) -> DataFrame:

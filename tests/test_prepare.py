@@ -99,6 +99,22 @@ def test_label_sheet_from_csv(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("1 Bhk", "1Br"), (">3 Bhk", ">3Br")]
 
 
+def test_label_sheets_of_a_folder_count_in_order_of_their_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("BHK,standard_label\n1 bhk,first\n" + "9 bhk,x\n" * 5000)
+    (tmp_path / "b.csv").write_text("BHK,standard_label\n1 bhk,last\n")
+    rows = read_label_sheet(spark, str(tmp_path), "BHK", "standard_label").orderBy("BHK").collect()
+    assert [tuple(r) for r in rows] == [("1 Bhk", "Last"), ("9 Bhk", "X")]
+
+
+def test_lookups_never_multiply_rows(spark):
+    twice = spark.createDataFrame([("1 bhk", "1Br"), ("1 BHK ", "1Br"), (None, "x")], "BHK string, standard_label string")
+    df = spark.createDataFrame([("1 Bhk",)], "bhk_br string")
+    assert [tuple(r) for r in prepare.map_bedrooms(df, twice).collect()] == [("1Br",)]
+    clash = spark.createDataFrame([("1 bhk", "1Br"), ("1 BHK ", "2Br")], "BHK string, standard_label string")
+    with pytest.raises(PySparkException, match="two labels for"):
+        prepare.map_bedrooms(df, clash).collect()
+
+
 def test_settings_are_checked():
     with pytest.raises(ValueError, match="min_area must be less"):
         Settings(cities={"X": CityParams(min_area=500, max_area=500)})

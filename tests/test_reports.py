@@ -1,3 +1,4 @@
+import glob
 import json
 
 import pytest
@@ -6,14 +7,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from checks import registry
 from checks.compare import canonical, connect
-from deedmill.operators.levels import CITY, PROJECT
+from deedmill.operators.levels import CITY, PROJECT, Level
+from deedmill.operators import percentiles
 from deedmill.plans import report
 from deedmill.sources import sinks, star
+from deedmill.sources.staging import shared_folder
 from deedmill.sources.transactions import list_cities, load_transactions
 
 TINY = "/root/testdata/sf0.001"
 SAMPLE = ["load_city", "buyer_ages", "derived_columns", "avg_carpet_bhk", "rate_sa_pt", "area_pt_avg_sales", "price_bhk",
-          "pincode_stats", "da_registered", "report_union"]
+          "pincode_stats", "da_registered", "report_union", "fuzzy_labels", "normalize_labels", "floor_p90_rate", "prevailing_rate"]
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +42,7 @@ def test_wide_equals_long(spark):
     df = registry.prepared(spark, TINY, *report.COLUMNS).cache()
     wide = {r["city_id"]: r for r in report.wide_report(df, CITY, "Overall").collect()}
     long = report.long_report(df, CITY).filter("grain = 'Overall'").collect()
-    names = report.wide_columns(report.segment_labels(df, CITY))
+    names = report.wide_columns(report.segment_labels(report.report_cells(df, CITY, grains=["Overall"])))
     seen = 0
     for r in long:
         name, kind, nested = names[r.kind, r.segment, r.metric]
@@ -96,6 +99,24 @@ def test_sinks(spark, tmp_path):
         sinks.save_report(df, str(tmp_path / "x"), "xlsx")
 
 
+def test_labels_of_other_rows_make_no_columns(spark):
+    df = registry.prepared(spark, TINY, *report.COLUMNS).filter("city_id = 1")
+    leased = df.limit(3).withColumns({"property_category": F.lit("Lease"), "property_type": F.lit("Barn"), "bhk_br": F.lit("9Br")})
+    wide = report.wide_report(df.unionByName(leased), PROJECT, "Overall")
+    assert not [c for c in wide.columns if c.startswith(("barn_", "9br_"))]
+    assert any(c.startswith("flat_") for c in wide.columns)
+
+
+def test_own_levels_keep_their_names(spark):
+    df = registry.prepared(spark, TINY, *registry.KEYS, *registry.PRICES, "property_type", "location_id")
+    own = Level("micro", "location_id", False, False, 0.855, 0.07)
+    rates = percentiles.rate_percentiles(df, [own, CITY], ["rate_sa_pt"])
+    seen = {(r.level, r.dist, r.kind) for r in rates.select("level", "dist", "kind").distinct().collect()}
+    assert seen == {("micro", "rate_sa_pt", "property_type"), ("city", "rate_sa_pt", "property_type")}
+    text = percentiles.with_prevailing(rates, [own, CITY]).filter("level = 'micro' AND grain = 'Overall'").first()
+    assert text.most_prevailing_rate_range == f"{int(text.p85_5 * (1 - 0.07))}-{int(text.p85_5 * (1 + 0.07))}"
+
+
 def test_run_reports(spark, tmp_path):
     df = registry.prepared(spark, TINY, *report.COLUMNS)
     out = report.run_reports(df, str(tmp_path / "out"), levels=[CITY], grains=["Overall", "YoY"])
@@ -103,3 +124,6 @@ def test_run_reports(spark, tmp_path):
     assert {r.Type for r in rows.select("Type").distinct().collect()} == {"Overall", "YoY"}
     assert rows.filter("Type = 'Overall'").count() == 5 and "year" in rows.columns
     assert PROJECT.name not in out
+    assert [r.Type for r in rows.collect()] == sorted(r.Type for r in rows.collect())
+    # Staged files are gone.
+    assert not glob.glob(shared_folder(spark).removeprefix("file:") + "/stages-*/rows")
