@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import sys
 from array import array
 
 import ahocorasick
@@ -26,8 +27,9 @@ from deedmill.llm.common import id_and_text, map_batches
 
 BLANK = "▁"
 #: Entries of a worker's cache of stretches, and the longest stretch kept; entries of its cache of pairs. A full cache is emptied.
-CACHE_SIZE, LONGEST = 300_000, 64
+CACHE_SIZE, LONGEST = 600_000, 64
 PAIRS_SIZE = 300_000
+UNSET, UNKNOWN = -1, -2
 
 _STRETCHES = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+").findall
 
@@ -58,12 +60,15 @@ class Pieces(dict):
             self.surface[i] = piece.replace(BLANK, " ").encode()
         for byte, i in enumerate(self.byte_id):
             self.surface[i] = bytes([byte])
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.length = [0] * len(ids)
+        for piece, i in self.id.items():
+            self.length[i] = len(piece)
+        self.piece = [library.id_to_piece(i) for i in ids]
+        self.stable: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.score:
-            if piece.strip(BLANK) and (len(piece) == 1 or self.merged(piece) == [piece]):
-                self.automaton.add_word(piece, piece)
-        self.automaton.add_word(BLANK, BLANK)
+        for piece, i in self.id.items():
+            if piece == BLANK or piece.strip(BLANK) and (len(piece) == 1 or self.merged(piece) == [piece]):
+                self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
 
     def merged(self, text: str) -> list[str]:
@@ -91,66 +96,78 @@ class Pieces(dict):
             offer(left)
         return [s for s in symbols if s]
 
-    def fits(self, left: str, right: str) -> bool:
+    def fits(self, left: int, right: int) -> bool:
         """Whether the two pieces stay as they are when they meet."""
-        if (known := self.stable.get((left, right))) is None:
-            if len(self.stable) >= PAIRS_SIZE:
-                self.stable.clear()
-            known = self.stable[left, right] = self.merged(left + right) == [left, right]
+        if len(self.stable) >= PAIRS_SIZE:
+            self.stable.clear()
+        pair = [self.piece[left], self.piece[right]]
+        known = self.stable[left << 32 | right] = self.merged("".join(pair)) == pair
         return known
 
-    def tokens(self, word: str) -> list[str]:
-        """Pieces of a stretch with one blank at most, its first character; unknown characters stand for themselves."""
-        n = len(word)
-        last: list[str] = [""] * (n + 1)
-        for end, piece in self.automaton.iter(word):
-            if last[end + 1]:
+    def word_ids(self, word: str) -> list[int]:
+        """Ids of a stretch with one blank at most, its first character."""
+        last = [UNSET] * (len(word) + 1)
+        stable, fits = self.stable.get, self.fits
+        for end, (piece, length) in self.automaton.iter(word):
+            end += 1
+            if last[end] >= 0:
                 continue
-            start = end + 1 - len(piece)
-            if start and not last[start]:
-                self._unknown(last, word, start)
-            if not start or last[start] not in self.score or self.fits(last[start], piece):
-                last[end + 1] = piece
-        if n and not last[n]:
-            self._unknown(last, word, n)
-        found, at = [], n
+            if start := end - length:
+                if last[start] == UNSET:
+                    self._unknown(last, start)
+                left = last[start]
+                if left >= 0:
+                    known = stable(left << 32 | piece)
+                    if not (fits(left, piece) if known is None else known):
+                        continue
+            last[end] = piece
+        at, found = len(word), []
+        if last[at] == UNSET:
+            self._unknown(last, at)
         while at:
-            found.append(last[at])
-            at -= len(last[at])
-        return found[::-1]
+            piece = last[at]
+            if piece >= 0:
+                found.append(piece)
+                at -= self.length[piece]
+            else:
+                at -= 1
+                found += [self.byte_id[b] for b in reversed(word[at].encode())]
+        found.reverse()
+        return found
 
     @staticmethod
-    def _unknown(last: list[str], word: str, end: int) -> None:
-        """Positions up to `end` at which no piece ends follow a character that is in no piece."""
-        at = end
-        while at and not last[at]:
-            last[at] = word[at - 1]
-            at -= 1
+    def _unknown(last: list[int], end: int) -> None:
+        """At positions up to `end` where no piece ends, a character ends that is in no piece."""
+        while end and last[end] == UNSET:
+            last[end] = UNKNOWN
+            end -= 1
 
     def __missing__(self, stretch: str) -> bytes:
         word = stretch.lstrip(BLANK)
         blanks = len(stretch) - len(word)
-        pieces = self.tokens(BLANK + word) if blanks and word else self.tokens(word)
-        if blanks and word:
+        if not word:
+            ids = self.blank_ids(blanks)
+        elif not blanks:
+            ids = self.word_ids(word)
+        else:
             # Pieces of blanks alone have lower scores than all others, so a word takes its blank first.
-            if pieces[0] == BLANK:
-                pieces = pieces[1:]
-            else:
-                blanks -= 1
-        pieces = self.blanks(blanks) + pieces
-        ids = array("I")
-        for p in pieces:
-            if (i := self.id.get(p)) is None:
-                ids.extend(self.byte_id[b] for b in p.encode())
-            else:
-                ids.append(i)
-        packed = np.array(ids, "<u4").tobytes()
+            ids = self.word_ids(BLANK + word)
+            if blanks > 1:
+                free = ids[0] == self.id[BLANK]
+                ids = self.blank_ids(blanks - (not free)) + ids[free:]
+        packed = array("I", ids)
+        if sys.byteorder != "little":
+            packed.byteswap()
+        packed = packed.tobytes()
         if len(stretch) <= LONGEST:
             if len(self) >= CACHE_SIZE:
                 self.clear()
             self[stretch] = packed
         return packed
 
+    def blank_ids(self, n: int) -> list[int]:
+        return [self.id[p] for p in self.blanks(n)]
+
     def blanks(self, n: int) -> list[str]:
         """A run of blanks merges from the left, up to the longest piece of blanks that pairs can make."""
         if n <= 64:
