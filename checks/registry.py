@@ -17,7 +17,7 @@ from deedmill.operators.levels import BEDROOM, CITY, LEVELS, LOCATION, PERIOD_KE
 from deedmill.plans import report
 from deedmill.sources import labels, star
 from deedmill.sources import transactions as source
-from deedmill.sources.staging import shared_folder
+from deedmill.sources.staging import Stages, shared_folder
 
 import pyarrow as pa
 
@@ -367,7 +367,12 @@ def _report(level, grain) -> Query:
 
 
 def _long(level) -> Query:
-    return lambda spark, d: report.long_report(prepared(spark, d, *report.COLUMNS), level)
+    def run(spark, d):
+        stages = Stages(spark)
+        rows = stages.stage(report.report_rows(prepared(spark, d, *report.COLUMNS), [level]), "rows")
+        return report.long_report(rows, level, keep=stages.stage)
+
+    return run
 
 
 for _level in LEVELS:
@@ -382,7 +387,7 @@ MICRO = levels.Level("micro", "location_id", False, False, 0.85, 0.07, (("locati
 @query
 def report_custom_level(spark, d):
     """A level of the user's own: another key, percentile and band."""
-    return report.long_report(prepared(spark, d, *report.COLUMNS), MICRO)
+    return _long(MICRO)(spark, d)
 
 
 @query

@@ -177,16 +177,18 @@ def rate_percentiles(
     settings: Settings = DEFAULTS,
     probabilities: dict[str, float] = PROBABILITIES,
     grains: Iterable[str] = GRAINS,
+    keep: Callable[[DataFrame], DataFrame] = lambda counted: counted,
 ) -> DataFrame:
     """Unrounded mean and percentiles of all asked-for rate distributions in one pass.
 
     The levels' prevailing percentiles are among them. Level, grain and distribution travel as
-    small numbers, places in the lists passed in.
+    small numbers, places in the lists passed in. ``keep`` may stage the counted rates, which are
+    read twice.
     """
     levels, names, grains = list(levels), list(names), list(grains)
     probabilities = probabilities | {percentile_name(x.prevailing_percentile): x.prevailing_percentile for x in levels}
     columns = list(dict.fromkeys(DISTRIBUTIONS[n][1] for n in names))
-    counted = counted_rates(df, levels, names, settings)
+    counted = keep(counted_rates(df, levels, names, settings))
     per_level = counted.withColumn("_target", F.explode("_targets")).withColumn("_rate", F.explode("_rates"))
     fine = ["city", "year", "quarter", "_floor", "_n", *[c for c in (PROPERTY, BEDROOM) if c in counted.columns]]
     per_level = per_level.select(*fine, "_target.*", F.col("_rate.which").alias("_which"), F.col("_rate.v").alias("_v"), F.col("_rate.cell").alias("_cell"))

@@ -8,8 +8,8 @@ column list.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -94,8 +94,12 @@ def _totals_part(df: DataFrame, level: Level) -> DataFrame:
     return _unpivot(segment_totals(df, [level]), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
 
 
-def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterable[str]) -> DataFrame:
-    rates = with_prevailing(rate_percentiles(df, [level], settings=settings, grains=grains), [level])
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterable[str], keep: Keep) -> DataFrame:
+    kept_rates = partial(keep, name=f"{level.name}-rates")
+    rates = with_prevailing(rate_percentiles(df, [level], settings=settings, grains=grains, keep=kept_rates), [level])
     number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [("floor_pt", "floor_wise_90p_rate", round2(F.col("p90")), text)]
     for dist, suffix in (("rate_nca_pt", "rate_nca"), ("rate_nca_bhk", "rate_nca"), ("rate_sa_pt", "rate_sa")):
@@ -116,9 +120,9 @@ def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterabl
     )
 
 
-def _ranges_part(df: DataFrame, level: Level, settings: Settings) -> DataFrame:
+def _ranges_part(df: DataFrame, level: Level, settings: Settings, keep: Keep) -> DataFrame:
     """One pass counts the cells of all blocks; each block then has its own short plan."""
-    cells = range_cells(df, levels=[level], settings=settings)
+    cells = keep(range_cells(df, levels=[level], settings=settings), name=f"{level.name}-ranges")
     always, priced = F.lit(True), F.col("priced")
     n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
     entries = {
@@ -157,10 +161,15 @@ def _labels_part(df: DataFrame, level: Level) -> DataFrame:
     )
 
 
-def long_report(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS) -> DataFrame:
-    """Every segment metric of a level, one scalar per row."""
+def long_report(
+    df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
+) -> DataFrame:
+    """Every segment metric of a level, one scalar per row.
+
+    ``keep`` may stage what several parts read: counted rates and range cells, both far fewer than rows.
+    """
     grains = list(grains)
-    parts = [_totals_part(df, level), _rates_part(df, level, settings, grains), _ranges_part(df, level, settings)]
+    parts = [_totals_part(df, level), _rates_part(df, level, settings, grains, keep), _ranges_part(df, level, settings, keep)]
     if not level.manual_only:
         parts.append(_labels_part(df, level))
     whole = reduce(DataFrame.unionByName, parts)
@@ -213,13 +222,15 @@ def _number_text(value: Column, kind: str) -> Column:
     return value.cast("bigint" if kind == COUNT else "decimal(38,2)").cast("string")
 
 
-def report_cells(df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS) -> DataFrame:
+def report_cells(
+    df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
+) -> DataFrame:
     """Cells of the wide report of a level: key, kind, segment, metric, column key ``name`` and text ``cell``.
 
     A distribution is one JSON object, its buckets in text order. The buckets of a cell are few;
     pincodes, the largest set, are bounded by the postal system.
     """
-    rows = long_report(df, level, settings, grains)
+    rows = long_report(df, level, settings, grains, keep)
     counts = sorted({m for m, (kind, _) in (PROPERTY_METRICS | BEDROOM_SEGMENT_METRICS).items() if kind == COUNT})
     number = F.when(F.col("metric").isin(counts), _number_text(F.col("value"), COUNT)).otherwise(_number_text(F.col("value"), AMOUNT))
     item = F.struct("bucket", number.alias("text"))
@@ -298,7 +309,7 @@ def wide_report(df: DataFrame, level: Level, grain: str, settings: Settings = DE
     """
     stages = Stages(df.sparkSession)
     rows = stages.stage(report_rows(df, [level]), "rows")
-    cells = stages.stage(report_cells(rows, level, settings, [grain]), "cells")
+    cells = stages.stage(report_cells(rows, level, settings, [grain], stages.stage), "cells")
     return widen(report_base(rows, level), cells, level, grain, segment_labels(cells))
 
 
@@ -325,7 +336,7 @@ def run_reports(
         out = {}
         for level in levels:
             base = stages.stage(report_base(rows, level), f"{level.name}-base")
-            cells = stages.stage(report_cells(rows, level, settings, grains), f"{level.name}-cells")
+            cells = stages.stage(report_cells(rows, level, settings, grains, stages.stage), f"{level.name}-cells")
             labels = segment_labels(cells)
             stacked = stack([widen(base, cells, level, grain, labels) for grain in grains])
             order = [c for grain in grains for c in PERIOD_COLUMN[grain]]

@@ -32,15 +32,24 @@ def load_transactions(table: DataFrame, cities: DataFrame, names: Iterable[str]
     return table.drop("city").join(wanted, "city_id")
 
 
+def range_predicates(column: str, low: int, high: int, slices: int) -> list[str]:
+    """Conditions that split all values of a column at equal steps from low to high; the ends are open, null is in the first."""
+    cuts = sorted({low + (high - low) * i // slices for i in range(1, slices)})
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"({column} < {cuts[0]} OR {column} IS NULL)", *between, f"{column} >= {cuts[-1]}"]
+
+
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, city_ids: Iterable[int], slices: int = 16, **options: str
+    spark: SparkSession, url: str, table: str, city_ids: Iterable[int], column: str, low: int, high: int, slices: int = 16, **options: str
 ) -> DataFrame:
     """Transactions from a relational database, ``slices`` queries per city.
 
-    Each query takes one city and one remainder of the row's ``index``, so a big city is not
-    read through a single connection. ``table`` must be a plain, trusted table name.
+    Each query takes one city and one range of ``column``, which should be indexed together with
+    the city; ``low`` and ``high`` are about its ends. So a big city is neither read through a single
+    connection nor scanned once for each slice. ``table`` and ``column`` must be plain, trusted names.
     """
-    predicates = [
-        f'city_id = {int(c)} AND ABS(COALESCE(MOD("index", {slices}), 0)) = {s}' for c in city_ids for s in range(slices)
-    ]
+    ranges = range_predicates(column, low, high, slices)
+    predicates = [f"city_id = {int(c)} AND {r}" for c in city_ids for r in ranges]
     return spark.read.jdbc(url, table, predicates=predicates, properties={k: str(v) for k, v in options.items()})

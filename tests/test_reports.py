@@ -12,7 +12,7 @@ from deedmill.operators import percentiles
 from deedmill.plans import report
 from deedmill.sources import sinks, star
 from deedmill.sources.staging import shared_folder
-from deedmill.sources.transactions import list_cities, load_transactions
+from deedmill.sources.transactions import list_cities, load_transactions, range_predicates
 
 TINY = "/root/testdata/sf0.001"
 SAMPLE = ["load_city", "buyer_ages", "derived_columns", "avg_carpet_bhk", "rate_sa_pt", "area_pt_avg_sales", "price_bhk",
@@ -89,6 +89,13 @@ def test_load_transactions(spark):
         assert load_transactions(table, cities).count() == table.count()
 
 
+@pytest.mark.parametrize("low, high, slices", [(0, 100, 4), (0, 2, 16), (5, 5, 3), (1, 9, 1)])
+def test_database_slices_take_every_row_once(spark, low, high, slices):
+    conditions = range_predicates("k", low, high, slices)
+    df = spark.createDataFrame([(k,) for k in [None, *range(-5, 110)]], "k int")
+    assert sum(df.filter(c).count() for c in conditions) == 116 and len(conditions) <= slices
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "k int, `1.5br_x` string").withColumn("m", F.create_map(F.lit("b"), F.lit(1.0)))
     assert sinks.save_report(df, str(tmp_path / "p")) == "parquet"
