@@ -7,7 +7,7 @@ staged percentiles.
 from __future__ import annotations
 
 from deedmill.config import (
-    AGE_PATTERN, COMMERCIAL_TYPES, DEFAULTS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS, RESIDENTIAL_TYPES,
+    AGE_PATTERN, BEDROOM_METRICS, COMMERCIAL_TYPES, DEFAULTS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS, RESIDENTIAL_TYPES,
 )
 from deedmill.sources import star
 
@@ -435,6 +435,62 @@ FROM k LEFT JOIN m ON k.key_id = m.key_id AND k.city = m.city AND k.period = m.p
 LEFT JOIN ps ON k.key_id = ps.key_id AND k.city = ps.city AND k.period = ps.period"""
 
 
+# Metric columns of a property type, in the order in which the wide report has them.
+TYPE_METRICS = [
+    "sold_igr", "total_agreement_price", "avg_agreement_price", "ca_consumed_sqft_igr", "wt_avg_rate_nca", "p50_rate_nca",
+    "p75_rate_nca", "p90_rate_nca", "total_unit_sold_in_area_range", "total_agreement_price_in_area_range",
+    "avg_agreement_price_in_area_range", "total_ca_consumed_in_area_range_sqft", "agreement_price_range_unit_sold",
+    "agreement_price_range_total_sales", "agreement_price_range_ca_consumed_sqft", "rate_range_unit_sold",
+    "rate_range_total_sales", "rate_range_ca_consumed_sqft", "age_range_unit_sold", "age_range_total_agreement_price",
+    "age_range_ca_consumed_sqft", "wt_avg_rate_sa", "p50_rate_sa", "p75_rate_sa", "p90_rate_sa", "floor_wise_90p_rate",
+    "most_prevailing_rate_range", "total_unit_sold_in_rate_range",
+]
+# Those of a bedroom label; they stand last, by bedrooms.
+TYPE_ONLY = {"wt_avg_rate_sa", "p50_rate_sa", "p75_rate_sa", "p90_rate_sa", "floor_wise_90p_rate", "most_prevailing_rate_range", "total_unit_sold_in_rate_range"}
+
+
+def _columns() -> str:
+    """Columns of the project report over all periods: place, name, filled cells."""
+    fixed = [
+        ("Type", "count(*)"), ("Period", "count(*)"), ("proj_id", "count(key_id)"), ("city", "count(city)"), *[(c, f'count("{c}")') for c in (
+            "index", "project", "location", "location_id", "project_lat", "project_lng", "city_id", "total_sales",
+            "total_ca_consumed_sqft_igr", "total_transactions", "max_floor", "recent_transaction_date", "project_type")],
+    ]
+    heads = " UNION ALL ".join(f"SELECT 1 AS part, '' AS label, {i} AS rank, 0.0 AS rooms, '{n}' AS name, {x} AS filled FROM base" for i, (n, x) in enumerate(fixed))
+    types = ", ".join(f"({i}, '{m}')" for i, m in enumerate(TYPE_METRICS))
+    rooms = [m for m in TYPE_METRICS if m not in TYPE_ONLY] + ["avg_carpet_area_in_sqft"]
+    places = ", ".join(f"({BEDROOM_METRICS.index('_' + m)}, '{m}')" for m in rooms)
+    base = _base("project", {"index": "index", "project": "project_name", "location": "location", "location_id": "location_id",
+                             "project_lat": "project_lat", "project_lng": "project_lng", "city_id": "city_id"})
+    return f"""{_long_parts("project")},
+of_type(rank, metric) AS (VALUES {types}), of_rooms(rank, metric) AS (VALUES {places}),
+all_rows AS ({base}),
+base AS (
+  SELECT * REPLACE (nullif(total_sales, 0) AS total_sales, nullif(total_ca_consumed_sqft_igr, 0) AS total_ca_consumed_sqft_igr,
+    nullif(total_transactions, 0) AS total_transactions, nullif(max_floor, 0) AS max_floor) FROM all_rows WHERE grain = 'Overall'),
+cells AS (
+  SELECT kind, segment, metric, count(DISTINCT (city, key_id)) AS filled FROM l WHERE grain = 'Overall' GROUP BY kind, segment, metric),
+labels AS (SELECT DISTINCT kind, segment FROM cells),
+columns AS (
+  {heads}
+  UNION ALL
+  SELECT 2, n.segment, t.rank, 0, lower(n.segment || '_' || t.metric), coalesce(c.filled, 0)
+  FROM labels n CROSS JOIN of_type t LEFT JOIN cells c ON c.kind = n.kind AND c.segment = n.segment AND c.metric = t.metric
+  WHERE n.kind = 'property_type'
+  UNION ALL
+  SELECT 3, segment, 0, 0, lower(segment || '_' || metric), filled FROM cells WHERE kind = 'bhk_br' AND segment IN ({NON_BHK})
+  UNION ALL
+  SELECT 4, '', 0, 0, 'pincode_stats', count(DISTINCT (city, key_id)) FROM g
+  WHERE level = 'project' AND grain = 'Overall' AND agreement_price > 0 AND buyer_pincode IS NOT NULL
+  UNION ALL
+  SELECT 5, lower(n.segment), t.rank,
+    CAST(regexp_extract(n.segment, '[0-9.]+') AS DOUBLE) + CASE n.segment[1] WHEN '<' THEN -0.5 WHEN '>' THEN 0.5 ELSE 0 END,
+    lower(n.segment || '_' || t.metric), coalesce(c.filled, 0)
+  FROM labels n CROSS JOIN of_rooms t LEFT JOIN cells c ON c.kind = n.kind AND c.segment = n.segment AND c.metric = t.metric
+  WHERE n.kind = 'bhk_br' AND n.segment NOT IN ({NON_BHK}))
+SELECT CAST(row_number() OVER (ORDER BY part, rooms, label, rank) - 1 AS INTEGER) AS position, name, CAST(filled AS BIGINT) AS filled FROM columns"""
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["city_list"] = CITIES + " ORDER BY city_name"
@@ -552,6 +608,7 @@ QUALIFY rank <= 10"""
         out[f"report_{level}_long"] = f"{_long_parts(level)} SELECT {SK}, metric, bucket, value, text FROM l"
         for grain, suffix in (("Overall", ""), ("YoY", "_yoy"), ("QoQ", "_qoq")):
             out[f"report_{level}{suffix}"] = _wide(level, grain)
+    out["report_columns"] = _columns()
     out["report_custom_level"] = f"{_long_parts('micro')} SELECT {SK}, metric, bucket, value, text FROM l"
     out["run_all_reports"] = on_g(
         f"""SELECT level, grain AS "Type", key_id, city, CASE WHEN grain = 'YoY' THEN CAST(period AS INTEGER) END AS "year",
