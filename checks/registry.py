@@ -263,7 +263,7 @@ def da_registered(spark, d):
 
 def _rates(spark, d, name):
     columns = [*KEYS, *PRICES, percentiles.DISTRIBUTIONS[name][0], *(["floor_no"] if name == "floor_pt" else [])]
-    return percentiles.rate_percentiles(prepared(spark, d, *columns), names=[name])
+    return percentiles.rate_percentiles(prepared(spark, d, *columns), names=[name], keep=Stages(spark).stage)
 
 
 @query

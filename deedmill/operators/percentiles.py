@@ -11,8 +11,8 @@ third of all rows, so groups are never gathered here:
    minimum or maximum is the answer; the counts of the cells left over are ranked value by value.
 
 The number of cells of a group is bounded by the value axis, not by the data. A rate belongs to a
-group for each level, period and distribution, but counts meet the cells left over once per level:
-the groups that want a cell are kept together, and only the ones that match go on.
+group for each level, period and distribution; for step 4, counts first meet the cells that any
+group of their key left over, once per level, and only those that do are spread over groups again.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPE
 
 CELLS_PER_OCTAVE = 4096
 
+# Given a frame and a name, the frame, perhaps staged.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 def _cell(v: Column) -> Column:
     """Slice number of a value: logarithmic away from zero and never decreasing in the value."""
@@ -47,22 +50,30 @@ def exact_percentiles(
     """
     rows = rows.filter(F.col(value).isNotNull())
     counted = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_cell", _cell(F.col("_v")))
+    counted = counted.select(F.xxhash64(*keys).alias("_hash"), "*", _cell(F.col("_v")).alias("_cell"))
+    # Sorting by a hash first settles nearly every comparison without looking at the keys.
+    keys = ["_hash", *keys]
 
     def reread(left_over: DataFrame) -> DataFrame:
         side = left_over.toDF(*[f"_k_{c}" if c in keys or c == "_cell" else c for c in left_over.columns])
         return counted.join(side, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_cell"]]))
 
-    return percentiles_of_counts(counted, keys, probabilities, mean, reread)
+    return percentiles_of_counts(counted, keys, probabilities, mean, reread).drop("_hash")
 
 
 def percentiles_of_counts(
-    entries: DataFrame, keys: list[str], probabilities: dict[str, float], mean: str | None, reread: Callable[[DataFrame], DataFrame]
+    entries: DataFrame,
+    keys: list[str],
+    probabilities: dict[str, float],
+    mean: str | None,
+    reread: Callable[[DataFrame], DataFrame],
+    keep: Keep = lambda df, name: df,
 ) -> DataFrame:
     """Percentiles of values ``_v`` that occur ``_n`` times, in cells ``_cell``, in groups of ``keys``.
 
     ``reread`` gets (keys, _cell and what has to be carried along) for the cells that must be looked
-    into, and returns their values and counts with it.
+    into, and returns their values and counts with it. ``keep`` may stage the cells with wanted ranks,
+    a few per group, which several steps read.
     """
     cells = entries.groupBy(*keys, "_cell").agg(
         F.sum("_n").alias("_n"),
@@ -90,7 +101,7 @@ def percentiles_of_counts(
         "_ranks",
         lambda r: F.struct(r.alias("rank"), F.when(one | (r == first), F.col("_min")).when(r == end - 1, F.col("_max")).alias("v")),
     )
-    hits = hits.withColumn("_known", known)
+    hits = keep(hits.select(*keys, "_cell", "_total", "_sum", "_before", known.alias("_known")), "hits")
     settled = hits.select(*keys, "_total", "_sum", F.explode("_known").alias("_k")).filter("_k.v IS NOT NULL")
     settled = settled.select(*keys, "_total", "_sum", F.col("_k.rank").alias("_rank"), F.col("_k.v").alias("_v"))
     opened = F.transform(F.filter("_known", lambda k: k["v"].isNull()), lambda k: k["rank"])
@@ -177,23 +188,24 @@ def rate_percentiles(
     settings: Settings = DEFAULTS,
     probabilities: dict[str, float] = PROBABILITIES,
     grains: Iterable[str] = GRAINS,
-    keep: Callable[[DataFrame], DataFrame] = lambda counted: counted,
+    keep: Keep = lambda df, name: df,
 ) -> DataFrame:
     """Unrounded mean and percentiles of all asked-for rate distributions in one pass.
 
     The levels' prevailing percentiles are among them. Level, grain and distribution travel as
-    small numbers, places in the lists passed in. ``keep`` may stage the counted rates, which are
-    read twice.
+    small numbers, places in the lists passed in. ``keep`` may stage the counted rates and the
+    cells with wanted ranks, which are read more than once.
     """
     levels, names, grains = list(levels), list(names), list(grains)
     probabilities = probabilities | {percentile_name(x.prevailing_percentile): x.prevailing_percentile for x in levels}
     columns = list(dict.fromkeys(DISTRIBUTIONS[n][1] for n in names))
-    counted = keep(counted_rates(df, levels, names, settings))
+    counted = keep(counted_rates(df, levels, names, settings), "counted")
     per_level = counted.withColumn("_target", F.explode("_targets")).withColumn("_rate", F.explode("_rates"))
     fine = ["city", "year", "quarter", "_floor", "_n", *[c for c in (PROPERTY, BEDROOM) if c in counted.columns]]
     per_level = per_level.select(*fine, "_target.*", F.col("_rate.which").alias("_which"), F.col("_rate.v").alias("_v"), F.col("_rate.cell").alias("_cell"))
 
     none = F.lit(None).cast("int")
+    period = {"Overall": F.lit("Overall"), "YoY": F.col("year").cast("string"), "QoQ": F.col("quarter")}
     groups = []
     for d, name in enumerate(names):
         kind, value, by_floor = DISTRIBUTIONS[name]
@@ -202,39 +214,34 @@ def rate_percentiles(
             fits = fits & ~F.col(kind).isin(NON_BHK_LABELS)
         if by_floor:
             fits = fits & F.col("_floor").isNotNull()
-        entry = F.struct(F.lit(d).alias("_dist"), F.col(kind).alias("segment"), (F.col("_floor") if by_floor else none).alias("floor_from"))
-        groups.append(F.when(fits, entry))
-    period = {"Overall": F.lit("Overall"), "YoY": F.col("year").cast("string"), "QoQ": F.col("quarter")}
-    periods = [F.when(period[g].isNotNull(), F.struct(F.lit(i).alias("_grain"), period[g].alias("period"))) for i, g in enumerate(grains)]
-    per_level = per_level.withColumns({"_groups": F.array_compact(F.array(*groups)), "_periods": F.array_compact(F.array(*periods))})
-    # All groups that an entry belongs to.
-    belongs = F.flatten(
-        F.transform(
-            "_groups",
-            lambda g: F.transform(
-                "_periods",
-                lambda p: F.struct(g["_dist"], g["segment"], g["floor_from"], p["_grain"], p["period"]),
-            ),
-        )
-    )
-    place = ["city", "_level", "key_id", "_which"]
-    inner = ["_dist", "segment", "floor_from", "_grain", "period"]
-    keys = [*place, *inner]
-    entries = per_level.withColumn("_group", F.explode(belongs)).select(*place, "_group.*", "_cell", "_v", "_n")
+        for g, grain in enumerate(grains):
+            entry = F.struct(
+                F.lit(d * len(grains) + g).alias("_tag"), F.col(kind).alias("segment"),
+                (F.col("_floor") if by_floor else none).alias("floor_from"), period[grain].alias("period"),
+            )
+            groups.append(F.when(fits & period[grain].isNotNull(), entry))
+    place = ["city", "_level", "key_id"]
+    inner = ["_tag", "segment", "floor_from", "period"]
+    # Sorting by a hash first settles nearly every comparison without looking at the other keys.
+    keys = ["_hash", *place, *inner]
+
+    def spread(counts: DataFrame) -> DataFrame:
+        """An entry for each group that a count belongs to."""
+        rows = counts.withColumn("_group", F.explode(F.array(*groups))).filter("_group IS NOT NULL")
+        rows = rows.select(*place, "_group.*", "_cell", "_v", "_n")
+        return rows.select(F.xxhash64(*place, *inner).alias("_hash"), *rows.columns)
 
     def reread(left_over: DataFrame) -> DataFrame:
-        # One row a cell and key, with the groups of the key that want it; their number is that of segments and periods.
-        carried = ["_total", "_sum", "_before", "_open"]
-        wanted = F.struct(F.struct(*inner).alias("group"), *carried)
-        side = left_over.groupBy(*place, "_cell").agg(F.collect_list(wanted).alias("_wanted"))
-        side = side.toDF(*[f"_k{c}" for c in [*place, "_cell"]], "_wanted")
-        # Levels may have no city, so that key compares as a value.
-        on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in [*place, "_cell"]])
-        met = per_level.withColumn("_belongs", belongs).select(*place, "_cell", "_v", "_n", "_belongs").join(side, on)
-        met = met.select(*place, "_cell", "_v", "_n", "_belongs", F.explode("_wanted").alias("_w")).filter(F.array_contains("_belongs", F.col("_w.group")))
-        return met.select(*place, F.col("_w.group.*"), "_cell", "_v", "_n", *[f"_w.{c}" for c in carried])
-
-    out = percentiles_of_counts(entries, keys, probabilities, "mean", reread)
+        # First the counts in cells that any group of a key wants, then the groups.
+        cell = ["_level", "key_id", "_cell"]
+        some = left_over.select(*cell).distinct().toDF(*[f"_s{c}" for c in cell])
+        near = per_level.join(some, reduce(and_, [F.col(c) == F.col(f"_s{c}") for c in cell]), "left_semi")
+        side = left_over.toDF(*[f"_k_{c}" if c in keys or c == "_cell" else c for c in left_over.columns])
+        same = (F.col("_hash") == F.col("_k__hash")) & (F.col("_cell") == F.col("_k__cell"))
+        return spread(near).join(side, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys[1:]], same))
+
+    entries = spread(per_level)
+    out = percentiles_of_counts(entries, keys, probabilities, "mean", reread, keep)
 
     def named(options: list[str], column: str) -> Column:
         return F.element_at(F.lit(options), F.col(column) + 1)
@@ -242,9 +249,9 @@ def rate_percentiles(
     return out.withColumns(
         {
             "level": named([x.name for x in levels], "_level"),
-            "grain": named(grains, "_grain"),
-            "dist": named(names, "_dist"),
-            "kind": named([DISTRIBUTIONS[n][0] for n in names], "_dist"),
+            "grain": named([g for _ in names for g in grains], "_tag"),
+            "dist": named([n for n in names for _ in grains], "_tag"),
+            "kind": named([DISTRIBUTIONS[n][0] for n in names for _ in grains], "_tag"),
         }
     ).select(*DIST_KEY, "n", *probabilities, "mean")
 

@@ -8,8 +8,8 @@ column list.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
-from functools import partial, reduce
+from collections.abc import Iterable
+from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
 from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, Level
 from deedmill.functions.values import round2
-from deedmill.operators.percentiles import floor_label, rate_percentiles, with_prevailing
+from deedmill.operators.percentiles import Keep, floor_label, rate_percentiles, with_prevailing
 from deedmill.operators.ranges import area_value, kept, range_cells, range_table
 from deedmill.operators.totals import base_totals, development_agreements, label_counts, segment_totals
 from deedmill.sources.sinks import save_report
@@ -94,12 +94,9 @@ def _totals_part(df: DataFrame, level: Level) -> DataFrame:
     return _unpivot(segment_totals(df, [level]), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
 
 
-Keep = Callable[[DataFrame, str], DataFrame]
-
-
 def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterable[str], keep: Keep) -> DataFrame:
-    kept_rates = partial(keep, name=f"{level.name}-rates")
-    rates = with_prevailing(rate_percentiles(df, [level], settings=settings, grains=grains, keep=kept_rates), [level])
+    rates = rate_percentiles(df, [level], settings=settings, grains=grains, keep=lambda x, name: keep(x, f"{level.name}-{name}"))
+    rates = with_prevailing(rates, [level])
     number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [("floor_pt", "floor_wise_90p_rate", round2(F.col("p90")), text)]
     for dist, suffix in (("rate_nca_pt", "rate_nca"), ("rate_nca_bhk", "rate_nca"), ("rate_sa_pt", "rate_sa")):
@@ -122,7 +119,7 @@ def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterabl
 
 def _ranges_part(df: DataFrame, level: Level, settings: Settings, keep: Keep) -> DataFrame:
     """One pass counts the cells of all blocks; each block then has its own short plan."""
-    cells = keep(range_cells(df, levels=[level], settings=settings), name=f"{level.name}-ranges")
+    cells = keep(range_cells(df, levels=[level], settings=settings), f"{level.name}-ranges")
     always, priced = F.lit(True), F.col("priced")
     n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
     entries = {
