@@ -10,8 +10,8 @@ are too; only pieces at its edges differ, though they have an anchor in common.
 
 A shard's index is a family of sorted arrays. Each new batch of suffixes is sorted, scanned against the existing
 levels, and becomes a level itself; levels of like size are merged, so a suffix is copied a logarithmic number of
-times. Suffixes are sorted and compared by 64-bit hashes of their 50 bytes, or of the piece's first and last 50 and
-its length, within shards chosen by, and for pieces checked with, the anchor's own hash.
+times. Suffixes are sorted and compared by 64-bit hashes of their 50 bytes, or of the piece's first, middle and last
+50, which cover all of its bytes, and its length, within shards chosen by, and for pieces checked with, the anchor's own hash.
 
 A batch hands on each piece or suffix once, for the smallest document in it that has it, so a passage that a third of
 all documents have costs its shard one entry a batch.
@@ -108,7 +108,9 @@ def _scan_chunk(segments: list[tuple[int, int, bytes]]) -> Pieces:
     count = np.diff(np.append(first, len(places)))
     segment = np.searchsorted(begins, places[first], "right") - 1
     text, offset = np.array([s[0] for s in segments])[segment], np.array([s[1] for s in segments])[segment]
-    name = _mix(_mix(strings[first] * _B + strings[first + count - 1]) + count.astype(np.uint64))
+    # No two of the three begin more than LENGTH apart, so every byte of the piece is in the name.
+    name = _mix(strings[first] * _B + strings[first + (count - 1) // 2])
+    name = _mix(_mix(name * _B + strings[first + count - 1]) + count.astype(np.uint64))
     return Pieces(text, offset + places[first] - begins[segment], count, least[first], name, first, strings)
 
 

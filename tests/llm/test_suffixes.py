@@ -59,6 +59,14 @@ def test_hard_rows_and_small_table(hard_docs, no_docs, some_docs):
     assert suffixes.query(no_docs).collect() == []
 
 
+def test_odd_byte_in_a_long_run(spark):
+    rows = [(1, "*" * 200), (2, " " * 200)]
+    rows += [(3 + i, c + o + c[:1] * 90) for i, (c, o) in enumerate((c * 50, o) for c in "* " for o in "\nbcd-#!/_")]
+    rows += [(100 + n, "*" * n + "?" + "*" * 150) for n in range(40, 70)]
+    got = suffixes.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == by_hand(rows)
+
+
 def test_kept_bytes(spark):
     line = "this line of text is longer than fifty bytes, so it counts as a repeat. "
     docs = spark.createDataFrame([(1, line + "one"), (2, "two " + line + "2")], "doc_id long, text string")
