@@ -11,7 +11,7 @@ Keys with many fingerprints are cut into tiles, and each pair of tiles is a task
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -166,12 +166,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: tuple[int, ..
     return prints.join(classes, "print").select("doc_id", "print", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id names its component, once each; all columns.
+def keep_one(docs: DataFrame, near: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
+    """The rows of `docs` whose doc_id names its component by `near`, once each; all columns.
 
     Of rows with equal doc_id and text one stays. A row without doc_id cannot be named and stays.
     """
-    found = near_duplicates(docs)
+    found = near(docs)
     named = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     kept = docs.join(named, docs["doc_id"].cast("long") == named["_kept"], "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
