@@ -51,7 +51,7 @@ def op9_language(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op10_edit_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
-    return editprint.compared(table(spark, directory, "documents"))
+    return editprint.query(table(spark, directory, "documents"))
 
 
 QUERIES: dict[str, Query] = {

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +74,42 @@ def links(keyed: DataFrame, near: Near, kind: str, tile: int = TILE) -> DataFram
             yield linked([rest])
 
     return dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def crowds(met: DataFrame, tile: int) -> DataFrame:
+    """root, node, tiles and own, the node's tile, for each member of the components `met` (node and root, as components gives them)."""
+    members = met.unionByName(met.select(F.col("root").alias("node"), "root").distinct())
+    sizes = members.groupBy("root").agg(F.count("*").alias("n")).select("root", F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("tiles"))
+    return members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+
+
+def text_links(texts: DataFrame, near: Callable[[list[str]], Iterable[tuple[int, np.ndarray]]], kind: str) -> DataFrame:
+    """Pairs a, b of nodes that span what `near` finds among the texts of each crowd, two of its tiles at a time.
+
+    `texts` has what crowds gives, and packed, the node's compressed text, a row for each node of the type `kind`.
+    """
+    pairs = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    pairs = pairs.select("root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "packed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = pa.string() if kind == "string" else pa.int64()
+
+        def linked(rows: list[tuple]) -> pa.RecordBatch:
+            found = []
+            if len(rows) > 1:
+                found = forest(len(rows), near([zstandard.decompress(r[1]).decode("utf-8", "surrogatepass") for r in rows])).tolist()
+            return pa.record_batch([pa.array([rows[p[side]][0] for p in found], types) for side in (0, 1)], ["a", "b"])
+
+        last, rows = None, []
+        for batch in batches:
+            for *group, node, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != last and rows:
+                    yield linked(rows)
+                    rows = []
+                last = group
+                rows.append((node, packed))
+        if rows:
+            yield linked(rows)
+
+    group = ["root", "x", "y"]
+    return pairs.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, f"a {kind}, b {kind}")
