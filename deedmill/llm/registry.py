@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import chat, editprint, langid, mixing, neighbours, piecemerge, pii, simhash, suffixes, tokencount
+from deedmill.llm import chat, editprint, langid, merkle, mixing, neighbours, piecemerge, pii, simhash, suffixes, tokencount
 from deedmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,11 +54,15 @@ def op10_edit_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return editprint.query(table(spark, directory, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    return merkle.query(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op5_suffix_dedup, op6_token_counts, op7_sentencepiece,
-        op8_neighbours, op9_language, op10_edit_fingerprints,
+        op8_neighbours, op9_language, op10_edit_fingerprints, op11_merkle_manifest,
     )
 } | {"pipeline": corpus_pipeline.run}
 
