@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deedmill.llm import chat, editprint, idfile, langid, merkle, mixing, neighbours, piecemerge, pii, simhash, suffixes, tokencount
+from deedmill.llm import chat, editprint, idfile, langid, merkle, mixing, neighbours, piecemerge, pii, repair, simhash, suffixes, tokencount
 from deedmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,11 +62,16 @@ def op12_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return idfile.query(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    return repair.repair(table(spark, directory, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_pii, op3_mixing, op4_simhash, op5_suffix_dedup, op6_token_counts, op7_sentencepiece,
         op8_neighbours, op9_language, op10_edit_fingerprints, op11_merkle_manifest, op12_token_files,
+        op13_conversation_repair,
     )
 } | {"pipeline": corpus_pipeline.run}
 

@@ -47,5 +47,5 @@ def test_hard_rows_and_empty_table(spark, hard_docs, no_docs):
 
 def test_registered():
     names = list(registry.QUERIES)
-    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 13)] and names[-1] == "pipeline"
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)] and names[-1] == "pipeline"
     assert piecemerge.BLANK == "▁"
