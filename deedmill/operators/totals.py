@@ -41,18 +41,27 @@ def project_type_label(has_residential: Column, has_commercial: Column) -> Colum
     )
 
 
-def base_totals(df: DataFrame, level: Level) -> DataFrame:
+def base_totals(df: DataFrame, level: Level | Iterable[Level]) -> DataFrame:
     """One row per key and period: totals, latest date, project type and descriptive columns.
 
-    A descriptive column takes its value from the smallest document number that has one.
+    A descriptive column takes its value from the smallest document number that has one. Of several levels, each
+    fills its own descriptive columns; those of one name must have one type.
     """
-    attributes = dict(level.attributes)
-    firsts = [
-        F.min(F.when(F.col(src).isNotNull(), F.struct("document_no", F.col(src).alias("value")))).alias(f"_{name}")
-        for name, src in attributes.items()
-    ]
+    levels = [level] if isinstance(level, Level) else list(level)
+    sources: dict[str, list[tuple[str, str]]] = {}
+    for one in levels:
+        for name, src in one.attributes:
+            sources.setdefault(name, []).append((one.name, src))
+
+    def first(name: str) -> Column:
+        value = F.col(sources[name][0][1])
+        if len({src for _, src in sources[name]}) > 1 or len(sources[name]) < len(levels):
+            value = F.coalesce(*[F.when(F.col("level") == own, F.col(src)) for own, src in sources[name]])
+        return F.min(F.when(value.isNotNull(), F.struct("document_no", value.alias("value")))).alias(f"_{name}")
+
+    attributes, firsts = list(sources), [first(name) for name in sources]
     fine = (
-        by_level(df, [level])
+        by_level(df, levels)
         .groupBy(*FINE_KEY)
         .agg(
             F.sum("agreement_price").alias("sales"),

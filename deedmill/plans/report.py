@@ -1,19 +1,22 @@
 """Reports: all metrics of a level, long or wide.
 
 The long form has one scalar per row and a fixed schema, and is what scales. The wide form, one
-row per key and period with a column per segment and metric, is pivoted from it with an explicit
-column list.
+row per key and period with a column per segment and metric, is laid out from the long one's cells.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import partial, reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
@@ -22,6 +25,7 @@ from deedmill.functions.values import round2
 from deedmill.operators.percentiles import Keep, floor_label, rate_percentiles, with_prevailing
 from deedmill.operators.ranges import area_value, kept, range_cells, range_table
 from deedmill.operators.totals import base_totals, development_agreements, label_counts, segment_totals
+from deedmill.plans.jobs import side_by_side
 from deedmill.sources.sinks import save_report
 from deedmill.sources.staging import Stages
 
@@ -88,15 +92,14 @@ def _unpivot(df: DataFrame, entries: list[tuple[Column, str, Column]], bucket: C
     )
 
 
-def _totals_part(df: DataFrame, level: Level) -> DataFrame:
+def _totals_part(df: DataFrame, levels: list[Level]) -> DataFrame:
     always = F.lit(True)
     names = ["sold_igr", "total_agreement_price", "avg_agreement_price", "ca_consumed_sqft_igr", "avg_carpet_area_in_sqft"]
-    return _unpivot(segment_totals(df, [level]), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
+    return _unpivot(segment_totals(df, levels), [(always, n, F.nullif(F.col(n).cast("double"), F.lit(0.0))) for n in names])
 
 
-def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterable[str], keep: Keep) -> DataFrame:
-    rates = rate_percentiles(df, [level], settings=settings, grains=grains, keep=lambda x, name: keep(x, f"{level.name}-{name}"))
-    rates = with_prevailing(rates, [level])
+def _rates_part(df: DataFrame, levels: list[Level], settings: Settings, grains: Iterable[str], keep: Keep) -> DataFrame:
+    rates = with_prevailing(rate_percentiles(df, levels, settings=settings, grains=grains, keep=keep), levels)
     number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [("floor_pt", "floor_wise_90p_rate", round2(F.col("p90")), text)]
     for dist, suffix in (("rate_nca_pt", "rate_nca"), ("rate_nca_bhk", "rate_nca"), ("rate_sa_pt", "rate_sa")):
@@ -117,9 +120,9 @@ def _rates_part(df: DataFrame, level: Level, settings: Settings, grains: Iterabl
     )
 
 
-def _ranges_part(df: DataFrame, level: Level, settings: Settings, keep: Keep) -> DataFrame:
+def _ranges_part(df: DataFrame, levels: list[Level], settings: Settings, keep: Keep) -> DataFrame:
     """One pass counts the cells of all blocks; each block then has its own short plan."""
-    cells = keep(range_cells(df, levels=[level], settings=settings), f"{level.name}-ranges")
+    cells = keep(range_cells(df, levels=levels, settings=settings), "ranges")
     always, priced = F.lit(True), F.col("priced")
     n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
     entries = {
@@ -146,29 +149,33 @@ def _ranges_part(df: DataFrame, level: Level, settings: Settings, keep: Keep) ->
             (always, "age_range_ca_consumed_sqft", kept(carpet)),
         ],
     }
-    parts = [_unpivot(range_table(cells, [level], settings, [b]), e, F.col("bucket")) for b, e in entries.items()]
+    parts = [_unpivot(range_table(cells, levels, settings, [b]), e, F.col("bucket")) for b, e in entries.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _labels_part(df: DataFrame, level: Level) -> DataFrame:
+def _labels_part(df: DataFrame, levels: list[Level]) -> DataFrame:
     nothing = F.lit(None).cast("string")
-    return label_counts(df, [level]).filter(F.col("n") > 0).select(
+    return label_counts(df, levels).filter(F.col("n") > 0).select(
         *PERIOD_KEY, F.lit("label").alias("kind"), "segment", "metric", nothing.alias("bucket"),
         F.col("n").cast("double").alias("value"), nothing.alias("text"),
     )
 
 
+def _listed(level: Level | Iterable[Level]) -> list[Level]:
+    return [level] if isinstance(level, Level) else list(level)
+
+
 def long_report(
-    df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
+    df: DataFrame, level: Level | Iterable[Level], settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
 ) -> DataFrame:
-    """Every segment metric of a level, one scalar per row.
+    """Every segment metric of one level or of several at once, one scalar per row.
 
     ``keep`` may stage what several parts read: counted rates and range cells, both far fewer than rows.
     """
-    grains = list(grains)
-    parts = [_totals_part(df, level), _rates_part(df, level, settings, grains, keep), _ranges_part(df, level, settings, keep)]
-    if not level.manual_only:
-        parts.append(_labels_part(df, level))
+    levels, grains = _listed(level), list(grains)
+    parts = [_totals_part(df, levels), _rates_part(df, levels, settings, grains, keep), _ranges_part(df, levels, settings, keep)]
+    if labelled := [x for x in levels if not x.manual_only]:
+        parts.append(_labels_part(df, labelled))
     whole = reduce(DataFrame.unionByName, parts)
     return whole if set(grains) == set(GRAINS) else whole.filter(F.col("grain").isin(grains))
 
@@ -220,14 +227,16 @@ def _number_text(value: Column, kind: str) -> Column:
 
 
 def report_cells(
-    df: DataFrame, level: Level, settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
+    df: DataFrame, level: Level | Iterable[Level], settings: Settings = DEFAULTS, grains: Iterable[str] = GRAINS, keep: Keep = lambda df, name: df
 ) -> DataFrame:
-    """Cells of the wide report of a level: key, kind, segment, metric, column key ``name`` and text ``cell``.
+    """Cells of the wide reports of one level or of several: key, kind, segment, metric, column key ``name`` and text ``cell``.
 
     A distribution is one JSON object, its buckets in text order. The buckets of a cell are few;
     pincodes, the largest set, are bounded by the postal system.
     """
-    rows = long_report(df, level, settings, grains, keep)
+    levels = _listed(level)
+    # Read twice below.
+    rows = keep(long_report(df, levels, settings, grains, keep), "long")
     counts = sorted({m for m, (kind, _) in (PROPERTY_METRICS | BEDROOM_SEGMENT_METRICS).items() if kind == COUNT})
     number = F.when(F.col("metric").isin(counts), _number_text(F.col("value"), COUNT)).otherwise(_number_text(F.col("value"), AMOUNT))
     item = F.struct("bucket", number.alias("text"))
@@ -244,7 +253,7 @@ def report_cells(
     )
     entry = F.struct(F.col("pincode").cast("string").alias("bucket"), _pincode_text().alias("text"))
     pins = (
-        pincode_stats(df, [level])
+        pincode_stats(df, levels)
         .groupBy(*PERIOD_KEY)
         .agg(F.array_sort(F.collect_list(entry)).alias("items"))
         .select(*PERIOD_KEY, *[nothing.alias(c) for c in column], F.lit("pincode_stats").alias("name"), _json("items").alias("cell"))
@@ -252,43 +261,93 @@ def report_cells(
     return plain.unionByName(nested).unionByName(pins)
 
 
-def report_base(df: DataFrame, level: Level) -> DataFrame:
-    """Totals and descriptive columns of the wide report at all grains; they decide its rows."""
-    base = base_totals(df, level)
-    if not level.manual_only:
-        base = base.join(development_agreements(df, [level]), PERIOD_KEY, "left")
+def report_base(df: DataFrame, level: Level | Iterable[Level]) -> DataFrame:
+    """Totals and descriptive columns of the wide reports at all grains; they decide their rows."""
+    levels = _listed(level)
+    base = base_totals(df, levels)
+    if labelled := [x for x in levels if not x.manual_only]:
+        base = base.join(development_agreements(df, labelled), PERIOD_KEY, "left")
     return base
 
 
-def widen(base: DataFrame, cells: DataFrame, level: Level, grain: str, labels: dict[str, list[str]]) -> DataFrame:
-    """One row per key and period of a grain; zeros are blank."""
-    names = wide_columns(labels)
-    if not level.manual_only:  # labels without bedrooms have a mean carpet at project level only
-        names = {k: v for k, v in names.items() if not (k[0] == BEDROOM and k[1] in NON_BHK_LABELS)}
-    of_grain = F.col("grain") == grain
-    wide = (
-        cells.filter(of_grain)
-        .groupBy(*PERIOD_KEY)
-        .pivot("name", ["|".join(k) for k in names] + ["pincode_stats"])
-        .agg(F.first("cell"))
-    )
-    fields = {"Type": f"'{grain}'", "Period": f"'{grain}'", level.key: "key_id"}
-    fields |= {"Overall": {}, "YoY": {"year": "CAST(period AS INT)"}, "QoQ": {"quarter": "period"}}[grain]
-    fields |= {"city": "city", **{c: c for c, _ in level.attributes}}
-    fields |= {c: f"nullif({c}, CAST(0 AS DOUBLE))" for c in ("total_sales", "total_ca_consumed_sqft_igr")}
-    fields |= {"total_transactions": "nullif(total_transactions, 0)", "max_floor": "nullif(max_floor, CAST(0 AS DOUBLE))"}
-    fields |= {"recent_transaction_date": "recent_transaction_date", "project_type": "project_type"}
-    if not level.manual_only:
-        fields["no_of_da_registered"] = "no_of_da_registered"
-    for k, (name, kind, nested) in names.items():
-        cell = _q("|".join(k))
-        if not nested and kind != TEXT:
-            cell = f"CAST({cell} AS DOUBLE)"
-            cell = f"CAST({cell} AS BIGINT)" if kind == COUNT else cell
-        fields[name] = cell
-    fields["pincode_stats"] = "pincode_stats"
-    report = base.filter(of_grain).join(wide, PERIOD_KEY, "left")
-    return report.selectExpr(*[f"{fields[c]} AS {_q(c)}" for c in bedroom_order(list(fields))])
+@dataclass(frozen=True)
+class Shape:
+    """The columns of a level's wide report."""
+
+    level: Level
+    grains: tuple[str, ...]
+    names: dict[tuple[str, str, str], tuple[str, str, bool]]
+
+    @staticmethod
+    def of(level: Level, grains: Iterable[str], labels: dict[str, list[str]]) -> Shape:
+        names = wide_columns(labels)
+        if not level.manual_only:  # labels without bedrooms have a mean carpet at project level only
+            names = {k: v for k, v in names.items() if not (k[0] == BEDROOM and k[1] in NON_BHK_LABELS)}
+        return Shape(level, tuple(grains), names)
+
+    def cells(self) -> dict[str, tuple[str, pa.DataType]]:
+        """Cell key -> (column name, type)."""
+        types = {TEXT: pa.string(), COUNT: pa.int64(), AMOUNT: pa.float64()}
+        found = {"|".join(k): (name, pa.string() if nested else types[kind]) for k, (name, kind, nested) in self.names.items()}
+        return found | {"pincode_stats": ("pincode_stats", pa.string())}
+
+    def base(self) -> dict[str, Column]:
+        """Columns that come from the totals; zeros are blank."""
+        fields = {"Type": F.col("grain"), "Period": F.col("grain"), self.level.key: F.col("key_id")}
+        for grain, name, kind in (("YoY", "year", "int"), ("QoQ", "quarter", "string")):
+            if grain in self.grains:
+                fields[name] = F.when(F.col("grain") == grain, F.col("period")).cast(kind)
+        fields["city"] = F.col("city")
+        fields |= {c: F.col(c) for c, _ in self.level.attributes}
+        fields |= {c: F.nullif(F.col(c), F.lit(0.0)) for c in ("total_sales", "total_ca_consumed_sqft_igr")}
+        fields |= {"total_transactions": F.nullif("total_transactions", F.lit(0)), "max_floor": F.nullif("max_floor", F.lit(0.0))}
+        fields |= {c: F.col(c) for c in ("recent_transaction_date", "project_type")}
+        if not self.level.manual_only:
+            fields["no_of_da_registered"] = F.col("no_of_da_registered")
+        return {name: column.alias(name) for name, column in fields.items()}
+
+
+def widen(base: DataFrame, cells: DataFrame, shape: Shape) -> DataFrame:
+    """One row per key and period of a level, its grains one after the other, in order of city, key and period.
+
+    Rows are put in order while they hold no more than their cells; a row builder then lays the cells out, so that
+    no plan holds an expression for each of the report's many columns.
+    """
+    level, mine = shape.level, F.col("level") == shape.level.name
+    own = cells.filter(mine & F.col("grain").isin(list(shape.grains)))
+    # As many cells as the report has columns.
+    own = own.groupBy(*PERIOD_KEY).agg(F.collect_list(F.struct("name", "cell")).alias("_cells"))
+    fixed = shape.base()
+    rows = base.filter(mine & F.col("grain").isin(list(shape.grains))).join(own, PERIOD_KEY, "left")
+    turn = F.array_position(F.lit(list(shape.grains)), F.col("Type"))
+    periods = [c for grain in shape.grains for c in PERIOD_COLUMN[grain]]
+    rows = rows.select(*fixed.values(), "_cells").orderBy(turn, "city", level.key, *periods)
+
+    found, plain = shape.cells(), list(fixed)
+    order = bedroom_order([*plain, *[name for name, _ in found.values()]])
+    types = dict(found.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name) for name in plain}
+            texts: dict[str, list] = {name: [None] * batch.num_rows for name in types}
+            for i, row in enumerate(batch.column("_cells").to_pylist()):
+                for cell in row or ():
+                    if (place := found.get(cell["name"])) is not None:
+                        texts[place[0]][i] = cell["cell"]
+            for name, kind in types.items():
+                text = pa.array(texts.pop(name), pa.string())
+                columns[name] = text if kind == pa.string() else _number(text, kind)
+            yield pa.record_batch([columns[name] for name in order], order)
+
+    made = {name: T.StructField(name, from_arrow_type(kind)) for name, kind in types.items()}
+    schema = T.StructType([made.get(name) or rows.schema[name] for name in order])
+    return rows.mapInArrow(run, schema)
+
+
+def _number(text: pa.Array, kind: pa.DataType) -> pa.Array:
+    number = text.cast(pa.float64())
+    return number.cast(kind)
 
 
 def report_rows(df: DataFrame, levels: Iterable[Level]) -> DataFrame:
@@ -307,12 +366,23 @@ def wide_report(df: DataFrame, level: Level, grain: str, settings: Settings = DE
     stages = Stages(df.sparkSession)
     rows = stages.stage(report_rows(df, [level]), "rows")
     cells = stages.stage(report_cells(rows, level, settings, [grain], stages.stage), "cells")
-    return widen(report_base(rows, level), cells, level, grain, segment_labels(cells))
+    return widen(report_base(rows, level), cells, Shape.of(level, [grain], segment_labels(cells)))
 
 
 PERIOD_COLUMN = {"Overall": [], "YoY": ["year"], "QoQ": ["quarter"]}
 
 
+class ReportsFailed(ExceptionGroup):
+    """Reports that failed, each under its level's name in a note; ``written`` has the paths of the others."""
+
+    def __new__(cls, written: dict[str, str], failed: dict[str, Exception]) -> ReportsFailed:
+        for name, error in failed.items():
+            error.add_note(f"report of level '{name}'")
+        self = super().__new__(cls, f"reports failed: {', '.join(sorted(failed))}", list(failed.values()))
+        self.written, self.failed = written, failed
+        return self
+
+
 def run_reports(
     df: DataFrame,
     path: str,
@@ -323,25 +393,40 @@ def run_reports(
 ) -> dict[str, str]:
     """All reports of prepared transactions, one file set per level, grains stacked by column name.
 
-    Prepared rows and each level's cells are computed once and staged; the wide reports are
-    pivoted from the staged cells, stacked, and sorted once. Staged files are removed at the end.
+    Prepared rows are computed once and staged. One pass over them counts the cells of all levels and grains, which
+    are staged too; each level's report is then laid out from its cells, side by side with the others. Staged files
+    are removed at the end.
+
+    A failing level does not keep the others from being written: if the common pass fails, levels go on one by
+    one. All failures are raised together at the end, as ``ReportsFailed``.
     """
     levels, grains = list(levels), list(grains)
-    stages = Stages(df.sparkSession)
+    spark, stages = df.sparkSession, Stages(df.sparkSession)
+    path = path.rstrip("/")
+
+    def write(level: Level, base: DataFrame, cells: DataFrame) -> str:
+        shape = Shape.of(level, grains, segment_labels(cells.filter(F.col("level") == level.name)))
+        save_report(widen(base, cells, shape), f"{path}/{level.name}", fmt)
+        return f"{path}/{level.name}"
+
+    def counted(rows: DataFrame, some: list[Level], name: str) -> tuple[DataFrame, DataFrame]:
+        keep = lambda frame, part: stages.stage(frame, f"{name}-{part}")
+        cells = keep(report_cells(rows, some, settings, grains, keep), "cells")
+        return keep(report_base(rows, some), "base"), cells
+
     try:
         rows = stages.stage(report_rows(df, levels), "rows")
-        out = {}
-        for level in levels:
-            base = stages.stage(report_base(rows, level), f"{level.name}-base")
-            cells = stages.stage(report_cells(rows, level, settings, grains, stages.stage), f"{level.name}-cells")
-            labels = segment_labels(cells)
-            stacked = stack([widen(base, cells, level, grain, labels) for grain in grains])
-            order = [c for grain in grains for c in PERIOD_COLUMN[grain]]
-            turn = F.array_position(F.lit(grains), F.col("Type"))
-            stacked = stacked.orderBy(turn, "city", level.key, *order)
-            out[level.name] = f"{path.rstrip('/')}/{level.name}"
-            save_report(stacked.select(*[F.col(_q(c)) for c in bedroom_order(stacked.columns)]), out[level.name], fmt)
-        return out
+        try:
+            base, cells = counted(rows, levels, "all")
+            jobs = {x.name: partial(write, x, base, cells) for x in levels}
+        except Exception:
+            if len(levels) == 1:
+                raise
+            jobs = {x.name: lambda x=x: write(x, *counted(rows, [x], x.name)) for x in levels}
+        written, failed = side_by_side(spark, jobs)
+        if failed:
+            raise ReportsFailed(written, failed)
+        return written
     finally:
         stages.discard()
 

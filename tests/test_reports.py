@@ -1,5 +1,6 @@
 import glob
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from checks import registry
 from checks.compare import canonical, connect
-from deedmill.operators.levels import CITY, PROJECT, Level
+from deedmill.operators.levels import CITY, LOCATION, PROJECT, Level
 from deedmill.operators import percentiles
 from deedmill.plans import report
+from deedmill.plans.jobs import side_by_side
 from deedmill.sources import sinks, star
 from deedmill.sources.staging import shared_folder
 from deedmill.sources.transactions import list_cities, load_transactions, range_predicates
@@ -135,3 +137,39 @@ def test_run_reports(spark, tmp_path):
     assert PROJECT.name not in out
     assert [r.Type for r in rows.collect()] == sorted(r.Type for r in rows.collect())
     assert staged() == before
+
+
+def test_one_failing_level_leaves_the_others(spark, tmp_path):
+    df = registry.prepared(spark, TINY, *report.COLUMNS).withColumn("ward", F.col("location"))
+    ward = Level("ward", "ward", False, False, 0.80, 0.10)  # texts that are no numbers
+    with pytest.raises(report.ReportsFailed, match="ward") as caught:
+        report.run_reports(df, str(tmp_path / "out"), levels=[ward, CITY], grains=["Overall"])
+    assert set(caught.value.written) == {"city"} and set(caught.value.failed) == {"ward"}
+    assert "report of level 'ward'" in caught.value.failed["ward"].__notes__
+    assert spark.read.parquet(caught.value.written["city"]).count() == 5
+    assert not (tmp_path / "out" / "ward").exists() or not list((tmp_path / "out" / "ward").glob("*.parquet"))
+
+
+def test_jobs_fail_and_stop_alone(spark):
+    def slow():
+        return spark.range(4).repartition(4).mapInArrow(_sleeping, "id long").count()
+
+    done, failed = side_by_side(spark, {"quick": lambda: spark.range(3).count(), "bad": lambda: 1 // 0, "slow": slow}, timeout=8)
+    assert done == {"quick": 3} and set(failed) == {"bad", "slow"}
+    assert isinstance(failed["bad"], ZeroDivisionError)
+    assert spark.range(5).count() == 5 and not spark.getTags()
+
+
+def _sleeping(batches):
+    time.sleep(60)
+    yield from batches
+
+
+def test_reports_of_all_levels_at_once_equal_single_ones(spark, tmp_path):
+    df = registry.prepared(spark, TINY, *report.COLUMNS).cache()
+    out = report.run_reports(df, str(tmp_path / "out"))
+    for level, grain in ((PROJECT, "YoY"), (LOCATION, "QoQ")):
+        one = report.wide_report(df, level, grain)
+        both = spark.read.parquet(out[level.name]).filter(F.col("Type") == grain).select(*[f"`{c}`" for c in one.columns])
+        assert sorted(map(str, both.collect())) == sorted(map(str, one.collect()))
+    df.unpersist()
