@@ -35,8 +35,15 @@ def _param(name: str) -> str:
     return f"coalesce(o.{name}, {float(getattr(DEFAULTS.default_city, name))!r}::DOUBLE)::DOUBLE"
 
 
-def _prepared(micro: bool = False) -> str:
-    own_level = "UNION ALL SELECT 'micro', CAST(location_id AS BIGINT), * FROM p WHERE location_id IS NOT NULL" if micro else ""
+OWN_LEVELS = {
+    "micro": "UNION ALL SELECT 'micro', CAST(location_id AS BIGINT), * FROM p WHERE location_id IS NOT NULL",
+    "pair": "UNION ALL SELECT 'pair', CAST(dense_rank() OVER (ORDER BY location, project_type) AS BIGINT), * FROM p "
+    "WHERE location IS NOT NULL AND project_type IS NOT NULL",
+}
+
+
+def _prepared(level: str = "") -> str:
+    own_level = OWN_LEVELS.get(level, "")
     loading = f"CASE WHEN t.property_type IN ('Flat', 'Others') THEN {_param('residential_loading')} ELSE {_param('commercial_loading')} END"
     bounds = ", ".join(f"{_param(c)} AS {c}" for c in PARAM_COLUMNS if c.startswith(("min_", "max_")))
     return f"""
@@ -337,7 +344,7 @@ def _long_parts(level: str) -> str:
         f"SELECT {SK}, 'floor_wise_90p_rate', CAST(lo AS VARCHAR) || '-' || CAST(lo + 5 AS VARCHAR), {r2('quantile_cont(rate_on_net_ca, 0.9)')}, NULL "
         f"FROM (SELECT *, CAST(floor(floor_no / 5) * 5 AS INTEGER) AS lo FROM s WHERE floor_no >= 0) WHERE {at} AND {pt} AND {RATE_OK} GROUP BY {SK}, lo"
     )
-    q, band = {"project": (0.9, 0.05), "micro": (0.85, 0.07)}.get(level, (0.8, 0.1))
+    q, band = {"project": (0.9, 0.05), "micro": (0.85, 0.07), "pair": (0.85, 0.07)}.get(level, (0.8, 0.1))
     ends = " || '-' || ".join(f"CAST(CAST(trunc(quantile_cont(rate_on_net_ca, {q}) * (1 {sign} {band}::DOUBLE)) AS BIGINT) AS VARCHAR)" for sign in "-+")
     parts.append(part("most_prevailing_rate_range", "s", "NULL", f"{pt} AND {RATE_OK}", text=ends))
     inside = "bucket IS NOT NULL"
@@ -365,7 +372,50 @@ def _long_parts(level: str) -> str:
     every = f"""
 b AS (SELECT *, 'bhk_br' AS kind, bhk_br AS segment FROM g WHERE bhk_br IS NOT NULL)"""
     ctes = [_grains("sales", "g"), _grains("every", "e"), _segments(), every, area_rows("ar", False), area_rows("ap", True), rate_rows_("rr"), price_rows("pr"), age_rows("ag")]
-    return "WITH" + _prepared(level == "micro") + ",".join(ctes) + ",\nl AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    return "WITH" + _prepared(level) + ",".join(ctes) + ",\nl AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+
+
+# Specification -> (block, step, bounds or none, priced rows only?)
+SPECS = {
+    "mean_200": ("area", 200, None, False), "mean_350_priced": ("area", 350, None, True), "fixed_150": ("area", 150, (300, 1700), False),
+    "price_fixed": ("price", 1500000, (500000, 9000000), False), "price_mean": ("price", 3000000, None, False),
+    "rate_fixed": ("rate", 700, (1400, 9000), False), "rate_mean": ("rate", 2500, None, False),
+}
+
+
+def _spec(name: str, levels: str) -> str:
+    """A distribution straight from the rows of each segment."""
+    block, step, bounds, priced = SPECS[name]
+    column, rows = {
+        "area": ("carpet_sqft", "net_carpet_area_sqmt > 0 AND carpet_sqft > 0"),
+        "price": ("agreement_price", "agreement_price > 0"),
+        "rate": ("rate_on_net_ca", f"{RATE_OK} AND rate_on_net_ca > 0"),
+    }[block]
+    rows += " AND agreement_price > 0" if priced else ""
+    unit, reach = (100 if block == "area" else step), (3 if block == "rate" else 2)
+    low, high = bounds or (f"(centre - {reach * step})", f"(centre + {reach * step})")
+    if block == "price" and not bounds:
+        low = f"greatest({step}, {low})"
+    last = f"({low} + CAST(ceil(({high} - {low}) / {step}.0) AS BIGINT) * {step})"
+    text = lambda x: f"CAST(CAST({x} AS BIGINT) AS VARCHAR)"
+    if block == "price":
+        money = lambda x: (
+            f"CASE WHEN {x} >= 10000000 THEN printf('%.2f Cr', {x} / 10000000.0) WHEN {x} >= 100000 THEN printf('%.2f L', {x} / 100000.0) "
+            f"ELSE printf('%.2f K', {x} / 1000.0) END"
+        )
+        start = f"({low} + greatest(CAST(ceil((v - {low}) / {step}.0) AS BIGINT) - 1, 0) * {step})"
+        bucket = f"CASE WHEN v < {low} THEN '< ' || {money(low)} WHEN v > {high} THEN '> ' || {money(high)} ELSE {money(start)} || ' - ' || {money(f'({start} + {step})')} END"
+    else:
+        start = f"({low} + CAST(floor((v - {low}) / {step}.0) AS BIGINT) * {step})"
+        inner = f"{text(start)} || '-' || {text(f'({start} + {step})')}"
+        outer = "" if block == "area" and bounds else f"WHEN v < {low} THEN '<' || {text(low)} WHEN v >= {last} THEN '>' || {text(last)}"
+        bucket = f"CASE {outer} WHEN v >= {low} AND v < {last} THEN {inner} END"
+    return f"""
+SELECT '{name}' AS spec, {SK}, {bucket} AS bucket, count(*) AS unit_sold, {r2('coalesce(sum(agreement_price), 0)')} AS total_sales,
+  {r2('coalesce(sum(carpet_sqft), 0)')} AS ca_consumed_sqft
+FROM (SELECT *, {column} AS v, CAST(round_even(avg({column}) OVER (PARTITION BY {SK}) / {unit}, 0) * {unit} AS BIGINT) AS centre
+  FROM s WHERE {rows} AND level IN ({levels}))
+GROUP BY {SK}, {bucket} HAVING bucket IS NOT NULL"""
 
 
 def _number(value: str, kind: str) -> str:
@@ -382,18 +432,24 @@ LABELS = {
 
 
 def _wide(level: str, grain: str) -> str:
-    from deedmill.plans.report import wide_columns
-
-    labels = LABELS if level != "project" else {k: v for k, v in LABELS.items() if not k.startswith("transactions")}
+    # No label of the derived table is both a property type and a bedroom label of one metric, so names need no suffix.
+    rooms = [m for m in TYPE_METRICS if m not in TYPE_ONLY]
+    entries = [("property_type", segment, m) for segment in LABELS["property_type"] for m in TYPE_METRICS]
+    for segment in LABELS["bhk_br"]:
+        if segment not in NON_BHK_LABELS:
+            entries += [("bhk_br", segment, m) for m in rooms]
+        if segment not in NON_BHK_LABELS or level == "project":
+            entries.append(("bhk_br", segment, "avg_carpet_area_in_sqft"))
+    if level != "project":
+        entries += [("label", segment, m) for m in ("transactions_sale", "transactions") for segment in LABELS[m]]
     fields, counts = [], set()
-    for (kind, segment, metric), (name, value, nested) in wide_columns(labels).items():
-        if level != "project" and kind == "bhk_br" and segment in NON_BHK_LABELS:
-            continue
+    for kind, segment, metric in entries:
         cell = f"max(cell) FILTER (kind = '{kind}' AND segment = '{segment}' AND metric = '{metric}')"
-        if not nested and value != "text":
-            cell = f"CAST(CAST({cell} AS DOUBLE) AS {'BIGINT' if value == 'count' else 'DOUBLE'})"
-        fields.append(f'{cell} AS "{name}"')
-        if value == "count":
+        count = "unit_sold" in metric or metric in ("sold_igr", "transactions_sale", "transactions")
+        if "_range" not in metric and not metric.startswith("floor_wise"):
+            cell = f"CAST(CAST({cell} AS DOUBLE) AS {'BIGINT' if count else 'DOUBLE'})"
+        fields.append(f'{cell} AS "{segment.lower()}_{metric}"')
+        if count:
             counts.add(metric)
     number = f"CASE WHEN metric IN ({', '.join(repr(m) for m in sorted(counts))}) THEN {_number('value', 'count')} ELSE {_number('value', 'amount')} END"
     cells = f"""
@@ -610,6 +666,21 @@ QUALIFY rank <= 10"""
             out[f"report_{level}{suffix}"] = _wide(level, grain)
     out["report_columns"] = _columns()
     out["report_custom_level"] = f"{_long_parts('micro')} SELECT {SK}, metric, bucket, value, text FROM l"
+    for key, levels, names in (("range_specs", "'city', 'project'", list(SPECS)[:3]), ("range_specs_mixed", "'city', 'location'", list(SPECS)[3:])):
+        out[key] = "WITH" + _prepared() + _grains("sales", "g") + "," + _segments() + " UNION ALL ".join(_spec(n, levels) for n in names)
+    out["whole_group_fn"] = "WITH" + _prepared() + """
+ordered AS (
+  SELECT city, key_id, property_type, agreement_price AS price, row_number() OVER w AS i, lag(agreement_price) OVER w AS last
+  FROM sales WHERE level = 'city' AND agreement_price > 0
+  WINDOW w AS (PARTITION BY city, key_id, property_type ORDER BY transaction_date NULLS FIRST, document_no NULLS FIRST, agreement_price)),
+runs AS (
+  SELECT *, sum(CASE WHEN price > last THEN 0 ELSE 1 END) OVER (PARTITION BY city, key_id, property_type ORDER BY i) AS run FROM ordered),
+sizes AS (SELECT city, key_id, property_type, count(*) AS n FROM runs GROUP BY city, key_id, property_type, run)
+SELECT city, key_id, property_type, CAST(sum(n) AS BIGINT) AS n, max(n) AS longest_rise FROM sizes GROUP BY city, key_id, property_type"""
+    out["report_two_keys"] = (
+        f"{_long_parts('pair')} SELECT {SK}, metric, bucket, value, text, location, project_type "
+        "FROM l JOIN (SELECT DISTINCT key_id, location, project_type FROM every WHERE level = 'pair') USING (key_id)"
+    )
     out["run_all_reports"] = on_g(
         f"""SELECT level, grain AS "Type", key_id, city, CASE WHEN grain = 'YoY' THEN CAST(period AS INTEGER) END AS "year",
   CASE WHEN grain = 'QoQ' THEN period END AS quarter, nullif({r2('coalesce(sum(agreement_price), 0)')}, 0) AS total_sales,

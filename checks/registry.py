@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from deedmill.config import DEFAULTS, PARAM_COLUMNS
 from deedmill.functions.local import local_table
 from deedmill.functions.values import buyer_ages, price_label, round2, to_number
-from deedmill.operators import buyers, callbacks, fuzzy, levels, percentiles, prepare, ranges, totals
+from deedmill.operators import buyers, callbacks, fuzzy, keys, levels, percentiles, prepare, ranges, specs, totals
 from deedmill.operators.levels import BEDROOM, CITY, LEVELS, LOCATION, PERIOD_KEY, PROJECT, PROPERTY, SEGMENT_KEY
 from deedmill.plans import report
 from deedmill.sources import labels, star
@@ -359,6 +359,51 @@ def custom_group_fn(spark, d):
     return out.select(*keys, "n", (F.col("high") - F.col("low")).alias("price_spread"))
 
 
+AREA_SPECS = [
+    specs.RangeSpec("mean_200", "area", 200),
+    specs.RangeSpec("mean_350_priced", "area", 350, priced=True),
+    specs.RangeSpec("fixed_150", "area", 150, specs.FIXED, 300, 1700),
+]
+OTHER_SPECS = [
+    specs.RangeSpec("price_fixed", "price", 1_500_000, specs.FIXED, 500_000, 9_000_000),
+    specs.RangeSpec("price_mean", "price", 3_000_000),
+    specs.RangeSpec("rate_fixed", "rate", 700, specs.FIXED, 1400, 9000),
+    specs.RangeSpec("rate_mean", "rate", 2500),
+]
+
+
+@query
+def range_specs(spark, d):
+    """Three distributions of the carpet area, by strategies, steps and bounds of their own, from one pass."""
+    return specs.range_stats(prepared(spark, d, *KEYS, *PRICES, *SEGMENTS), AREA_SPECS, [CITY, PROJECT])
+
+
+@query
+def range_specs_mixed(spark, d):
+    """Prices and rates by specifications of their own."""
+    return specs.range_stats(prepared(spark, d, *KEYS, *PRICES, *SEGMENTS), OTHER_SPECS, [CITY, LOCATION])
+
+
+@query
+def whole_group_fn(spark, d):
+    """A user-written statistic that needs a whole ordered group: the longest row of rising prices by city and property type."""
+    rows = levels.by_level(prepared(spark, d, *KEYS, *PRICES, "property_type", "transaction_date", "document_no"), [CITY])
+
+    def longest_rise(key: tuple, batches) -> list[tuple]:
+        n = best = run = 0
+        last = None
+        for batch in batches:
+            for price in batch.column("agreement_price").to_pylist():
+                run = run + 1 if last is not None and price > last else 1
+                best, last, n = max(best, run), price, n + 1
+        return [(n, best)]
+
+    names, order = ["city", "key_id", "property_type"], ["transaction_date", "document_no", "agreement_price"]
+    return callbacks.per_whole_group(
+        rows.filter(levels.masks()["valid_price"]), names, ["agreement_price"], longest_rise, "n bigint, longest_rise bigint", order
+    )
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
@@ -390,6 +435,18 @@ def report_custom_level(spark, d):
     return _long(MICRO)(spark, d)
 
 
+PAIR = levels.Level("pair", ("location", "project_type"), False, False, 0.85, 0.07)
+
+
+@query
+def report_two_keys(spark, d):
+    """All metrics by two text columns, whose keys are numbered in their order."""
+    stages = Stages(spark)
+    rows, numbered = keys.number_keys(prepared(spark, d, *report.COLUMNS), [PAIR], stages.stage)
+    rows = stages.stage(report.report_rows(rows, [PAIR]), "rows")
+    return keys.with_key_columns(report.long_report(rows, PAIR, keep=stages.stage), PAIR, numbered)
+
+
 @query
 def run_all_reports(spark, d):
     """The full run: three levels by three grains, written, and the totals read back from the files."""

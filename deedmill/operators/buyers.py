@@ -10,19 +10,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from deedmill.functions import exact
 from deedmill.functions.values import round2
-from deedmill.operators.levels import LEVEL_KEY, LEVELS, PERIOD_KEY, Level, by_grain, by_level, masks
+from deedmill.operators.levels import LEVELS, PERIOD_KEY, Level, by_grain, by_target, masks, with_targets
 
 
 def _by_pincode(df: DataFrame, levels: Iterable[Level]) -> DataFrame:
     """Documents and price per pincode and period; the null pincode is a row of its own."""
     pincode = F.col("buyer_pincode").cast("bigint").alias("pincode")
+    # Counted once for all levels, then spread over them.
     fine = (
-        by_level(df, levels)
-        .groupBy(*LEVEL_KEY, "year", "quarter", pincode)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("agreement_price").alias("price"))
+        with_targets(df, levels)
+        .groupBy("city", "_targets", "year", "quarter", pincode)
+        .agg(F.count(F.lit(1)).alias("n"), *exact.sums("price", F.col("agreement_price")))
     )
-    return by_grain(fine).groupBy(*PERIOD_KEY, "pincode").agg(F.sum("n").alias("n"), F.sum("price").alias("price"))
+    return by_grain(by_target(fine)).groupBy(*PERIOD_KEY, "pincode").agg(F.sum("n").alias("n"), *exact.merged("price"))
 
 
 def pincode_stats(df: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
@@ -42,8 +44,8 @@ def pincode_stats(df: DataFrame, levels: Iterable[Level] = LEVELS) -> DataFrame:
             "pincode",
             F.col("n").alias("no_of_transactions"),
             round2(F.col("n") / F.col("_total") * 100).alias("pct_of_total_transactions"),
-            round2(F.col("price")).alias("total_agreement_price"),
-            round2(F.col("price") / F.col("n")).alias("avg_agreement_price"),
+            exact.rounded("price").alias("total_agreement_price"),
+            round2(exact.mean("price", "n")).alias("avg_agreement_price"),
         )
     )
 

@@ -1,24 +1,31 @@
-"""User-written pandas statistics per segment.
+"""User-written statistics per segment, in two forms.
 
-A callback that wants a whole group in one task cannot work on a group holding a third of the
-data. The open surface is therefore a pair of functions: ``partial`` turns some rows of a group
-into a small frame, and ``merge`` turns several such frames, concatenated, into one of the same
-shape. Merging must not depend on how rows were split.
+Mergeable: a pair of functions, of which ``partial`` turns some rows of a group into a small frame, and
+``merge`` turns several such frames, concatenated, into one of the same shape. Merging must not depend
+on how rows were split. A group with a third of the data is spread over tasks.
+
+Whole: one function over all rows of a group in a given order, which it gets batch by batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 Step = Callable[[pd.DataFrame], pd.DataFrame]
 
 # Partial states of a group that are merged at once, and groups whose states a task holds.
 MERGE_AT, HELD = 32, 20_000
+# Result rows of whole groups that are handed on at once.
+ROWS_OUT = 1000
 
 
 def per_group(
@@ -82,3 +89,55 @@ def _merger(merge: Step, state_names: list[str], names: list[str]) -> Callable:
         return out[[*names, *state_names]]
 
     return merged
+
+
+Whole = Callable[[tuple, Iterator[pa.RecordBatch]], Iterable[tuple]]
+
+
+def per_whole_group(df: DataFrame, keys: list[str], columns: list[str], function: Whole, result: str, order: list[str] | None = None) -> DataFrame:
+    """What a function makes of each whole group, for statistics that cannot be merged.
+
+    ``function`` gets the group's key and an iterator of Arrow batches with ``columns``, all of the group's rows in
+    the order of ``order``; it may stop early, and yields rows of the schema ``result``. A group is one sorted run of a
+    task and is never held: memory is bounded by an Arrow batch, whatever share of the rows the group has. The task
+    takes as long as the function needs for its group; where states can be merged, ``per_group`` spreads the work.
+    """
+    order = order or []
+    by_name = {f.name: f for f in df.schema.fields}
+    values = StructType.fromDDL(result)
+    schema = StructType([*(by_name[k] for k in keys), *values])
+    arrow, places = to_arrow_schema(schema), range(len(keys))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+        for batch in batches:
+            rows = list(zip(*(batch.column(i).to_pylist() for i in places), strict=True))
+            held, start = batch.select(columns), 0
+            for key, run in groupby(rows, _comparable):
+                n = sum(1 for _ in run)
+                yield key, held.slice(start, n)
+                start += n
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        made = zip(*rows, strict=True) if rows else [[] for _ in arrow]
+        return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(made, arrow, strict=True)], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple] = []
+        for _, group in groupby(slices(batches), lambda x: x[0]):
+            key, first = next(group)
+            key = tuple(k if true else math.nan for k, true in key)
+            for row in function(key, chain([first], (batch for _, batch in group))):
+                made.append((*key, *row))
+                if len(made) >= ROWS_OUT:
+                    yield out(made)
+                    made = []
+        yield out(made)
+
+    needed = list(dict.fromkeys([*keys, *columns, *order]))
+    rows = df.select(*needed).repartition(*keys).sortWithinPartitions(*keys, *order)
+    return rows.mapInArrow(run, schema)
+
+
+def _comparable(key: tuple) -> tuple:
+    """Keys that Spark puts into one group as equal tuples: a number that is none (NaN) is equal to itself there."""
+    return tuple((k, True) if k == k else (None, False) for k in key)

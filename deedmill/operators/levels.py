@@ -23,19 +23,38 @@ PROPERTY, BEDROOM = "property_type", "bhk_br"
 
 @dataclass(frozen=True)
 class Level:
-    """A key column to report by, with its rules. ``attributes`` are (output, input) descriptive columns."""
+    """What to report by, with its rules. ``attributes`` are (output, input) descriptive columns.
+
+    ``key`` is one numeric column, or a tuple of any columns. The latter must be numbered first, see ``keys``.
+    """
 
     name: str
-    key: str
+    key: str | tuple[str, ...]
     mean_bins: bool  # bins around the segment's mean; otherwise fixed by city
     manual_only: bool
     prevailing_percentile: float
     prevailing_band: float
     attributes: tuple[tuple[str, str], ...] = ()
 
+    @property
+    def composite(self) -> bool:
+        return not isinstance(self.key, str)
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return tuple(self.key) if self.composite else (self.key,)
+
+    @property
+    def number(self) -> str:
+        """The column with the key's number."""
+        return f"_number_{self.name}" if self.composite else self.key
+
+    def key_id(self) -> Column:
+        return F.col(self.number).cast("bigint")
+
     def rows(self, sale_only: bool = True) -> Column:
         """Rows of the level's base population."""
-        rows = F.col(self.key).isNotNull()
+        rows = F.col(self.number).isNotNull()
         if sale_only:
             rows = rows & (F.col("property_category") == "Sale")
         if self.manual_only:
@@ -57,31 +76,30 @@ LEVELS = (PROJECT, LOCATION, CITY)
 AREA_LEVELS = (LOCATION, CITY)
 
 
+def with_targets(df: DataFrame, levels: Iterable[Level], sale_only: bool = True) -> DataFrame:
+    """Rows that count for one of the levels, with ``_targets``: level and key_id of each they count for.
+
+    What is the same at all levels is best aggregated by this column first, before ``by_target``.
+    """
+    if sale_only:
+        df = df.filter(F.col("property_category") == "Sale")
+    targets = [F.when(x.rows(sale_only), F.struct(F.lit(x.name).alias("level"), x.key_id().alias("key_id"))) for x in levels]
+    return df.withColumn("_targets", F.array_compact(F.array(*targets))).filter(F.size("_targets") > 0)
+
+
+def by_target(df: DataFrame) -> DataFrame:
+    """One row for each of a row's ``_targets``, with ``level`` and ``key_id``."""
+    df = df.withColumn("_target", F.explode("_targets")).drop("_targets")
+    return df.withColumns({"level": F.col("_target.level"), "key_id": F.col("_target.key_id")}).drop("_target")
+
+
 def by_level(df: DataFrame, levels: Iterable[Level] = LEVELS, sale_only: bool = True) -> DataFrame:
     """One row per transaction and level it counts for, with ``level`` and ``key_id``."""
     levels = list(levels)
-    if sale_only:
-        df = df.filter(F.col("property_category") == "Sale")
     if len(levels) == 1:
         (one,) = levels
-        return df.filter(one.rows(sale_only)).withColumns(
-            {"level": F.lit(one.name), "key_id": F.col(one.key).cast("bigint")}
-        )
-    targets = F.array(
-        *[
-            F.when(
-                level.rows(sale_only),
-                F.struct(F.lit(level.name).alias("level"), F.col(level.key).cast("bigint").alias("key_id")),
-            )
-            for level in levels
-        ]
-    )
-    return (
-        df.withColumn("_target", F.explode(targets))
-        .filter(F.col("_target").isNotNull())
-        .withColumns({"level": F.col("_target.level"), "key_id": F.col("_target.key_id")})
-        .drop("_target")
-    )
+        return df.filter(one.rows(sale_only)).withColumns({"level": F.lit(one.name), "key_id": one.key_id()})
+    return by_target(with_targets(df, levels, sale_only))
 
 
 def by_grain(df: DataFrame, grains: Iterable[str] = GRAINS) -> DataFrame:

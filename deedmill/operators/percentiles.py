@@ -161,7 +161,7 @@ def counted_rates(df: DataFrame, levels: Iterable[Level] = LEVELS, names: Iterab
     columns = list(dict.fromkeys(DISTRIBUTIONS[n][1] for n in names))
     by_floor = any(DISTRIBUTIONS[n][2] for n in names)
     target = [
-        F.when(x.rows(), F.struct(F.lit(i).alias("_level"), F.col(x.key).cast("bigint").alias("key_id"))) for i, x in enumerate(levels)
+        F.when(x.rows(), F.struct(F.lit(i).alias("_level"), x.key_id().alias("key_id"))) for i, x in enumerate(levels)
     ]
     rows = df.filter((F.col("property_category") == "Sale") & masks()["valid_rate"]).select(
         "city", "year", "quarter", *kinds, F.array_compact(F.array(*target)).alias("_targets"),

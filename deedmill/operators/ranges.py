@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deedmill.config import DEFAULTS, Settings
-from deedmill.functions import bins
+from deedmill.functions import bins, exact
 from deedmill.functions.values import round2
 from deedmill.operators.levels import (
     BEDROOM,
@@ -24,24 +24,28 @@ from deedmill.operators.levels import (
     SEGMENT_KEY,
     Level,
     by_grain,
-    by_level,
     by_segment,
+    by_target,
     masks,
+    with_targets,
 )
 from deedmill.operators.prepare import with_city_params
 
 BLOCKS = ("area", "price", "rate", "age")
-_SUMS = ["n", "n_priced", "price", "price_priced", "carpet", "carpet_priced", "rate"]
+_COUNTS, _AMOUNTS = ["n", "n_priced"], ["price", "price_priced", "carpet", "carpet_priced", "rate"]
+_SUMS = [*_COUNTS, *[name for amount in _AMOUNTS for name in exact.names(amount)]]
 
 
-def _cells(block: str, settings: Settings, mean_level: Column | None) -> Column:
-    """Array of (block, cell) entries of one row; null entries are no members."""
+def _cells(block: str, settings: Settings, centred: bool, fixed: bool) -> Column:
+    """Array of (block, cell, bucket) entries of one row; null entries are no members.
+
+    Levels with bins around the mean go on with the cell, the others with the number of the fixed bucket.
+    """
     price, carpet, rate = F.col("agreement_price"), F.col("carpet_sqft"), F.col("rate_on_net_ca")
-    named = masks()
+    named, none = masks(), F.lit(None).cast("bigint")
     if block == "age":
-        return F.transform(
-            "age", lambda a: F.struct(F.lit("age").alias("block"), bins.age_bucket(a, settings).cast("bigint").alias("cell"))
-        )
+        number = lambda a: bins.age_bucket(a, settings).cast("bigint")
+        return F.transform("age", lambda a: F.struct(F.lit("age").alias("block"), number(a).alias("cell"), number(a).alias("bucket")))
     if block == "area":
         member = named["valid_area"] & named["valid_carpet"]
         cell = bins.plain_cell(carpet, bins.area_cell(settings))
@@ -56,9 +60,10 @@ def _cells(block: str, settings: Settings, mean_level: Column | None) -> Column:
         bucket = partial(bins.fixed_rate, rate, F.col("min_rate"), F.col("max_rate"), settings.rate_step)
     else:
         raise ValueError(f"unknown block '{block}'")
-    number = (cell if mean_level is None else F.when(mean_level, cell).otherwise(bucket())).cast("bigint")
-    entry = F.struct(F.lit(block).alias("block"), number.alias("cell"))
-    return F.array(F.when(member & number.isNotNull(), entry))
+    cell = cell.cast("bigint") if centred else none
+    number = bucket().cast("bigint") if fixed else none
+    entry = F.struct(F.lit(block).alias("block"), cell.alias("cell"), number.alias("bucket"))
+    return F.array(F.when(member & F.coalesce(cell, number).isNotNull(), entry))
 
 
 def range_cells(
@@ -73,29 +78,33 @@ def range_cells(
     Levels with bins around the mean get cells, the others final bucket numbers.
     """
     blocks, levels, kinds = list(blocks), list(levels), list(kinds)
-    by_mean = None
-    if not all(level.mean_bins for level in levels):
-        by_mean = F.col("level").isin([level.name for level in levels if level.mean_bins])
+    centred = [level.name for level in levels if level.mean_bins]
+    fixed = len(centred) < len(levels)
     price, carpet = F.col("agreement_price"), F.col("carpet_sqft")
     priced = masks()["valid_price"]
-    entries = F.concat(*[_cells(b, settings, by_mean) for b in blocks])
-    if by_mean is not None and blocks != ["age"]:
+    entries = F.concat(*[_cells(b, settings, bool(centred), fixed) for b in blocks])
+    if fixed and blocks != ["age"]:
         df = with_city_params(df, settings)
-    fine = (
-        by_level(df, levels)
+    place = ["city", "year", "quarter", *kinds]
+    # Counted once for all levels; the far fewer counts are spread over them and added up again.
+    once = (
+        with_targets(df, levels)
         .withColumn("_e", F.explode(entries))
         .filter(F.col("_e").isNotNull())
-        .groupBy(*LEVEL_KEY, "year", "quarter", *kinds, F.col("_e.block").alias("block"), F.col("_e.cell").alias("cell"))
+        .groupBy(*place, "_targets", F.col("_e.block").alias("block"), F.col("_e.cell").alias("cell"), F.col("_e.bucket").alias("bucket"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(priced).alias("n_priced"),
-            F.sum(price).alias("price"),
-            F.sum(F.when(priced, price)).alias("price_priced"),
-            F.sum(carpet).alias("carpet"),
-            F.sum(F.when(priced, carpet)).alias("carpet_priced"),
-            F.sum("rate_on_net_ca").alias("rate"),
+            *exact.sums("price", price),
+            *exact.sums("price_priced", F.when(priced, price)),
+            *exact.sums("carpet", carpet),
+            *exact.sums("carpet_priced", F.when(priced, carpet)),
+            *exact.sums("rate", F.col("rate_on_net_ca")),
         )
     )
+    cell = F.when(F.col("level").isin(centred), F.col("cell")).otherwise(F.col("bucket"))
+    fine = by_target(once).withColumn("cell", cell).filter("cell IS NOT NULL")
+    fine = fine.groupBy(*LEVEL_KEY, "year", "quarter", *kinds, "block", "cell").agg(*[F.sum(c).alias(c) for c in _SUMS])
     return (
         by_grain(by_segment(fine, kinds))
         .groupBy(*SEGMENT_KEY, "block", "cell")
@@ -126,11 +135,13 @@ def range_table(
 
     def entry(priced: bool) -> Column:
         suffix = "_priced" if priced else ""
-        values = {c: F.col(c + suffix) for c in ("n", "price", "carpet")}
+        values = {"n": F.col(f"n{suffix}")}
+        for c in ("price", "carpet"):
+            values |= {to: F.col(name) for to, name in zip(exact.names(c), exact.names(c + suffix), strict=True)}
         if centred:
-            total = F.when(F.col("block") == "rate", F.col("sum_rate")).otherwise(F.col(f"sum_price{suffix}"))
-            total = F.when(F.col("block") == "area", F.col(f"sum_carpet{suffix}")).otherwise(total)
-            values["mean"] = total / F.nullif(F.col(f"sum_n{suffix}"), F.lit(0))
+            n = f"sum_n{suffix}"
+            mean = F.when(F.col("block") == "rate", exact.mean("sum_rate", n)).otherwise(exact.mean(f"sum_price{suffix}", n))
+            values["mean"] = F.when(F.col("block") == "area", exact.mean(f"sum_carpet{suffix}", n)).otherwise(mean)
         return F.struct(F.lit(priced).alias("priced"), *[v.alias(c) for c, v in values.items()])
 
     entries = [entry(False)]
@@ -143,13 +154,12 @@ def range_table(
         .select(*SEGMENT_KEY, "block", "cell", *bounds, "e.*")
     )
     rows = _with_numbers(rows, blocks, centred, fixed, settings)
-    zero = F.lit(0.0)
     numbers = ["_number", "_low", "_high", "_start", "_step"]
     table = rows.groupBy(*SEGMENT_KEY, "block", "priced", *numbers).agg(
-        F.sum("n").alias("unit_sold"),
-        F.coalesce(F.sum("price"), zero).alias("total_sales"),
-        F.coalesce(F.sum("carpet"), zero).alias("ca_consumed_sqft"),
+        F.sum("n").alias("unit_sold"), *exact.merged("price"), *exact.merged("carpet")
     )
+    none = F.lit(0).cast("decimal(38,9)")
+    table = table.withColumns({"total_sales": F.coalesce(exact.total("price"), none), "ca_consumed_sqft": F.coalesce(exact.total("carpet"), none)})
     # Texts are made from the few rows that are left, and apart from the numbers' long expressions.
     parts = [F.col(c) for c in numbers]
     plain, money = bins.label(*parts), bins.price_range_label(*parts)
@@ -216,6 +226,15 @@ def kept(c: Column) -> Column:
     return F.nullif(round2(c), F.lit(0.0))
 
 
+def money(total: str) -> Column:
+    """An exact total with two decimals."""
+    return F.bround(total, 2).cast("double")
+
+
+def kept_total(total: str) -> Column:
+    return F.nullif(money(total), F.lit(0.0))
+
+
 # Area metric -> rows with a positive price only?
 AREA_METRICS = {"count": False, "carpet": False, "sales": True, "avg_sales": True}
 
@@ -231,21 +250,21 @@ def area_metric(table: DataFrame, metric: str) -> DataFrame:
 def area_value(metric: str) -> Column:
     return {
         "count": F.col("unit_sold").cast("double"),
-        "carpet": kept(F.col("ca_consumed_sqft")),
-        "sales": kept(F.col("total_sales")),
-        "avg_sales": kept(F.col("total_sales") / F.col("unit_sold")),
+        "carpet": kept_total("ca_consumed_sqft"),
+        "sales": kept_total("total_sales"),
+        "avg_sales": kept(F.col("total_sales").cast("double") / F.col("unit_sold")),
     }[metric]
 
 
 def price_ranges(table: DataFrame) -> DataFrame:
     """Units, sales and carpet per price bucket; zero amounts stay."""
-    amounts = [round2(F.col(c)).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
+    amounts = [money(c).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
     return table.filter(F.col("block") == "price").select(*SEGMENT_KEY, "bucket", "unit_sold", *amounts)
 
 
 def rate_ranges(table: DataFrame) -> DataFrame:
     """Units, sales and carpet per rate bucket; zero amounts are null."""
-    amounts = [kept(F.col(c)).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
+    amounts = [kept_total(c).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
     return table.filter(F.col("block") == "rate").select(*SEGMENT_KEY, "bucket", "unit_sold", *amounts)
 
 
@@ -255,6 +274,6 @@ def age_ranges(table: DataFrame) -> DataFrame:
         *SEGMENT_KEY,
         "bucket",
         "unit_sold",
-        kept(F.col("total_sales")).alias("total_agreement_price"),
-        kept(F.col("ca_consumed_sqft")).alias("ca_consumed_sqft"),
+        kept_total("total_sales").alias("total_agreement_price"),
+        kept_total("ca_consumed_sqft").alias("ca_consumed_sqft"),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedmill.config import NON_BHK_LABELS
+from deedmill.functions import exact
 from deedmill.functions.values import round2
 from deedmill.operators.levels import (
     AREA_LEVELS,
@@ -64,8 +65,8 @@ def base_totals(df: DataFrame, level: Level | Iterable[Level]) -> DataFrame:
         by_level(df, levels)
         .groupBy(*FINE_KEY)
         .agg(
-            F.sum("agreement_price").alias("sales"),
-            F.sum("carpet_sqft").alias("carpet"),
+            *exact.sums("sales", F.col("agreement_price")),
+            *exact.sums("carpet", F.col("carpet_sqft")),
             F.count("document_no").alias("documents"),
             F.max("floor_no").alias("floor"),
             F.max("transaction_date").alias("latest"),
@@ -78,8 +79,8 @@ def base_totals(df: DataFrame, level: Level | Iterable[Level]) -> DataFrame:
         by_grain(fine)
         .groupBy(*PERIOD_KEY)
         .agg(
-            F.sum("sales").alias("sales"),
-            F.sum("carpet").alias("carpet"),
+            *exact.merged("sales"),
+            *exact.merged("carpet"),
             F.sum("documents").alias("documents"),
             F.max("floor").alias("floor"),
             F.max("latest").alias("latest"),
@@ -92,8 +93,8 @@ def base_totals(df: DataFrame, level: Level | Iterable[Level]) -> DataFrame:
     return rolled.select(
         *PERIOD_KEY,
         *[F.col(f"_{name}.value").alias(name) for name in attributes],
-        round2(F.coalesce("sales", zero)).alias("total_sales"),
-        round2(F.coalesce("carpet", zero)).alias("total_ca_consumed_sqft_igr"),
+        F.coalesce(exact.rounded("sales"), zero).alias("total_sales"),
+        F.coalesce(exact.rounded("carpet"), zero).alias("total_ca_consumed_sqft_igr"),
         F.col("documents").alias("total_transactions"),
         F.col("floor").alias("max_floor"),
         F.col("latest").alias("recent_transaction_date"),
@@ -115,40 +116,36 @@ def segment_totals(df: DataFrame, levels: Iterable[Level] = LEVELS, kinds: Itera
         .groupBy(*FINE_KEY, *kinds)
         .agg(
             F.count("document_no").alias("documents"),
-            F.sum(price).alias("price"),
-            F.sum(F.when(named["valid_price"], price)).alias("price_pos"),
+            *exact.sums("price", price),
+            *exact.sums("price_pos", F.when(named["valid_price"], price)),
             F.count_if(named["valid_price"]).alias("n_price_pos"),
-            F.sum(carpet).alias("carpet"),
+            *exact.sums("carpet", carpet),
             F.count(carpet).alias("n_carpet"),
-            F.sum(F.when(carpet > 0, carpet)).alias("carpet_pos"),
+            *exact.sums("carpet_pos", F.when(carpet > 0, carpet)),
             F.count_if(carpet > 0).alias("n_carpet_pos"),
         )
     )
-    sums = ["documents", "price", "price_pos", "n_price_pos", "carpet", "n_carpet", "carpet_pos", "n_carpet_pos"]
+    counts, amounts = ["documents", "n_price_pos", "n_carpet", "n_carpet_pos"], ["price", "price_pos", "carpet", "carpet_pos"]
     rolled = (
         by_grain(by_segment(fine, kinds, all_labels=True))
         .groupBy(*SEGMENT_KEY)
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        .agg(*[F.sum(c).alias(c) for c in counts], *[m for a in amounts for m in exact.merged(a)])
     )
     bedroom = F.col("kind") == BEDROOM
     counted = ~bedroom | ~F.col("segment").isin(NON_BHK_LABELS)
     every_row = F.col("level").isin([x.name for x in levels if x.manual_only])
-    mean_carpet = F.when(every_row, _mean("carpet", "n_carpet")).when(counted, _mean("carpet_pos", "n_carpet_pos"))
+    mean_carpet = F.when(every_row, exact.mean("carpet", "n_carpet")).when(counted, exact.mean("carpet_pos", "n_carpet_pos"))
     zero = F.lit(0.0)
     return rolled.select(
         *SEGMENT_KEY,
         F.when(counted, F.col("documents")).alias("sold_igr"),
-        F.when(counted, round2(F.coalesce("price", zero))).alias("total_agreement_price"),
-        F.when(counted, round2(_mean("price_pos", "n_price_pos"))).alias("avg_agreement_price"),
-        F.when(counted, round2(F.coalesce("carpet", zero))).alias("ca_consumed_sqft_igr"),
+        F.when(counted, F.coalesce(exact.rounded("price"), zero)).alias("total_agreement_price"),
+        F.when(counted, round2(exact.mean("price_pos", "n_price_pos"))).alias("avg_agreement_price"),
+        F.when(counted, F.coalesce(exact.rounded("carpet"), zero)).alias("ca_consumed_sqft_igr"),
         F.when(bedroom, round2(mean_carpet)).alias("avg_carpet_area_in_sqft"),
     )
 
 
-def _mean(total: str, n: str) -> Column:
-    return F.col(total) / F.nullif(F.col(n), F.lit(0))
-
-
 # Counted label -> (column, rows)
 LABEL_COUNTS = {"transactions_sale": "property_type_raw", "transactions": "property_category"}
 

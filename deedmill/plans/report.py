@@ -22,8 +22,9 @@ from deedmill.config import BEDROOM_METRICS, DEFAULTS, NON_BHK_LABELS, Settings
 from deedmill.operators.buyers import pincode_stats
 from deedmill.operators.levels import BEDROOM, GRAINS, LEVELS, PERIOD_KEY, PROPERTY, Level
 from deedmill.functions.values import round2
+from deedmill.operators.keys import number_keys, with_key_columns
 from deedmill.operators.percentiles import Keep, floor_label, rate_percentiles, with_prevailing
-from deedmill.operators.ranges import area_value, kept, range_cells, range_table
+from deedmill.operators.ranges import area_value, kept, kept_total, money, range_cells, range_table
 from deedmill.operators.totals import base_totals, development_agreements, label_counts, segment_totals
 from deedmill.plans.jobs import side_by_side
 from deedmill.sources.sinks import save_report
@@ -124,7 +125,7 @@ def _ranges_part(df: DataFrame, levels: list[Level], settings: Settings, keep: K
     """One pass counts the cells of all blocks; each block then has its own short plan."""
     cells = keep(range_cells(df, levels=levels, settings=settings), "ranges")
     always, priced = F.lit(True), F.col("priced")
-    n, sales, carpet = F.col("unit_sold"), F.col("total_sales"), F.col("ca_consumed_sqft")
+    n, sales, carpet = F.col("unit_sold"), "total_sales", "ca_consumed_sqft"
     entries = {
         "area": [
             (~priced, "total_unit_sold_in_area_range", area_value("count")),
@@ -134,19 +135,19 @@ def _ranges_part(df: DataFrame, levels: list[Level], settings: Settings, keep: K
         ],
         "price": [
             (always, "agreement_price_range_unit_sold", n),
-            (always, "agreement_price_range_total_sales", round2(sales)),
-            (always, "agreement_price_range_ca_consumed_sqft", round2(carpet)),
+            (always, "agreement_price_range_total_sales", money(sales)),
+            (always, "agreement_price_range_ca_consumed_sqft", money(carpet)),
         ],
         "rate": [
             (always, "rate_range_unit_sold", n),
-            (always, "rate_range_total_sales", kept(sales)),
-            (always, "rate_range_ca_consumed_sqft", kept(carpet)),
+            (always, "rate_range_total_sales", kept_total(sales)),
+            (always, "rate_range_ca_consumed_sqft", kept_total(carpet)),
             (F.col("kind") == PROPERTY, "total_unit_sold_in_rate_range", n),
         ],
         "age": [
             (always, "age_range_unit_sold", n),
-            (always, "age_range_total_agreement_price", kept(sales)),
-            (always, "age_range_ca_consumed_sqft", kept(carpet)),
+            (always, "age_range_total_agreement_price", kept_total(sales)),
+            (always, "age_range_ca_consumed_sqft", kept_total(carpet)),
         ],
     }
     parts = [_unpivot(range_table(cells, levels, settings, [b]), e, F.col("bucket")) for b, e in entries.items()]
@@ -293,12 +294,13 @@ class Shape:
 
     def base(self) -> dict[str, Column]:
         """Columns that come from the totals; zeros are blank."""
-        fields = {"Type": F.col("grain"), "Period": F.col("grain"), self.level.key: F.col("key_id")}
+        fields = {"Type": F.col("grain"), "Period": F.col("grain")}
+        fields |= {c: F.col(c) for c in self.level.columns} if self.level.composite else {self.level.key: F.col("key_id")}
         for grain, name, kind in (("YoY", "year", "int"), ("QoQ", "quarter", "string")):
             if grain in self.grains:
                 fields[name] = F.when(F.col("grain") == grain, F.col("period")).cast(kind)
         fields["city"] = F.col("city")
-        fields |= {c: F.col(c) for c, _ in self.level.attributes}
+        fields |= {c: F.col(c) for c, _ in self.level.attributes if c not in fields}
         fields |= {c: F.nullif(F.col(c), F.lit(0.0)) for c in ("total_sales", "total_ca_consumed_sqft_igr")}
         fields |= {"total_transactions": F.nullif("total_transactions", F.lit(0)), "max_floor": F.nullif("max_floor", F.lit(0.0))}
         fields |= {c: F.col(c) for c in ("recent_transaction_date", "project_type")}
@@ -307,7 +309,7 @@ class Shape:
         return {name: column.alias(name) for name, column in fields.items()}
 
 
-def widen(base: DataFrame, cells: DataFrame, shape: Shape) -> DataFrame:
+def widen(base: DataFrame, cells: DataFrame, shape: Shape, numbered: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per key and period of a level, its grains one after the other, in order of city, key and period.
 
     Rows are put in order while they hold no more than their cells; a row builder then lays the cells out, so that
@@ -318,10 +320,12 @@ def widen(base: DataFrame, cells: DataFrame, shape: Shape) -> DataFrame:
     # As many cells as the report has columns.
     own = own.groupBy(*PERIOD_KEY).agg(F.collect_list(F.struct("name", "cell")).alias("_cells"))
     fixed = shape.base()
+    if level.composite:
+        base = with_key_columns(base.drop(*level.columns), level, numbered or {})
     rows = base.filter(mine & F.col("grain").isin(list(shape.grains))).join(own, PERIOD_KEY, "left")
     turn = F.array_position(F.lit(list(shape.grains)), F.col("Type"))
     periods = [c for grain in shape.grains for c in PERIOD_COLUMN[grain]]
-    rows = rows.select(*fixed.values(), "_cells").orderBy(turn, "city", level.key, *periods)
+    rows = rows.select(*fixed.values(), "_cells").orderBy(turn, "city", *level.columns, *periods)
 
     found, plain = shape.cells(), list(fixed)
     order = bedroom_order([*plain, *[name for name, _ in found.values()]])
@@ -352,8 +356,8 @@ def _number(text: pa.Array, kind: pa.DataType) -> pa.Array:
 
 def report_rows(df: DataFrame, levels: Iterable[Level]) -> DataFrame:
     """The columns that reports need, of rows that have a key of one of the levels."""
-    keyed = reduce(or_, [F.col(x.key).isNotNull() for x in levels])
-    named = {*COLUMNS, *[x.key for x in levels], *[c for x in levels for _, c in x.attributes]}
+    keyed = reduce(or_, [F.col(x.number).isNotNull() for x in levels])
+    named = {*COLUMNS, *[x.number for x in levels], *[c for x in levels for _, c in x.attributes]}
     return df.filter(keyed).select(*[c for c in df.columns if c in named])
 
 
@@ -364,9 +368,10 @@ def wide_report(df: DataFrame, level: Level, grain: str, settings: Settings = DE
     The report is lazy, so its staged files stay.
     """
     stages = Stages(df.sparkSession)
+    df, numbered = number_keys(df, [level], stages.stage)
     rows = stages.stage(report_rows(df, [level]), "rows")
     cells = stages.stage(report_cells(rows, level, settings, [grain], stages.stage), "cells")
-    return widen(report_base(rows, level), cells, Shape.of(level, [grain], segment_labels(cells)))
+    return widen(report_base(rows, level), cells, Shape.of(level, [grain], segment_labels(cells)), numbered)
 
 
 PERIOD_COLUMN = {"Overall": [], "YoY": ["year"], "QoQ": ["quarter"]}
@@ -406,7 +411,7 @@ def run_reports(
 
     def write(level: Level, base: DataFrame, cells: DataFrame) -> str:
         shape = Shape.of(level, grains, segment_labels(cells.filter(F.col("level") == level.name)))
-        save_report(widen(base, cells, shape), f"{path}/{level.name}", fmt)
+        save_report(widen(base, cells, shape, numbered), f"{path}/{level.name}", fmt)
         return f"{path}/{level.name}"
 
     def counted(rows: DataFrame, some: list[Level], name: str) -> tuple[DataFrame, DataFrame]:
@@ -415,6 +420,7 @@ def run_reports(
         return keep(report_base(rows, some), "base"), cells
 
     try:
+        df, numbered = number_keys(df, levels, stages.stage)
         rows = stages.stage(report_rows(df, levels), "rows")
         try:
             base, cells = counted(rows, levels, "all")
