@@ -152,17 +152,18 @@ def test_one_failing_level_leaves_the_others(spark, tmp_path):
 
 def test_jobs_fail_and_stop_alone(spark):
     def slow():
-        return spark.range(4).repartition(4).mapInArrow(_sleeping, "id long").count()
+        return spark.range(4).repartition(4).mapInArrow(sleeping, "id long").count()
 
+    def sleeping(batches):
+        time.sleep(60)
+        yield from batches
+
+    start = time.monotonic()
     done, failed = side_by_side(spark, {"quick": lambda: spark.range(3).count(), "bad": lambda: 1 // 0, "slow": slow}, timeout=8)
     assert done == {"quick": 3} and set(failed) == {"bad", "slow"}
-    assert isinstance(failed["bad"], ZeroDivisionError)
-    assert spark.range(5).count() == 5 and not spark.getTags()
-
-
-def _sleeping(batches):
-    time.sleep(60)
-    yield from batches
+    assert isinstance(failed["bad"], ZeroDivisionError) and "cancel" in str(failed["slow"]).lower()
+    assert 8 <= time.monotonic() - start < 40
+    assert spark.range(5).count() == 5 and not spark.sparkContext.getJobTags()
 
 
 def test_reports_of_all_levels_at_once_equal_single_ones(spark, tmp_path):
