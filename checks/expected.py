@@ -7,7 +7,7 @@ staged percentiles.
 from __future__ import annotations
 
 from deedmill.config import (
-    AGE_PATTERN, BEDROOM_METRICS, COMMERCIAL_TYPES, DEFAULTS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS, RESIDENTIAL_TYPES,
+    AGE_PATTERN, BEDROOM_METRICS, COMMERCIAL_TYPES, DEFAULTS, EXPECTED_COLUMNS, FLOOR_NUMBERS, NON_BHK_LABELS, PARAM_COLUMNS, RESIDENTIAL_TYPES,
 )
 from deedmill.sources import star
 
@@ -668,6 +668,15 @@ QUALIFY rank <= 10"""
     out["report_custom_level"] = f"{_long_parts('micro')} SELECT {SK}, metric, bucket, value, text FROM l"
     for key, levels, names in (("range_specs", "'city', 'project'", list(SPECS)[:3]), ("range_specs_mixed", "'city', 'location'", list(SPECS)[3:])):
         out[key] = "WITH" + _prepared() + _grains("sales", "g") + "," + _segments() + " UNION ALL ".join(_spec(n, levels) for n in names)
+    absent = ", ".join(f"count(*) FILTER ({c} IS NULL) AS missing_{c}" for c in EXPECTED_COLUMNS)
+    out["load_audit"] = f"""SELECT count(*) AS rows, count(*) FILTER (floor_no = '7') AS unknown_floors,
+  count(*) FILTER (property_type_raw IN ('Row_House', 'Shop')) AS unmapped_types,
+  count(*) FILTER (property_category = 'Sale' AND TRY_CAST(agreement_price AS DOUBLE) IS NULL) AS unpriced_sales, {absent}
+FROM ({star.transactions_sql()})"""
+    out["stacked_loads"] = f"""SELECT document_no, city_id, city, "index", CAST(CASE WHEN city = 'Thane' THEN CAST(net_carpet_area_sqmt AS INTEGER)
+  ELSE net_carpet_area_sqmt END AS DOUBLE) AS net_carpet_area_sqmt, TRY_CAST(agreement_price AS DOUBLE) AS agreement_price, CASE WHEN city <> 'Thane' THEN CAST("year" AS BIGINT) END AS "year"
+FROM ({star.transactions_sql(['document_no', 'city_id', 'city', 'index', 'net_carpet_area_sqmt', 'agreement_price', 'year'])})
+WHERE city IN ('Pune', 'Thane', 'Dubai')"""
     out["whole_group_fn"] = "WITH" + _prepared() + """
 ordered AS (
   SELECT city, key_id, property_type, agreement_price AS price, row_number() OVER w AS i, lag(agreement_price) OVER w AS last

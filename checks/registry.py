@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deedmill.config import DEFAULTS, PARAM_COLUMNS
@@ -15,7 +15,7 @@ from deedmill.functions.values import buyer_ages, price_label, round2, to_number
 from deedmill.operators import buyers, callbacks, fuzzy, keys, levels, percentiles, prepare, ranges, specs, totals
 from deedmill.operators.levels import BEDROOM, CITY, LEVELS, LOCATION, PERIOD_KEY, PROJECT, PROPERTY, SEGMENT_KEY
 from deedmill.plans import report
-from deedmill.sources import labels, star
+from deedmill.sources import labels, reconcile, star
 from deedmill.sources import transactions as source
 from deedmill.sources.staging import Stages, shared_folder
 
@@ -91,6 +91,30 @@ def _sheet(spark: SparkSession, d: str, key: str, key_sql: str, value: str, valu
     )
 
 
+@query
+def stacked_loads(spark, d):
+    """Loads of three cities whose schemas differ: a widened number, a clash of types, a missing column, other cases."""
+    table = raw(spark, d, "document_no", "city_id", "city", "index", "net_carpet_area_sqmt", "agreement_price", "year")
+    pune = table.filter("city = 'Pune'").withColumn("agreement_price", F.col("agreement_price").try_cast("double")).withColumnRenamed("year", "YEAR")
+    thane = table.filter("city = 'Thane'").withColumn("net_carpet_area_sqmt", F.col("net_carpet_area_sqmt").cast("int")).drop("year")
+    dubai = table.filter("city = 'Dubai'").withColumns({"index": F.col("index").cast("int"), "year": F.col("year").cast("bigint")})
+    stacked, _ = reconcile.reconcile({"pune": pune, "thane": thane, "dubai": dubai})
+    # The clash made texts of the prices, in two notations.
+    return stacked.withColumn("agreement_price", to_number(F.col("agreement_price")))
+
+
+@query
+def load_audit(spark, d):
+    """What a load's own pass counted: rows, missing values, unmapped types and unknown floors, with a short label sheet."""
+    sheet = property_labels(spark).filter("property_type_raw NOT IN ('Row_House', 'Shop')")
+    audit = Observation("load")
+    # A floor that no list knows.
+    rows = raw(spark, d).withColumn("floor_no", F.when(F.col("floor_no") == "7", "attic").otherwise(F.col("floor_no")))
+    prepare.prepare(rows, bhk_labels(spark), sheet, audit=audit).write.format("noop").mode("overwrite").save()
+    counts = audit.get
+    return local_table(spark, {name: [n] for name, n in counts.items()}, dict.fromkeys(counts, pa.int64()))
+
+
 @query
 def bhk_lookup(spark, d):
     sheet = _sheet(spark, d, "BHK", star.RAW_BHK, "standard_label", "concat(' ', CAST(p_size % 6 AS STRING), 'br ')")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deedmill.config import (
     COMMERCIAL_TYPES,
     DEFAULTS,
+    EXPECTED_COLUMNS,
     PARAM_COLUMNS,
     RESIDENTIAL_TYPES,
     SQFT_PER_SQM,
@@ -49,15 +50,22 @@ def with_missing(df: DataFrame) -> DataFrame:
     return df.withColumns({c: no_nan(F.col(c).cast("double")) for c in doubles})
 
 
-def with_floors(df: DataFrame) -> DataFrame:
-    """``floor_no`` as a number; a name that is in no list and no number fails the job."""
+# Flags of rows that an audit counts instead of failing the job.
+UNKNOWN_FLOOR, UNMAPPED_TYPE = "_unknown_floor", "_unmapped_type"
+
+
+def with_floors(df: DataFrame, audited: bool = False) -> DataFrame:
+    """``floor_no`` as a number; a name that is in no list and no number fails the job, or is null and flagged if audited."""
     raw = F.col("floor_no").cast("string")
     number = to_number(raw)
     unknown = raw.isNotNull() & number.isNull() & (F.lower(strip(raw)) != "nan")
     floors = floor_table(df.sparkSession).withColumn("known", F.lit(True))
+    joined = df.join(floors, raw == F.col("floor_name"), "left")
+    if audited:
+        joined = joined.withColumn(UNKNOWN_FLOOR, F.col("known").isNull() & F.coalesce(unknown, F.lit(False)))
+        unknown = F.lit(False)
     return (
-        df.join(floors, raw == F.col("floor_name"), "left")
-        .withColumn(
+        joined.withColumn(
             "floor_no",
             F.when(F.col("known"), F.col("floor_number"))
             .when(unknown, F.raise_error(F.concat(F.lit("unknown floor: "), raw)).cast("double"))
@@ -145,12 +153,15 @@ def _type_key(c: Column) -> Column:
     return F.when(key.isNull() | key.isin("", "nan", "none"), "others").otherwise(key)
 
 
-def map_property_types(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """``property_type_raw`` as its standard label; a label without one fails the job."""
+def map_property_types(df: DataFrame, labels: DataFrame, audited: bool = False) -> DataFrame:
+    """``property_type_raw`` as its standard label; a label without one fails the job, or is null and flagged if audited."""
     lookup = _lookup(labels, "property_type_raw", "property_type_refined").withColumn("_known", F.lit(True))
     key = _type_key(F.col("property_type_raw"))
     error = F.raise_error(F.concat(F.lit("unmapped property type: "), title(key))).cast("string")
     joined = df.join(lookup, key == F.col("_key"), "left")
+    if audited:
+        joined = joined.withColumn(UNMAPPED_TYPE, F.col("_known").isNull())
+        error = F.lit(None).cast("string")
     return joined.withColumn(
         "property_type_raw", F.when(F.col("_known"), F.col("_label")).otherwise(error)
     ).drop("_key", "_label", "_known")
@@ -170,33 +181,57 @@ def check_property_types(df: DataFrame, labels: DataFrame) -> None:
         raise ValueError(f"unmapped property types: {names}")
 
 
+AUDITED = ("rows", "unknown_floors", "unmapped_types", "unpriced_sales")
+
+
+def _observed(df: DataFrame, audit: Observation) -> DataFrame:
+    """Counts AUDITED, and missing_<column> for each expected column (all rows where the column is absent)."""
+    rows = F.count(F.lit(1))
+    flag = lambda name: F.count_if(name) if name in df.columns else F.lit(0).cast("bigint")
+    unpriced = F.count_if((F.col("property_category") == "Sale") & F.col("agreement_price").isNull())
+    counts = [rows.alias("rows"), flag(UNKNOWN_FLOOR).alias("unknown_floors"), flag(UNMAPPED_TYPE).alias("unmapped_types"), unpriced.alias("unpriced_sales")]
+    for column in EXPECTED_COLUMNS:
+        counts.append((F.count_if(f"_no_{column}") if f"_no_{column}" in df.columns else rows).alias(f"missing_{column}"))
+    return df.observe(audit, *counts).drop(UNKNOWN_FLOOR, UNMAPPED_TYPE, *[f"_no_{c}" for c in EXPECTED_COLUMNS])
+
+
 def prepare(
     df: DataFrame,
     bhk_labels: DataFrame,
     property_labels: DataFrame,
     settings: Settings = DEFAULTS,
     columns: Iterable[str] | None = None,
+    audit: Observation | None = None,
 ) -> DataFrame:
     """All steps, or those that the named columns need.
 
     Spark prunes columns, but it cannot drop a lookup join on its own, so a job that needs few
     columns names them.
+
+    With an ``audit``, unmapped property types and unknown floors are null instead of failing the job, and the
+    pass that first uses the result counts them on its way: see ``AUDITED``. No extra job reads the rows.
     """
     wanted = None if columns is None else set(columns)
 
     def needs(*names: str) -> bool:
         return wanted is None or bool(wanted & set(names))
 
-    df = with_missing(lower_names(df))
+    df = lower_names(df)
+    if audit is not None:
+        given = [c for c in EXPECTED_COLUMNS if c in df.columns]
+        df = df.withColumns({f"_no_{c}": F.col(c).isNull() for c in given})
+    df = with_missing(df)
     if needs("age"):
         df = df.withColumn("age", buyer_ages(F.col("purchaser_name")))
     if needs("floor_no"):
-        df = with_floors(df)
+        df = with_floors(df, audit is not None)
     df = with_measures(with_city_params(df, settings), settings)
     if needs("project_type"):
         df = with_project_type(df)
     if needs("bhk_br"):
         df = map_bedrooms(df, bhk_labels)
     if needs("property_type_raw"):
-        df = map_property_types(df, property_labels)
+        df = map_property_types(df, property_labels, audit is not None)
+    if audit is not None:
+        df = _observed(df, audit)
     return df if wanted is None else df.select(*[c for c in df.columns if c in wanted])
