@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from deedmill.llm.common import map_batches
 BUCKETS, DIMENSIONS, GRAMS = 1 << 14, 16, (2, 3, 4)
 #: Bounds of the training sample: texts of each language, and of all languages together; shares in which it is chosen.
 PER_LANGUAGE, IN_ALL, SHARES = 600, 6000, 1024
+#: Leading bits of the hash by which a language's first texts are cut out before they are sorted.
+PART_BITS = 12
 #: Every so-manieth text of the sample is kept for calibration.
 CALIBRATE = 5
 EPOCHS, RATE, SEED = 8, 0.5, 7
@@ -29,7 +32,7 @@ EPOCHS, RATE, SEED = 8, 0.5, 7
 TARGET = 0.995
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _REST = re.compile(r"[\W\d_]+")
 
 
@@ -124,12 +127,19 @@ def fit(docs: DataFrame) -> Model:
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     known = known.where("lang is not null and doc_id is not null and not (crc32(cast(doc_id as string)) % 4 <=> 2)").distinct()
     hashed = F.xxhash64("doc_id", "lang")
+    known = known.withColumn("hashed", hashed).withColumn("part", F.shiftright("hashed", 64 - PART_BITS))
     # First within each of many shares of a language, so that no task gets all of its texts.
     share = F.pmod(F.xxhash64("lang", "doc_id"), F.lit(SHARES))
-    for keys in (["lang", share], ["lang"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed, "doc_id"))
-        known = known.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
-    chosen = known.orderBy("rank", hashed, "doc_id").limit(IN_ALL)
+    rank = F.row_number().over(Window.partitionBy("lang", share).orderBy("hashed", "doc_id"))
+    known = known.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
+    # Then parts of the hash's range, as many as are needed: a language has two to the PART_BITS at most.
+    parts = known.groupBy("lang", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("before", before).where(f"coalesce(before, 0) < {PER_LANGUAGE}")
+    known = known.join(parts.select("lang", "part"), ["lang", "part"], "left_semi")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hashed", "doc_id"))
+    known = known.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
+    chosen = known.orderBy("rank", "hashed", "doc_id").limit(IN_ALL)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     # The chosen side has IN_ALL rows at most.
@@ -140,14 +150,14 @@ def fit(docs: DataFrame) -> Model:
         for doc_id, lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (buckets := features(text)) is not None and len(buckets):
                 idx, counts = np.unique(buckets, return_counts=True)
-                rows.append((doc_id, lang, idx.astype("<i4").tobytes(), counts.astype("<i8").tobytes()))
+                rows.append((doc_id, lang, idx.astype("<u2").tobytes(), counts.astype("<f4").tobytes()))
         columns = [list(c) for c in zip(*rows, strict=True)] or [[], [], [], []]
         types = [pa.int64(), pa.string(), pa.binary(), pa.binary()]
         return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "lang", "idx", "counts"])
 
     bags = map_batches(texts.select("doc_id", "lang", "text"), run, "doc_id long, lang string, idx binary, counts binary")
     rows = bags.orderBy(F.xxhash64("doc_id", "lang"), "doc_id", F.xxhash64("idx", "counts")).limit(IN_ALL).collect()
-    return train([(r.lang, np.frombuffer(r.idx, "<i4"), np.frombuffer(r.counts, "<i8")) for r in rows])
+    return train([(r.lang, np.frombuffer(r.idx, "<u2"), np.frombuffer(r.counts, "<f4")) for r in rows])
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deedmill.llm.common import id_and_text, map_batches
 
@@ -219,8 +221,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return map_batches(id_and_text(docs), run, "doc_id long, ids binary, decoded string")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what encode_documents gives, hashed where it is made."""
+def digests(docs: DataFrame, path: str, *kept: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what encode_documents gives, hashed where it is made, and columns to be kept."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = pieces(path)
@@ -230,6 +232,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
             pa.array([hashlib.sha256(model.decode(x).encode()).hexdigest() for x in ids]),
         ]
-        return pa.record_batch([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return pa.record_batch([batch.column(0), *columns, *batch.columns[2:]], names)
 
-    return map_batches(id_and_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *kept]
+    schema = StructType.fromDDL("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    texts = id_and_text(docs) if not kept else docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *kept)
+    return map_batches(texts, run, StructType([*schema, *(docs.schema[c] for c in kept)]))

@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+
 from deedmill.llm import langid
 
 
@@ -47,3 +49,24 @@ def test_held_out_documents_teach_nothing(spark):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, "more", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score, r.rejected) for r in langid.identify(docs).collect()] == [("und", 0.0, True)] * 2
+
+
+def test_numerals_are_no_letters(spark, some_docs):
+    texts = ["²", "½ ①", "Ⅷ", "١٢٣", "_-_", "ª", "ʰ", "ß"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.fit(some_docs)).collect()}
+    assert {i for i, lang in got.items() if lang == "und"} == {i for i, t in enumerate(texts) if not any(c.isalpha() for c in t)}
+
+
+def test_the_first_texts_of_each_language_are_learned_from(spark, monkeypatch):
+    """The sample is what sorting whole languages gives."""
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda bags: seen.extend(bags))
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 20)
+    rows = [(i, f"text {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "a" if i % 3 else "b") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langid.fit(docs)
+    ranked = docs.where("crc32(cast(doc_id as string)) % 4 != 2").selectExpr("text", "lang", "row_number() over (partition by lang order by xxhash64(doc_id, lang), doc_id) AS n")
+    want = [(r.lang, sorted(langid.features(r.text).tolist())) for r in ranked.where("n <= 20").collect()]
+    got = [(lang, np.repeat(idx, counts.astype(int)).tolist()) for lang, idx, counts in seen]
+    assert sorted(got) == sorted(want)
