@@ -20,11 +20,12 @@ all documents have costs its shard one entry a batch.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ from deedmill.llm.common import checkpoint, id_and_text, map_batches
 
 #: Bytes of a string that counts as a repeat, of an anchor, strings of a piece at most, and bytes scanned at once.
 LENGTH, ANCHOR, IN_PIECE, CHUNK = 50, 24, 64, 1 << 20
-#: Shards for each shuffle partition.
-SHARDS = 4
+#: Shards for each shuffle partition; bytes of text whose strings a task deals out at once.
+SHARDS, AT_ONCE = 4, 1 << 22
 #: A level is merged with the one before it if that is no larger than so many times its size.
 RATIO = 2
 
@@ -262,6 +263,26 @@ def _batch_rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "data"])
 
 
+def _sliced(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch, a slice of AT_ONCE bytes of text or of one row at a time."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > AT_ONCE:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _map_slices(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], sizes: Callable[[pa.RecordBatch], list[int]]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from map(function, _sliced(batch, sizes(batch)))
+
+    return frame.mapInArrow(run, _BATCH_SCHEMA)
+
+
 def _name_batches(texts: DataFrame, shards: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = batch.filter(batch.column(0).is_valid())
@@ -273,7 +294,7 @@ def _name_batches(texts: DataFrame, shards: int) -> DataFrame:
         where = ((anchor >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
         return _batch_rows(list(_deal(name, anchor.astype(np.uint32), docs, where)))
 
-    return map_batches(texts, run, _BATCH_SCHEMA)
+    return _map_slices(texts, run, lambda batch: pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist())
 
 
 def _longs(scalar: pa.Scalar) -> np.ndarray:
@@ -298,7 +319,10 @@ def _string_batches(flagged: DataFrame, shards: int) -> DataFrame:
         where = ((_mix(anchor ^ strings) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
         return _batch_rows(list(_deal(strings, np.zeros(len(strings), np.uint32), docs, where)))
 
-    return map_batches(flagged.select("doc_id", "packed", "shared"), run, _BATCH_SCHEMA)
+    def sizes(batch: pa.RecordBatch) -> list[int]:
+        return [zstandard.frame_content_size(packed) for packed in batch.column(1).to_pylist()]
+
+    return _map_slices(flagged.select("doc_id", "packed", "shared"), run, sizes)
 
 
 def _mask(text: bytes, removed: np.ndarray, shared: np.ndarray, strings: np.ndarray) -> np.ndarray:
