@@ -1,5 +1,5 @@
 import corpus_pipeline
-from deedmill.llm import langid, piecemerge, pii, registry, simhash
+from deedmill.llm import langid, mixing, piecemerge, pii, registry, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,6 +24,9 @@ def test_stages_one_by_one(spark, some_docs):
             assert all(r.text == old[r.doc_id] for r in docs.collect() if r.doc_id in clean)
         if name == "mixture":
             assert sorted(map(str, docs.collect())) == sorted(map(str, before.collect()))
+        if name == "pieces":
+            slots = mixing.query(before).select("doc_id", "slot").collect()
+            assert sorted(map(tuple, slots)) == sorted(map(tuple, docs.select("doc_id", "slot").collect()))
     assert seen["start"] >= seen["language"] > seen["near_duplicates"] == seen["personal_data"] == seen["mixture"] == seen["pieces"]
 
 
@@ -33,7 +36,7 @@ def test_run_equals_the_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert sorted(map(str, got.collect())) == sorted(map(str, docs.collect()))
-    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "slot"]
 
 
 def test_hard_rows_and_empty_table(spark, hard_docs, no_docs):
@@ -47,5 +50,6 @@ def test_hard_rows_and_empty_table(spark, hard_docs, no_docs):
 
 def test_registered():
     names = list(registry.QUERIES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "personal_data", "mixture", "pieces"]
     assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)] and names[-1] == "pipeline"
     assert piecemerge.BLANK == "▁"
