@@ -16,10 +16,10 @@ data bytes. manifest.json: for each file its name, documents, ids, and ids befor
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
@@ -35,95 +35,108 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.types import StructType
 
 from deedmill.llm.common import checkpoint, id_and_text, map_batches, shared_folder
-from deedmill.llm.tokencount import LONGEST, Lengths
+from deedmill.llm.tokencount import LONG_TEXT, LONGEST, Lengths
 
 MAGIC = b"DMIDS001"
 #: Ids of a block and of a file; a block or file ends with the document that reaches them.
 BLOCK_IDS, FILE_IDS = 1 << 18, 1 << 26
-#: Pre-tokens that a worker keeps with their ids, and characters that are encoded at once.
-CACHE_SIZE, AT_ONCE = 1_000_000, 1 << 20
+#: Pre-tokens that a worker keeps with their ids; a full cache is emptied.
+CACHE_SIZE = 1_000_000
 #: The id that ends each document.
 END = 0
 _HEAD = np.dtype("<i8")
 ROWS = "doc_id long, start long, n_tokens long, ids binary"
 
+# The characters that byte-level vocabularies write bytes as. Printable ones stand for themselves.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARACTERS = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
-class Encoder:
-    """Ids of whole texts as the tokenizers library gives them, by a cache of pre-tokens."""
 
-    def __init__(self, path: str):
+# The split pattern once more, for texts of no other characters than these, as a pattern that is found faster. Letters
+# come first, which changes nothing: nothing else begins with one.
+_OTHER = re.compile("[^\x00-\u017f\u2010-\u2027]")
+_LETTERS, _NUMBERS, _SPACES = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_PLAIN = re.compile(
+    f" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+)
+
+
+class Encoder(dict):
+    """Ids of whole texts as the tokenizers library gives them, pre-token by pre-token; as bytes, `width` for each id."""
+
+    def __init__(self, path: str, width: int):
+        super().__init__()
         checked = Lengths(path, {})
-        self.tokenizer, self.pieces = checked.tokenizer, checked.pieces
-        self.special = {t.content: self._packed([i]) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.tokenizer, self.slow_pieces, self.width = checked.tokenizer, checked.pieces, width
+        self.merged = self.tokenizer.model.tokenize
+        self.special = {t.content: self.packed([i]) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         longest_first = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(longest_first)})").split if self.special else lambda text: [text]
-        self.cache: dict[str, bytes] = {}
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 32-bit integers."""
-        split = []
-        for text in texts:
-            parts = self.cut(text)
-            # Parts at odd places are added tokens.
-            split.append([(i % 2, [part] if i % 2 else list(self.pieces(part))) for i, part in enumerate(parts)])
-        needed = set().union(*(pieces for parts in split for odd, pieces in parts if not odd))
-        new = list(needed.difference(self.cache))
-        if len(self.cache) + len(new) > CACHE_SIZE:
-            self.cache = {piece: self.cache[piece] for piece in needed.intersection(self.cache)}
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.cache.update((piece, self._packed(e.ids)) for piece, e in zip(new, found, strict=True))
-        joined = [b"".join(self.special[p[0]] if odd else b"".join(map(self.cache.__getitem__, p)) for odd, p in parts) for parts in split]
-        for piece in new:
-            if len(piece) > LONGEST or len(self.cache) > CACHE_SIZE:
-                del self.cache[piece]
-        return joined
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
+
+    def pieces(self, part: str) -> Iterable[str]:
+        return self.slow_pieces(part) if len(part) > LONG_TEXT or _OTHER.search(part) else _PLAIN.findall(part)
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.packed([t.id for t in self.merged(piece.encode().decode("latin-1").translate(_CHARACTERS))])
+        if len(piece) <= LONGEST:
+            if len(self) >= CACHE_SIZE:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        # Parts at odd places are added tokens.
+        parts = (self.special[p] if i % 2 else b"".join(map(self.__getitem__, self.pieces(p))) for i, p in enumerate(self.cut(text)))
+        return b"".join(parts)
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(path: str, width: int) -> Encoder:
+    if (path, width) not in _encoders:
         _encoders.clear()
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders[path, width] = Encoder(path, width)
+    return _encoders[path, width]
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and packed, the compressed ids of the whole text with the end id, for each row of `docs`; written to the shared folder.
+def id_width(path: str) -> int:
+    """Bytes that any id of a vocabulary file fits into: two or four."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    largest = max([*described["model"]["vocab"].values(), *(t["id"] for t in described["added_tokens"])])
+    return 2 if largest < 1 << 16 else 4
+
+
+def _squeezed(ids: bytes, width: int, compress: Callable[[bytes], bytes]) -> bytes:
+    """Ids compressed, their first bytes together, then their second ones and so on."""
+    return compress(np.frombuffer(ids, np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _restored(squeezed: bytes, width: int) -> bytes:
+    return np.frombuffer(zstandard.decompress(squeezed), np.uint8).reshape(width, -1).T.tobytes()
+
+
+def encoded(docs: DataFrame, path: str, width: int) -> DataFrame:
+    """doc_id and packed, the squeezed ids of the whole text with the end id, for each row of `docs`; written to the shared folder.
 
     A null text is empty: its only id is the end id. tie orders rows of one doc_id.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, encoder, compress = [t or "" for t in batch.column(1).to_pylist()], _encoder(path), zstandard.ZstdCompressor(1).compress
-        end, packed, start, size = Encoder._packed([END]), [], 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= AT_ONCE or i + 1 == len(texts):
-                packed += [compress(_narrow(ids + end)) for ids in encoder.encode(texts[start : i + 1])]
-                start, size = i + 1, 0
+        encoder = _encoder(path, width)
+        end, compress = encoder.packed([END]), zstandard.ZstdCompressor(1).compress
+        packed = [_squeezed(encoder.encode(text or "") + end, width, compress) for text in batch.column(1).to_pylist()]
         return pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     rows = map_batches(id_and_text(docs), run, "doc_id long, packed binary")
     return checkpoint(rows.withColumn("tie", F.xxhash64("packed")))
 
 
-def _narrow(ids: bytes) -> bytes:
-    """Ids as two planes of 16 bits, of which the upper one is nearly empty."""
-    halves = np.frombuffer(ids, "<u2").reshape(-1, 2)
-    return halves.T.tobytes()
-
-
-def _wide(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, "<u2").reshape(2, -1).T).view("<u4").ravel()
-
-
-def ranking(rows: DataFrame) -> np.ndarray:
+def ranking(rows: DataFrame, width: int) -> np.ndarray:
     """Ids that occur in `rows` (as encoded gives them), the most frequent first; ties to the smaller id.
 
     What reaches the driver is bounded by the vocabulary.
@@ -132,10 +145,9 @@ def ranking(rows: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
-                found = np.bincount(_wide(zstandard.decompress(packed)), minlength=len(counts))
-                found[: len(counts)] += counts
-                counts = found
+            found = np.bincount(np.frombuffer(b"".join(_restored(ids, width) for ids in batch.column(0).to_pylist()), f"<u{width}"), minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
         ids = np.nonzero(counts)[0]
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(counts[ids], pa.int64())], ["id", "n"])
 
@@ -196,20 +208,20 @@ class Written(WriterCommitMessage):
 class _Block:
     """Documents that are to be written together."""
 
-    def __init__(self) -> None:
+    def __init__(self, width: int) -> None:
         self.doc_ids: list[int | None] = []
-        self.ids: list[np.ndarray] = []
-        self.n = 0
+        self.ids: list[bytes] = []
+        self.width, self.n = width, 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: bytes) -> None:
         self.doc_ids.append(doc_id)
         self.ids.append(ids)
-        self.n += len(ids)
+        self.n += len(ids) // self.width
 
     def packed(self, rank_of: np.ndarray) -> bytes:
-        control, data = pack_ranks(rank_of[np.concatenate(self.ids)])
+        control, data = pack_ranks(rank_of[np.frombuffer(b"".join(self.ids), f"<u{self.width}")])
         named = np.array([d is not None for d in self.doc_ids], np.uint8)
-        sizes = np.array([len(i) for i in self.ids], "<i8")
+        sizes = np.array([len(i) // self.width for i in self.ids], "<i8")
         body = b"".join([np.array([d or 0 for d in self.doc_ids], "<i8").tobytes(), named.tobytes(), sizes.tobytes(), control, data])
         return np.array([len(sizes), self.n, len(data), zlib.crc32(body)], _HEAD).tobytes() + body
 
@@ -230,7 +242,7 @@ class TokenIdWriter(DataSourceArrowWriter):
     """Rows of doc_id and packed, already in order, to files."""
 
     def __init__(self, options: dict[str, str]):
-        self.folder = options["path"]
+        self.folder, self.width = options["path"], int(options["width"])
         self.block_ids, self.file_ids = int(options.get("block_ids", BLOCK_IDS)), int(options.get("file_ids", FILE_IDS))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -239,7 +251,7 @@ class TokenIdWriter(DataSourceArrowWriter):
         rank_of[ids] = np.arange(len(ids))
         part, tag = TaskContext.get().partitionId(), uuid.uuid4().hex
         files, folder = _at(self.folder)
-        written, out, block = [], None, _Block()
+        written, out, block = [], None, _Block(self.width)
 
         def flush() -> None:
             nonlocal out, block
@@ -252,14 +264,14 @@ class TokenIdWriter(DataSourceArrowWriter):
             out.write(block.packed(rank_of))
             written[-1][3] += len(block.ids)
             written[-1][4] += block.n
-            block = _Block()
+            block = _Block(self.width)
             if written[-1][4] >= self.file_ids:
                 out.close()
                 out = None
 
         for batch in iterator:
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), strict=True):
-                block.add(doc_id, _wide(zstandard.decompress(packed.as_py())))
+            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                block.add(doc_id, _restored(packed, self.width))
                 if block.n >= self.block_ids:
                     flush()
         flush()
@@ -309,8 +321,9 @@ class TokenIdReader(DataSourceReader):
                 docs, n, size, _ = head.tolist()
                 doc_ids, sizes, ranks = _unpacked(head, data.read(17 * docs + -(-n // 4) + size))
                 ends = np.cumsum(sizes)
-                found = np.split(ids[ranks], ends[:-1])
-                columns = [pa.array(doc_ids, pa.int64()), pa.array(start + ends - sizes), pa.array(sizes), pa.array([f.tobytes() for f in found], pa.binary())]
+                places = pa.py_buffer(np.append(0, 4 * ends).astype(np.int64))
+                found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), docs, [None, places, pa.py_buffer(ids[ranks])])
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(start + ends - sizes), pa.array(sizes), found.cast(pa.binary())]
                 yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids"])
                 start += n
 
@@ -339,14 +352,14 @@ def write(docs: DataFrame, path: str, folder: str, **sizes: int) -> None:
     share. Rows of one doc_id are written one after the other, in an order that hangs on their ids alone. No rows
     give a manifest without files. Other columns are ignored.
     """
-    rows = encoded(docs, path)
+    width = id_width(path)
+    rows = encoded(docs, path, width)
     files, place = _at(folder)
     files.create_dir(place, recursive=True)
-    _put(folder, "ranks.bin", ranking(rows).tobytes())
+    _put(folder, "ranks.bin", ranking(rows, width).tobytes())
     docs.sparkSession.dataSource.register(TokenIds)
-    order = ["doc_id", "tie", "packed"]
-    parts = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions(*order).select("doc_id", "packed")
-    parts.write.format("token_ids").mode("append").options(**sizes).save(folder)
+    parts = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "packed").select("doc_id", "packed")
+    parts.write.format("token_ids").mode("append").options(width=width, **sizes).save(folder)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,16 +74,27 @@ def test_codes():
         assert (idfile.unpack_ranks(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), n) == ranks).all()
 
 
-def test_cache_is_emptied(monkeypatch):
+@pytest.mark.parametrize("width", [2, 4])
+def test_cache_is_emptied(monkeypatch, width):
     monkeypatch.setattr(idfile, "CACHE_SIZE", 5)
-    encoder, library = idfile.Encoder(PATH), Tokenizer.from_file(PATH)
-    texts = ["a b c", "one two three four five six seven", "", "a b d <|endoftext|> e", "x" * 100, "q r"]
-    for group in (texts[:1], texts, texts[3:], texts[1:2]):
-        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(group)] == [library.encode(t, add_special_tokens=False).ids for t in group]
-        assert len(encoder.cache) <= 5
+    encoder, library = idfile.Encoder(PATH, width), Tokenizer.from_file(PATH)
+    texts = ["a b c", "one two three four five six seven", "", "a b d <|endoftext|> e", "x" * 100, "q r", "日本 \n\n é\u00ad\x00\x7f  it's"]
+    for text in texts * 2:
+        assert np.frombuffer(encoder.encode(text), f"<u{width}").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder) <= 5
 
 
 def test_frequent_ids_come_first(spark, some_docs):
-    ranked = idfile.ranking(idfile.encoded(some_docs, PATH)).tolist()
+    ranked = idfile.ranking(idfile.encoded(some_docs, PATH, 2), 2).tolist()
+    assert idfile.id_width(PATH) == 2
     counts = np.bincount(np.concatenate([ids for _, ids in brute(some_docs)]))
     assert ranked == sorted(np.nonzero(counts)[0].tolist(), key=lambda i: (-counts[i], i))
+
+
+def test_fast_split_is_the_library_s():
+    random = np.random.default_rng(4)
+    encoder, library = idfile.Encoder(PATH, 2), Tokenizer.from_file(PATH)
+    alphabet = [*map(chr, range(0x180)), *map(chr, range(0x2010, 0x2028)), *" \n\t'  abcsdmtlvre019.,"] + ["'s", "'ll", "'re", "  ", "\n\n", "\x1c", "\x85", "\xa0"]
+    for n in range(4000):
+        text = "".join(random.choice(alphabet, int(random.integers(1, 30))))
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
