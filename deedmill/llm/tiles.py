@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Values of a key that one tile holds.
@@ -76,10 +76,15 @@ def links(keyed: DataFrame, near: Near, kind: str, tile: int = TILE) -> DataFram
     return dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def crowds(met: DataFrame, tile: int) -> DataFrame:
-    """root, node, tiles and own, the node's tile, for each member of the components `met` (node and root, as components gives them)."""
+def crowds(met: DataFrame, tile: int, room: int, size: Column) -> DataFrame:
+    """root, node, tiles and own, the node's tile, for each member of the components `met` (node and root, as components gives them).
+
+    A tile has about `tile` nodes at most, whose `size`, an expression of node, adds up to about `room` at most.
+    """
     members = met.unionByName(met.select(F.col("root").alias("node"), "root").distinct())
-    sizes = members.groupBy("root").agg(F.count("*").alias("n")).select("root", F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("tiles"))
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    least = F.greatest(F.ceil(F.col("n") / F.lit(tile)), F.ceil(F.col("size") / F.lit(room)))
+    sizes = sizes.select("root", least.cast("int").alias("tiles"))
     return members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
 
 
