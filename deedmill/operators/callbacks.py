@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import chain, groupby
+from operator import and_
 
 import pandas as pd
 import pyarrow as pa
@@ -22,8 +24,10 @@ from pyspark.sql.types import StructType
 
 Step = Callable[[pd.DataFrame], pd.DataFrame]
 
-# Partial states of a group that are merged at once, and groups whose states a task holds.
+# Partial states of a group that are merged at once, and finished groups that are handed on at once.
 MERGE_AT, HELD = 32, 20_000
+# Rows of a group that one task folds; a larger group is dealt out in shares of about as many.
+SHARE_ROWS = 200_000
 # Result rows of whole groups that are handed on at once.
 ROWS_OUT = 1000
 
@@ -33,62 +37,86 @@ def per_group(
 ) -> DataFrame:
     """Merged state per group. ``state`` is the schema of the state columns, without the keys.
 
-    Rows are folded where they are: a task keeps one state per group, merged as batches come. States
-    are then merged in two rounds: within one of ``salt`` shares of the tasks, and across the shares.
+    Rows are counted per group first. A group goes to one task, and one of more than ``SHARE_ROWS`` rows to at
+    least ``salt``, so that ``partial`` is called about once a group however many groups there are. A task gets its
+    rows sorted and holds one state per group at a time, merged as batches come. The shares of large groups, few
+    as they are, are then merged across tasks.
     """
     by_name = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_schema = ", ".join(f"`{k}` {by_name[k]}" for k in keys)
     state_names = StructType.fromDDL(state).names
 
     def one(states: list[pd.DataFrame]) -> pd.DataFrame:
-        return states[0] if len(states) == 1 else merge(pd.concat(states, ignore_index=True))[state_names]
+        return merge(pd.concat(states, ignore_index=True) if len(states) > 1 else states[0].reset_index(drop=True))[state_names]
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list[pd.DataFrame]] = {}
-        share = 0
+        """Final states of whole groups, and one state of each share. Rows of a group follow each other."""
+        done: list[tuple[tuple, pd.DataFrame]] = []
+        current, states = None, []
 
         def handed_on() -> pd.DataFrame:
-            made = []
-            for key, states in held.items():
-                out = one(states).copy()
-                for name, value in zip(keys, key, strict=True):
-                    out[name] = [value] * len(out)
-                made.append(out.assign(_share=share))
-            return pd.concat(made, ignore_index=True)[[*keys, *state_names, "_share"]]
+            sizes = [len(out) for _, out in done]
+            made = pd.concat([out for _, out in done], ignore_index=True)
+            for i, name in enumerate(names):
+                made[name] = [key[i] for (key, _), n in zip(done, sizes, strict=True) for _ in range(n)]
+            done.clear()
+            return made[[*names, *state_names]]
 
         for frame in frames:
-            if len(frame):
-                share = frame["_share"].iloc[0]
-            for key, rows in frame.groupby(keys, dropna=False, sort=False):
+            for key, rows in frame.groupby(names, dropna=False, sort=False):
                 # Missing keys are not equal to themselves, None is.
-                key = tuple(None if pd.isna(k) else k for k in (key if isinstance(key, tuple) else (key,)))
-                states = held.setdefault(key, [])
+                key = tuple(None if pd.isna(k) else k for k in key)
+                if key != current:
+                    if states:
+                        done.append((current, one(states)))
+                    current, states = key, []
                 states.append(partial(rows)[state_names])
                 if len(states) >= MERGE_AT:
-                    held[key] = [one(states)]
-            if len(held) >= HELD:
+                    states = [one(states)]
+            if len(done) >= HELD:
                 yield handed_on()
-                held.clear()
-        if held:
+        if states:
+            done.append((current, one(states)))
+        if done:
             yield handed_on()
 
-    share = F.pmod(F.spark_partition_id(), F.lit(salt)).cast("int").alias("_share")
-    parts = df.select(*keys, *[c for c in columns if c not in keys], share).mapInPandas(
-        fold, f"{key_schema}, {state}, `_share` int"
-    )
-    names = [*keys, "_share"]
-    first = parts.groupBy(*names).applyInPandas(_merger(merge, state_names, names), f"{key_schema}, `_share` int, {state}")
-    return first.groupBy(*keys).applyInPandas(_merger(merge, state_names, keys), f"{key_schema}, {state}")
+    def across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Whole groups as they are, and the states of shares merged."""
+        current, states = None, []
 
+        def merged() -> pd.DataFrame:
+            out = one(states)
+            for name, value in zip(keys, current, strict=True):
+                out[name] = [value] * len(out)
+            return out[[*keys, *state_names]]
 
-def _merger(merge: Step, state_names: list[str], names: list[str]) -> Callable:
-    def merged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = merge(rows[state_names])[state_names].copy()
-        for name, value in zip(names, key, strict=True):
-            out[name] = value
-        return out[[*names, *state_names]]
-
-    return merged
+        for frame in frames:
+            yield frame.loc[frame["_share"] < 0, [*keys, *state_names]]
+            for key, rows in frame[frame["_share"] >= 0].groupby(keys, dropna=False, sort=False):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                if key != current:
+                    if states:
+                        yield merged()
+                    current, states = key, []
+                states.append(rows[state_names])
+                if len(states) >= MERGE_AT:
+                    states = [one(states)]
+        if states:
+            yield merged()
+
+    names, values = [*keys, "_share"], [c for c in columns if c not in keys]
+    fractions = [k for k in keys if by_name[k] in ("float", "double")]
+    df = df.select(*keys, *values).withColumns({k: F.when(~F.isnan(k), F.col(k)) for k in fractions})
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > SHARE_ROWS)
+    shares = F.greatest(F.lit(salt), F.ceil(F.col("_n") / SHARE_ROWS)).cast("int").alias("_shares")
+    # At most one large group for each SHARE_ROWS rows.
+    large = F.broadcast(counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], shares))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    # A group that is whole has the share -1.
+    share = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_shares")), F.lit(-1)).cast("int").alias("_share")
+    dealt = df.join(large, same, "left").select(*keys, *values, share).repartition(*names).sortWithinPartitions(*names)
+    parts = dealt.mapInPandas(fold, f"{key_schema}, `_share` int, {state}")
+    return parts.repartition(*keys).sortWithinPartitions(*names).mapInPandas(across, f"{key_schema}, {state}")
 
 
 Whole = Callable[[tuple, Iterator[pa.RecordBatch]], Iterable[tuple]]

@@ -240,6 +240,26 @@ def test_callbacks_do_not_depend_on_partitions(spark):
     assert results[0] == results[1] == sorted((r.k, str(r.s), r.n, r.top) for r in want)
 
 
+@pytest.mark.parametrize("share_rows", [40, 200_000])
+def test_callbacks_fold_a_group_once(spark, share_rows, monkeypatch):
+    monkeypatch.setattr(callbacks, "SHARE_ROWS", share_rows)
+    # 600 groups of 5 rows that are far apart in 12 partitions, and one group of 500 rows.
+    df = spark.range(3500).select(F.when(F.col("id") < 3000, F.col("id") % 600).otherwise(-1).alias("k"), F.col("id").alias("v")).repartition(12)
+    calls = spark.sparkContext.accumulator(0)
+
+    def partial(x):
+        calls.add(1)
+        return pd.DataFrame({"n": [len(x)], "total": [x["v"].sum()]})
+
+    def merge(x):
+        return pd.DataFrame({"n": [x["n"].sum()], "total": [x["total"].sum()]})
+
+    got = callbacks.per_group(df, ["k"], ["v"], partial, merge, "n bigint, total bigint").collect()
+    want = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert 601 <= calls.value <= 650
+
+
 def test_fuzzy_labels(spark):
     df = spark.createDataFrame([("Flat",), ("Flats",), ("House Row",), ("Xyzzy",), (None,)], "t string")
     known = ["Flat", "Row House", "Shop"]
