@@ -48,6 +48,19 @@ def test_hard_rows_and_empty_table(spark, hard_docs, no_docs):
         docs.collect()
 
 
+def test_pieces_follow_the_order_of_the_mix(spark, some_docs, tmp_path):
+    def slots(docs):
+        return {r.doc_id: r.slot for r in corpus_pipeline.pieces(spark, docs, None).collect()}
+
+    want = {r.doc_id: r.slot for r in mixing.query(some_docs).collect()}
+    # Several files, the first of which is the smallest: readers take large files first.
+    corpus_pipeline.mixture(spark, some_docs, None).write.option("maxRecordsPerFile", 30).parquet(f"{tmp_path}/mixed")
+    other = some_docs.coalesce(1).orderBy("doc_id")
+    other.write.parquet(f"{tmp_path}/other")
+    assert slots(spark.read.parquet(f"{tmp_path}/mixed")) == want
+    assert slots(spark.read.parquet(f"{tmp_path}/other")) == slots(other) != want
+
+
 def test_registered():
     names = list(registry.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "personal_data", "mixture", "pieces"]
