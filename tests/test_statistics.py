@@ -130,6 +130,32 @@ def test_percentiles_match_numpy(spark, cells, monkeypatch):
             assert got[k][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize(("gathered", "cells"), [(300_000, 32), (100, 1), (0, 32)])
+def test_rates_of_small_and_large_keys(spark, gathered, cells, monkeypatch):
+    """Small keys are ranked where one shuffle put them, large ones by cells; both as numpy does."""
+    monkeypatch.setattr(percentiles, "GATHERED", gathered)
+    monkeypatch.setattr(percentiles, "CELLS_PER_OCTAVE", cells)
+    rng = np.random.default_rng(5)
+    rows = [row(i, proj_id=0 if i % 2 else i % 40, year=2020 + i % 3, quarter=None if i % 9 == 0 else "2020-Q1", floor_no=float(i % 7),
+                rate_on_net_ca=float(rng.integers(1, 300)), rate_on_sa=None if i % 5 == 0 else float(i)) for i in range(600)]
+    df = frame(spark, rows).repartition(3)
+    out = percentiles.rate_percentiles(df, [PROJECT, CITY])
+    want, table = {}, pd.DataFrame(rows)
+    spans = {"Overall": lambda t: t.year * 0, "YoY": lambda t: t.year, "QoQ": lambda t: t.quarter}
+    for (level, key), (grain, span), (dist, value) in [
+        (a, b, c) for a in (("project", "proj_id"), ("city", "city_id")) for b in spans.items()
+        for c in (("rate_nca_pt", "rate_on_net_ca"), ("rate_sa_pt", "rate_on_sa"), ("rate_nca_bhk", "rate_on_net_ca"), ("floor_pt", "rate_on_net_ca"))
+    ]:
+        t = table.dropna(subset=[value]).assign(span=span, floor=(table.floor_no // 5 * 5) if dist == "floor_pt" else -1)
+        for k, g in t.groupby([key, "span", "floor"]):
+            period = "Overall" if grain == "Overall" else str(k[1])
+            want[level, k[0], grain, period, dist, int(k[2])] = (len(g), *np.quantile(g[value], [0.5, 0.75, 0.9]), g[value].mean())
+    got = {(r.level, r.key_id, r.grain, r.period, r.dist, -1 if r.floor_from is None else r.floor_from): (r.n, r.p50, r.p75, r.p90, r["mean"]) for r in out.collect()}
+    assert set(got) == set(want)
+    for k, values in want.items():
+        assert got[k] == pytest.approx(values)
+
+
 def test_prevailing_floor_and_chart_rates(spark):
     rates = [10.0, 20.0, 35.0, 47.0, 90.0, 91.5, 120.0]
     floors = [0.0, 4.0, 5.0, None, -1.0, 7.0, 23.0]
