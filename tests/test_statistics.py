@@ -244,6 +244,29 @@ def buckets_of(spark, rows, level):
     return {r.bucket: r.unit_sold for r in table.filter("grain = 'Overall' AND kind = 'property_type'").collect()}
 
 
+@pytest.mark.parametrize(("gathered", "block"), [(60, "area"), (0, "rate"), (300_000, "area")])
+def test_ranges_of_small_and_large_keys(spark, gathered, block, monkeypatch):
+    """Small keys are counted where one shuffle put them, large ones before they are shuffled; both alike."""
+    monkeypatch.setattr(ranges, "GATHERED", gathered)
+    rng = np.random.default_rng(2)
+    rows = [row(i, proj_id=0 if i % 2 else i % 20, loc_id=None if i % 11 == 0 else i % 4, year=2020 + i % 2, quarter=None if i % 7 == 0 else "2020-Q1", age=[i % 60 + 20],
+                agreement_price=None if i % 9 == 0 else float(rng.integers(1, 30_000_000)), carpet_sqft=float(rng.integers(100, 7000))) for i in range(300)]
+    df = frame(spark, rows).repartition(3)
+    want = ranges.range_table(ranges.range_cells(df, [block]), blocks=[block]).collect()
+    assert sorted(map(str, ranges.range_tables(df, [block]).collect())) == sorted(map(str, want))
+    some = ranges.range_tables(df, [block], grains=["YoY"]).collect()
+    assert sorted(map(str, some)) == sorted(str(r) for r in want if r.grain == "YoY")
+
+
+def test_grains_are_counted_alone(spark):
+    df = frame(spark, [row(i, year=2020 + i % 3, quarter=f"2020-Q{i % 4 + 1}", buyer_pincode=400000.0 + i % 5) for i in range(40)])
+    for function, levels_ in ((totals.segment_totals, [CITY, PROJECT]), (totals.label_counts, [CITY]), (totals.development_agreements, [CITY]), (buyers.pincode_stats, [CITY])):
+        whole = function(df, levels_).collect()
+        for grain in ("Overall", "QoQ"):
+            some = function(df, levels_, grains=[grain]).collect()
+            assert sorted(map(str, some)) == sorted(str(r) for r in whole if r.grain == grain)
+
+
 def test_area_metric_rejects_unknown_names(spark):
     with pytest.raises(ValueError, match="median"):
         ranges.area_metric(spark.range(1), "median")
