@@ -16,8 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deedmill.functions import bins, exact
-from deedmill.operators.levels import BEDROOM, LEVEL_KEY, LEVELS, PROPERTY, SEGMENT_KEY, Level, by_grain, by_segment, by_target, masks, with_targets
-from deedmill.operators.ranges import money
+from deedmill.operators.levels import BEDROOM, LEVEL_KEY, LEVELS, PROPERTY, SEGMENT_KEY, Level, by_grain, by_level, by_segment, masks
+from deedmill.operators.ranges import large_keys, money
 
 MEAN, FIXED = "mean", "fixed"
 # Block -> column that is binned
@@ -67,8 +67,8 @@ def widths(specs: Iterable[RangeSpec]) -> dict[str, int]:
     return found
 
 
-def _counted(df: DataFrame, width: dict[str, int], levels: list[Level], kinds: list[str]) -> DataFrame:
-    """Exact sums per key, period, segment, block and cell."""
+def _counted(rows: DataFrame, width: dict[str, int], kinds: list[str]) -> DataFrame:
+    """Exact sums per key, period, segment, block and cell, of rows that have their level and key."""
     named, price, carpet = masks(), F.col("agreement_price"), F.col("carpet_sqft")
     members = {
         "area": named["valid_area"] & named["valid_carpet"],
@@ -83,11 +83,9 @@ def _counted(df: DataFrame, width: dict[str, int], levels: list[Level], kinds: l
     priced = named["valid_price"]
     amounts = {"price": price, "carpet": carpet, "value": F.col("_e.value")}
     every = [*amounts, *[f"{a}_priced" for a in amounts]]
-    place = ["city", "year", "quarter", *kinds]
-    once = (
-        with_targets(df, levels)
-        .withColumn("_e", F.explode(F.array_compact(F.array(*entries))))
-        .groupBy(*place, "_targets", F.col("_e.block").alias("block"), F.col("_e.cell").alias("cell"))
+    fine = (
+        rows.withColumn("_e", F.explode(F.array_compact(F.array(*entries))))
+        .groupBy(*LEVEL_KEY, "year", "quarter", *kinds, F.col("_e.block").alias("block"), F.col("_e.cell").alias("cell"))
         .agg(
             F.count(F.lit(1)).alias("n"), F.count_if(priced).alias("n_priced"),
             *[s for a, c in amounts.items() for s in exact.sums(a, c)],
@@ -95,7 +93,6 @@ def _counted(df: DataFrame, width: dict[str, int], levels: list[Level], kinds: l
         )
     )
     sums = [*[F.sum(c).alias(c) for c in ("n", "n_priced")], *[m for a in every for m in exact.merged(a)]]
-    fine = by_target(once).groupBy(*LEVEL_KEY, "year", "quarter", *kinds, "block", "cell").agg(*sums)
     return by_grain(by_segment(fine, kinds)).groupBy(*SEGMENT_KEY, "block", "cell").agg(*sums)
 
 
@@ -121,13 +118,25 @@ def range_stats(
     """spec, level, city, key_id, grain, period, kind, segment, bucket, unit_sold, total_sales and ca_consumed_sqft.
 
     One row for each bucket that has rows, of each specification. The window that sums a segment holds its cells,
-    whose number the value axis bounds.
+    whose number the value axis bounds. Rows of keys with few rows are shuffled once, by key, and counted where they
+    then are; cells of large keys are counted before they are shuffled.
     """
-    specs = list(specs)
+    specs, levels, kinds = list(specs), list(levels), list(kinds)
     if len({s.name for s in specs}) < len(specs):
         raise ValueError("specifications need names of their own")
+    large = F.broadcast(large_keys(df, levels))
+    needed = ["year", "quarter", *kinds, "net_carpet_area_sqmt", *VALUES.values()]
+    rows = by_level(df, levels).select(*LEVEL_KEY, *needed)
+    mine = (F.col("level") == F.col("_large_level")) & (F.col("key_id") == F.col("_large_key"))
+    parts = [rows.join(large, mine, "left_anti").repartition(*LEVEL_KEY), rows.join(large, mine, "left_semi")]
+    tables = [_bucketed(part, specs, kinds) for part in parts]
+    return tables[0].unionByName(tables[1])
+
+
+def _bucketed(rows: DataFrame, specs: list[RangeSpec], kinds: list[str]) -> DataFrame:
+    """`range_stats` of rows that have their level and key."""
     width = widths(specs)
-    cells = _counted(df, width, list(levels), list(kinds))
+    cells = _counted(rows, width, kinds)
     group = W.partitionBy(*SEGMENT_KEY, "block")
     centring = [f"n{x}" for x in ("", "_priced")] + [name for x in ("", "_priced") for name in exact.names(f"value{x}")]
     cells = cells.withColumns({f"sum_{c}": F.sum(c).over(group) for c in centring})
