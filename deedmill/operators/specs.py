@@ -141,14 +141,23 @@ def _bucketed(rows: DataFrame, specs: list[RangeSpec], kinds: list[str]) -> Data
     centring = [f"n{x}" for x in ("", "_priced")] + [name for x in ("", "_priced") for name in exact.names(f"value{x}")]
     cells = cells.withColumns({f"sum_{c}": F.sum(c).over(group) for c in centring})
 
+    # Means and centres are columns of their own, so that each is computed once per row.
+    used = {"_priced" if s.priced else "" for s in specs if s.strategy == MEAN}
+    cells = cells.withColumns({f"_mean{x}": exact.mean(f"sum_value{x}", f"sum_n{x}") for x in sorted(used)})
+
+    def centre_of(spec: RangeSpec) -> Column:
+        mean = F.col("_mean_priced" if spec.priced else "_mean")
+        centre = bins.area_centre(mean) if spec.block == "area" else bins.step_centre(mean, spec.step)
+        return F.when(F.col("block") == spec.block, centre)
+
+    cells = cells.withColumns({f"_centre_{s.name}": centre_of(s) for s in specs if s.strategy == MEAN})
+
     def entry(spec: RangeSpec) -> Column:
         suffix = "_priced" if spec.priced else ""
         if spec.strategy == FIXED:
             low, high = F.lit(spec.low).cast("bigint"), F.lit(spec.high).cast("bigint")
         else:
-            mean = exact.mean(f"sum_value{suffix}", f"sum_n{suffix}")
-            centre = bins.area_centre(mean) if spec.block == "area" else bins.step_centre(mean, spec.step)
-            low, high = bins.centred_edges(spec.block, centre, spec.step)
+            low, high = bins.centred_edges(spec.block, F.col(f"`_centre_{spec.name}`"), spec.step)
         sums = [F.col(f"n{suffix}").alias("n")]
         sums += [F.col(own).alias(to) for a in ("price", "carpet") for own, to in zip(exact.names(a + suffix), exact.names(a), strict=True)]
         made = F.struct(
