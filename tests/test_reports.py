@@ -2,6 +2,7 @@ import glob
 import json
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +175,41 @@ def test_reports_of_all_levels_at_once_equal_single_ones(spark, tmp_path):
         both = spark.read.parquet(out[level.name]).filter(F.col("Type") == grain).select(*[f"`{c}`" for c in one.columns])
         assert sorted(map(str, both.collect())) == sorted(map(str, one.collect()))
     df.unpersist()
+
+
+def test_long_reports_shuffle_a_family_of_small_keys_once(spark):
+    df = registry.prepared(spark, TINY, *report.COLUMNS)
+    plan = report.long_report(df, PROJECT, grains=["YoY"])._jdf.queryExecution().executedPlan().toString()
+    # By key, for totals, rates and four distributions; nothing that is grouped by the constant level shuffles again.
+    assert plan.count("REPARTITION_BY_NUM") == 6
+    assert "hashpartitioning(project" not in plan and "grain#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_cells_meet_without_a_further_shuffle(spark):
+    df = registry.prepared(spark, TINY, *report.COLUMNS)
+    plan = report.report_cells(df, PROJECT, grains=["YoY"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    union = next(i for i, line in enumerate(plan) if line.strip(" :+-") == "Union")
+    assert not [line for line in plan[:union] if "Exchange" in line]
+
+
+def test_cells_are_laid_out_in_slices(spark, monkeypatch):
+    df = registry.prepared(spark, TINY, *report.COLUMNS).cache()
+    whole = report.wide_report(df, PROJECT, "YoY").collect()
+    monkeypatch.setattr(report, "LAID", 7)
+    assert report.wide_report(df, PROJECT, "YoY").collect() == whole
+    df.unpersist()
+
+
+def test_layout_of_cells():
+    kind = pa.list_(pa.struct([("name", pa.string()), ("bucket", pa.string()), ("cell", pa.string())]))
+    rows = pa.array(
+        [[("d", "b", "2"), ("n", None, "3.0"), ("d", "a", "1"), ("x", None, "9")], None, [], [("t", None, "q"), ("d", "c", "5")]],
+        kind,
+    )
+    found = {"n": ("count", pa.int64()), "d": ("dist", pa.string()), "t": ("text", pa.string()), "o": ("other", pa.float64())}
+    out = {name: column.to_pylist() for name, column in report.laid_out(rows, found, {"dist"}).items()}
+    assert out == {
+        "count": [3, None, None, None], "dist": ['{"a": 1, "b": 2}', None, None, '{"c": 5}'], "text": [None, None, None, "q"], "other": [None] * 4,
+    }
+    later = report.laid_out(rows.slice(3), found, {"dist"})
+    assert later["dist"].to_pylist() == ['{"c": 5}']
