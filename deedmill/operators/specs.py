@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 from math import gcd
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deedmill.functions import bins, exact
-from deedmill.operators.levels import BEDROOM, LEVEL_KEY, LEVELS, PROPERTY, SEGMENT_KEY, Level, by_grain, by_level, by_segment, masks
-from deedmill.operators.ranges import large_keys, money
+from deedmill.operators.levels import (
+    BEDROOM,
+    GRAINS,
+    LEVEL_KEY,
+    LEVELS,
+    PROPERTY,
+    SEGMENT_KEY,
+    Level,
+    by_grain,
+    by_group,
+    by_key,
+    by_level,
+    by_segment,
+    chosen,
+    masks,
+    parts,
+)
+from deedmill.operators.ranges import large_keys, money, only_large, without_large
 
 MEAN, FIXED = "mean", "fixed"
 # Block -> column that is binned
@@ -67,9 +84,9 @@ def widths(specs: Iterable[RangeSpec]) -> dict[str, int]:
     return found
 
 
-def _counted(rows: DataFrame, width: dict[str, int], kinds: list[str]) -> DataFrame:
-    """Exact sums per key, period, segment, block and cell, of rows that have their level and key."""
-    named, price, carpet = masks(), F.col("agreement_price"), F.col("carpet_sqft")
+def _members(rows: DataFrame, width: dict[str, int]) -> DataFrame:
+    """A row for each block of rows that have their level and key, with its cell and value."""
+    named = masks()
     members = {
         "area": named["valid_area"] & named["valid_carpet"],
         "price": named["valid_price"],
@@ -80,22 +97,38 @@ def _counted(rows: DataFrame, width: dict[str, int], kinds: list[str]) -> DataFr
         value = F.col(VALUES[block])
         cell = (bins.price_cell if block == "price" else bins.plain_cell)(value, size).cast("bigint")
         entries.append(F.when(members[block], F.struct(F.lit(block).alias("block"), cell.alias("cell"), value.alias("value"))))
-    priced = named["valid_price"]
-    amounts = {"price": price, "carpet": carpet, "value": F.col("_e.value")}
-    every = [*amounts, *[f"{a}_priced" for a in amounts]]
+    entry = entries[0] if len(entries) == 1 else F.explode(F.array_compact(F.array(*entries)))
+    rows = rows.withColumn("_e", entry).filter(F.col("_e").isNotNull())
+    return rows.withColumns({c: F.col(f"_e.{c}") for c in ("block", "cell", "value")}).drop("_e")
+
+
+def _amounts() -> dict[str, Column]:
+    amounts = {"price": F.col("agreement_price"), "carpet": F.col("carpet_sqft"), "value": F.col("value")}
+    return amounts | {f"{a}_priced": F.when(masks()["valid_price"], c) for a, c in amounts.items()}
+
+
+def _counted(rows: DataFrame, width: dict[str, int], kinds: list[str]) -> DataFrame:
+    """Exact sums per key, period, segment, block and cell, of rows that have their level and key."""
     fine = (
-        rows.withColumn("_e", F.explode(F.array_compact(F.array(*entries))))
-        .groupBy(*LEVEL_KEY, "year", "quarter", *kinds, F.col("_e.block").alias("block"), F.col("_e.cell").alias("cell"))
+        _members(rows, width)
+        .groupBy(*LEVEL_KEY, "year", "quarter", *kinds, "block", "cell")
         .agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(priced).alias("n_priced"),
-            *[s for a, c in amounts.items() for s in exact.sums(a, c)],
-            *[s for a, c in amounts.items() for s in exact.sums(f"{a}_priced", F.when(priced, c))],
+            F.count(F.lit(1)).alias("n"), F.count_if(masks()["valid_price"]).alias("n_priced"),
+            *[s for a, c in _amounts().items() for s in exact.sums(a, c)],
         )
     )
-    sums = [*[F.sum(c).alias(c) for c in ("n", "n_priced")], *[m for a in every for m in exact.merged(a)]]
+    sums = [*[F.sum(c).alias(c) for c in ("n", "n_priced")], *[m for a in _amounts() for m in exact.merged(a)]]
     return by_grain(by_segment(fine, kinds)).groupBy(*SEGMENT_KEY, "block", "cell").agg(*sums)
 
 
+def _uncounted(rows: DataFrame, width: dict[str, int], kinds: list[str]) -> DataFrame:
+    """`_counted` with a row for each row instead of one for each cell."""
+    counts = [F.lit(1).cast("bigint").alias("n"), masks()["valid_price"].cast("bigint").alias("n_priced")]
+    made = [*counts, *[h for a, c in _amounts().items() for h in exact.halves(a, c)]]
+    rows = _members(rows, width).select(*LEVEL_KEY, "year", "quarter", *kinds, "block", "cell", *made)
+    return by_group(rows, kinds, GRAINS).drop("year", "quarter", *kinds)
+
+
 def _bucket(spec: RangeSpec, width: int, low: Column, high: Column) -> Column:
     """Number of a cell's bucket between two edges; null outside of fixed area bins."""
     cell, step = F.col("cell"), spec.step
@@ -118,32 +151,35 @@ def range_stats(
     """spec, level, city, key_id, grain, period, kind, segment, bucket, unit_sold, total_sales and ca_consumed_sqft.
 
     One row for each bucket that has rows, of each specification. The window that sums a segment holds its cells,
-    whose number the value axis bounds. Rows of keys with few rows are shuffled once, by key, and counted where they
-    then are; cells of large keys are counted before they are shuffled.
+    whose number the value axis bounds, or the rows of a small key. Rows of keys with few rows are shuffled once, by key,
+    and put into buckets where they then are; cells of large keys are counted before they are shuffled.
     """
     specs, levels, kinds = list(specs), list(levels), list(kinds)
     if len({s.name for s in specs}) < len(specs):
         raise ValueError("specifications need names of their own")
-    large = F.broadcast(large_keys(df, levels))
+    large = large_keys(df, levels)
+    some = None if large.isEmpty() else large
     needed = ["year", "quarter", *kinds, "net_carpet_area_sqmt", *VALUES.values()]
     rows = by_level(df, levels).select(*LEVEL_KEY, *needed)
-    mine = (F.col("level") == F.col("_large_level")) & (F.col("key_id") == F.col("_large_key"))
-    parts = [rows.join(large, mine, "left_anti").repartition(*LEVEL_KEY), rows.join(large, mine, "left_semi")]
-    tables = [_bucketed(part, specs, kinds) for part in parts]
-    return tables[0].unionByName(tables[1])
+    width = widths(specs)
+    tables = [_bucketed(_uncounted(by_key(without_large(rows, some), parts(df, levels)), width, kinds), specs)]
+    if some is not None:
+        tables.append(_bucketed(_counted(only_large(rows, some), width, kinds), specs))
+    return reduce(DataFrame.unionByName, tables)
 
 
-def _bucketed(rows: DataFrame, specs: list[RangeSpec], kinds: list[str]) -> DataFrame:
-    """`range_stats` of rows that have their level and key."""
+def _bucketed(cells: DataFrame, specs: list[RangeSpec]) -> DataFrame:
+    """`range_stats` of cells or rows with their counts and sums."""
     width = widths(specs)
-    cells = _counted(rows, width, kinds)
-    group = W.partitionBy(*SEGMENT_KEY, "block")
+    # Sorting by a hash first settles nearly every comparison without looking at the keys.
+    cells = cells.withColumn("_hash", F.xxhash64(*SEGMENT_KEY))
+    group = W.partitionBy("_hash", *SEGMENT_KEY, "block")
     centring = [f"n{x}" for x in ("", "_priced")] + [name for x in ("", "_priced") for name in exact.names(f"value{x}")]
     cells = cells.withColumns({f"sum_{c}": F.sum(c).over(group) for c in centring})
 
     # Means and centres are columns of their own, so that each is computed once per row.
     used = {"_priced" if s.priced else "" for s in specs if s.strategy == MEAN}
-    cells = cells.withColumns({f"_mean{x}": exact.mean(f"sum_value{x}", f"sum_n{x}") for x in sorted(used)})
+    cells = cells.withColumns({f"_mean{x}": exact.centre(f"sum_value{x}", f"sum_n{x}") for x in sorted(used)})
 
     def centre_of(spec: RangeSpec) -> Column:
         mean = F.col("_mean_priced" if spec.priced else "_mean")
@@ -152,30 +188,42 @@ def _bucketed(rows: DataFrame, specs: list[RangeSpec], kinds: list[str]) -> Data
 
     cells = cells.withColumns({f"_centre_{s.name}": centre_of(s) for s in specs if s.strategy == MEAN})
 
-    def entry(spec: RangeSpec) -> Column:
+    # Rows are spread by a number, and each specification's columns are made for its own rows only.
+    numbers, options = [], []
+    for i, spec in enumerate(specs):
         suffix = "_priced" if spec.priced else ""
         if spec.strategy == FIXED:
             low, high = F.lit(spec.low).cast("bigint"), F.lit(spec.high).cast("bigint")
         else:
             low, high = bins.centred_edges(spec.block, F.col(f"`_centre_{spec.name}`"), spec.step)
-        sums = [F.col(f"n{suffix}").alias("n")]
-        sums += [F.col(own).alias(to) for a in ("price", "carpet") for own, to in zip(exact.names(a + suffix), exact.names(a), strict=True)]
-        made = F.struct(
-            F.lit(spec.name).alias("spec"), low.alias("low"), high.alias("high"), _bucket(spec, width[spec.block], low, high).cast("bigint").alias("number"),
-            F.lit(spec.step).cast("bigint").alias("step"), *sums,
-        )
-        return F.when((F.col("block") == spec.block) & (F.col(f"n{suffix}") > 0), made)
-
-    rows = cells.withColumn("_e", F.explode(F.array_compact(F.array(*[entry(s) for s in specs]))))
-    rows = rows.select(*SEGMENT_KEY, "block", "_e.*").filter("number IS NOT NULL")
-    table = rows.groupBy("spec", *SEGMENT_KEY, "block", "number", "low", "high", "step").agg(
+        made = {"low": low, "high": high, "number": _bucket(spec, width[spec.block], low, high).cast("bigint"), "n": F.col(f"n{suffix}")}
+        for a in ("price", "carpet"):
+            made |= {to: F.col(own) for own, to in zip(exact.names(a + suffix), exact.names(a), strict=True)}
+        numbers.append(F.when((F.col("block") == spec.block) & (F.col(f"n{suffix}") > 0), F.lit(i)))
+        options.append(made)
+    which = F.col("_spec")
+    rows = cells.withColumn("_spec", F.explode(F.array(*numbers))).filter(which.isNotNull())
+    rows = rows.select(*SEGMENT_KEY, "_spec", *[chosen(which, [made[c] for made in options]).alias(c) for c in options[0]])
+    table = rows.filter("number IS NOT NULL").groupBy("_spec", *SEGMENT_KEY, "number", "low", "high").agg(
         F.sum("n").alias("unit_sold"), *exact.merged("price"), *exact.merged("carpet")
     )
     none = F.lit(0).cast("decimal(38,9)")
     table = table.withColumns(
-        {"total_sales": F.coalesce(exact.total("price"), none), "ca_consumed_sqft": F.coalesce(exact.total("carpet"), none)}
+        {
+            "total_sales": F.coalesce(exact.total("price"), none),
+            "ca_consumed_sqft": F.coalesce(exact.total("carpet"), none),
+            "spec": chosen(which, [F.lit(s.name) for s in specs]),
+            "step": chosen(which, [F.lit(s.step).cast("bigint") for s in specs]),
+        }
     )
-    parts = [F.col("number"), F.col("low"), F.col("high"), F.col("low") + F.col("number") * F.col("step"), F.col("step")]
-    bucket = F.when(F.col("block") == "price", bins.price_range_label(*parts)).otherwise(bins.label(*parts)).alias("bucket")
+    ends = [F.col("number"), F.col("low"), F.col("high"), F.col("low") + F.col("number") * F.col("step"), F.col("step")]
+    of = {"price": bins.price_range_label, "other": bins.label}
+    styles = ["price" if s.block == "price" else "other" for s in specs]
+    texts = {style: of[style](*ends) for style in dict.fromkeys(styles)}
+    # Only the texts that are asked for, as long expressions are slow.
+    if len(texts) == 1:
+        (bucket,) = texts.values()
+    else:
+        bucket = F.when(which.isin([i for i, style in enumerate(styles) if style == "price"]), texts["price"]).otherwise(texts["other"])
     amounts = [money(c).alias(c) for c in ("total_sales", "ca_consumed_sqft")]
-    return table.select("spec", *SEGMENT_KEY, bucket, "unit_sold", *amounts)
+    return table.select("spec", *SEGMENT_KEY, bucket.alias("bucket"), "unit_sold", *amounts)

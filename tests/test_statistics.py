@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from deedmill.config import DEFAULTS
 from deedmill.functions import bins
 from deedmill.functions.values import round2
-from deedmill.operators import buyers, callbacks, fuzzy, levels, percentiles, ranges, totals
+from deedmill.operators import buyers, callbacks, fuzzy, levels, percentiles, ranges, specs, totals
 from deedmill.operators.levels import CITY, LOCATION, PROJECT
 
 SCHEMA = (
@@ -356,3 +356,20 @@ def test_rounding_is_stable_under_noise(spark):
 
 def test_bins_constants():
     assert bins.area_cell(DEFAULTS) == 100
+
+
+@pytest.mark.parametrize("gathered", [0, 3, 10**6])
+def test_specifications_of_small_and_large_keys(spark, gathered, monkeypatch):
+    monkeypatch.setattr(ranges, "GATHERED", gathered)
+    rows = [row(i, carpet_sqft=150.0 + 37 * (i % 9), agreement_price=1e6 * (i % 5) if i % 4 else None, proj_id=i % 3) for i in range(24)]
+    chosen = [specs.RangeSpec("mean", "area", 200), specs.RangeSpec("priced", "area", 100, priced=True), specs.RangeSpec("fixed", "area", 100, specs.FIXED, 200, 400)]
+    out = specs.range_stats(frame(spark, rows), chosen, [PROJECT]).filter("grain = 'Overall' AND kind = 'property_type'").collect()
+    sold = {name: sum(r.unit_sold for r in out if r.spec == name) for name in ("mean", "priced", "fixed")}
+    assert sold["mean"] == 24 and sold["priced"] == sum(bool(r["agreement_price"]) for r in rows)
+    assert sold["fixed"] == sum(200 <= r["carpet_sqft"] < 400 for r in rows)
+
+
+def test_specifications_of_one_level_shuffle_once(spark):
+    df = frame(spark, [row(i) for i in range(4)])
+    plan = specs.range_stats(df, [specs.RangeSpec("mean", "area", 200)], [PROJECT])._jdf.queryExecution().executedPlan().toString()
+    assert [line.strip(" :+-*0123456789()") for line in plan.splitlines() if "Exchange" in line and "REPARTITION_BY_NUM" not in line] == []
